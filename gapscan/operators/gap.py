@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SEG = "_seg"
+from gapscan.operators.segments import SEG, tag_segments
 
 
 def _gap_score(x: Column, x1: Column, mx: Column) -> Column:
@@ -48,17 +48,6 @@ def _distinct_values(df: DataFrame, keys: Sequence[str], value: str) -> DataFram
               .distinct())
 
 
-def _segments(d: DataFrame, keys: Sequence[str], partitions: int | None) -> DataFrame:
-    """Range partition on (keys, xx) and tag each row with its partition.
-
-    The range bounds are sampled once and fixed in the shuffle, so a task that
-    is run again (lost executor) puts every row in the same segment.
-    """
-    cols = [*keys, "xx"]
-    parted = d.repartitionByRange(partitions, *cols) if partitions else d.repartitionByRange(*cols)
-    return parted.withColumn(SEG, F.spark_partition_id())
-
-
 def gap_scores(df: DataFrame, keys: Sequence[str], value: str, min_n: int = 10,
                coef: float = 0.95, offset: float = 0.2,
                partitions: int | None = None) -> DataFrame:
@@ -69,7 +58,7 @@ def gap_scores(df: DataFrame, keys: Sequence[str], value: str, min_n: int = 10,
     """
     keys = list(keys)
     seg_keys = [SEG, *keys]
-    s = _segments(_distinct_values(df, keys, value), keys, partitions)
+    s = tag_segments(_distinct_values(df, keys, value), keys, ["xx"], partitions)
 
     # Ordered work inside a segment: bounded by one range partition.
     w_in = Window.partitionBy(*seg_keys).orderBy("xx")

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference is a batch job over static tables (no stream source, no
+watermark, no state), so this package adds no streaming operator. Every
+operator in ``gapscan.operators`` is a plain DataFrame transformation and
+can be applied to each micro-batch of a ``foreachBatch`` sink as is.
+"""
