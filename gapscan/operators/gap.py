@@ -20,7 +20,9 @@ row number) runs in windows over (segment, keys). Everything that needs the
 whole key (n, mean, offsets, deviation, median, bounds) is combined on a
 small segment table — at most one row per (range partition, key) — and
 joined back on (segment, keys), so the large side never moves again after
-the one hash exchange on (segment, keys).
+the one hash exchange on (segment, keys). The segment-tagged rows are
+checkpointed once (see ``segments.materialize``): every branch then sees the
+same range bounds, and the window is not recomputed per branch.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gapscan.operators.segments import SEG, tag_segments
+from gapscan.operators.segments import SEG, materialize, tag_segments
 
 
 def _gap_score(x: Column, x1: Column, mx: Column) -> Column:
@@ -62,13 +64,13 @@ def gap_scores(df: DataFrame, keys: Sequence[str], value: str, min_n: int = 10,
 
     # Ordered work inside a segment: bounded by one range partition.
     w_in = Window.partitionBy(*seg_keys).orderBy("xx")
-    rows = (s.withColumn("_nx", F.lead("xx").over(w_in))
-             .withColumn("_rn", F.row_number().over(w_in)))
+    rows = materialize(s.withColumn("_nx", F.lead("xx").over(w_in))
+                        .withColumn("_rn", F.row_number().over(w_in)))
 
     # Round 1: count, mean, offsets and the next segment's first value.
     w_key = Window.partitionBy(*keys)
     w_ord = w_key.orderBy(SEG)
-    seg1 = (s.groupBy(*seg_keys)
+    seg1 = (rows.groupBy(*seg_keys)
              .agg(F.count(F.lit(1)).alias("_cnt"), F.sum("xx").alias("_sx"),
                   F.min("xx").alias("_first"))
              .withColumn("n", F.sum("_cnt").over(w_key))

@@ -23,9 +23,13 @@ def pivot_wide(df: DataFrame, index: Sequence[str], name: str, value: str,
                values: Sequence[str]) -> DataFrame:
     """Long -> wide with a fixed value list (stable schema, no extra job).
 
-    There is one value per (index, name) here, so ``first`` is exact.
+    Written as one conditional aggregation per value, so the whole pivot is a
+    single grouped aggregation (one shuffle, partial aggregation before it);
+    the ``pivot`` API plans two. There is one value per (index, name) here, so
+    taking the maximum is the reference's ``first``.
     """
-    return df.groupBy(*index).pivot(name, list(values)).agg(F.first(value))
+    return df.groupBy(*index).agg(*[F.max(F.when(F.col(name) == F.lit(v), F.col(value))).alias(v)
+                                    for v in values])
 
 
 def count_present(columns: Sequence[str]):

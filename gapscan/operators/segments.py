@@ -17,9 +17,26 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gapscan.session import ensure_checkpoint_dir
+
 SEG = "_seg"
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once, for every later use: a reliable checkpoint.
+
+    The segment number comes from sampled range bounds. Rows and the segment
+    table built from them must agree on it, so they have to come from one
+    execution of the range shuffle; two separate executions could sample
+    different bounds. The checkpoint goes to the session's checkpoint folder
+    (``spark.checkpoint.dir``, shared on a cluster), so it survives lost
+    executors, and the later branches read it instead of recomputing the
+    window.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def tag_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                  partitions: int | None = None) -> DataFrame:
     """Range partition on (keys, order) and add the segment number ``_seg``.
@@ -47,9 +64,9 @@ def with_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     seg_keys = [SEG, *keys]
     s = tag_segments(df, keys, order, partitions)
     w_in = Window.partitionBy(*seg_keys).orderBy(*_order_cols(order))
-    local = s.withColumn("_rn", F.row_number().over(w_in))
+    local = materialize(s.withColumn("_rn", F.row_number().over(w_in)))
     w_key = Window.partitionBy(*keys)
-    seg = (s.groupBy(*seg_keys).agg(F.count(F.lit(1)).alias("_cnt"))
+    seg = (local.groupBy(*seg_keys).agg(F.count(F.lit(1)).alias("_cnt"))
             .withColumn(size, F.sum("_cnt").over(w_key))
             .withColumn("_off", F.coalesce(
                 F.sum("_cnt").over(w_key.orderBy(SEG)
@@ -68,9 +85,9 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     s = tag_segments(df, keys, order, partitions)
     w_in = (Window.partitionBy(*seg_keys).orderBy(*_order_cols(order))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = s.withColumn("_loc", F.sum(value).over(w_in))
+    local = materialize(s.withColumn("_loc", F.sum(value).over(w_in)))
     w_key = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
-    seg = (s.groupBy(*seg_keys).agg(F.sum(value).alias("_ssum"))
+    seg = (local.groupBy(*seg_keys).agg(F.sum(value).alias("_ssum"))
             .withColumn("_soff", F.coalesce(F.sum("_ssum").over(w_key), F.lit(0)))
             .select(*seg_keys, "_soff"))
     return (local.join(seg, seg_keys)
@@ -88,9 +105,9 @@ def with_next(df: DataFrame, keys: Sequence[str], value: str, out: str = "x1",
     seg_keys = [SEG, *keys]
     s = tag_segments(df, keys, [value], partitions)
     w_in = Window.partitionBy(*seg_keys).orderBy(value)
-    local = s.withColumn("_nx", F.lead(value).over(w_in))
+    local = materialize(s.withColumn("_nx", F.lead(value).over(w_in)))
     w_ord = Window.partitionBy(*keys).orderBy(SEG)
-    seg = (s.groupBy(*seg_keys).agg(F.min(value).alias("_first"))
+    seg = (local.groupBy(*seg_keys).agg(F.min(value).alias("_first"))
             .withColumn("_next", F.lead("_first").over(w_ord))
             .select(*seg_keys, "_next"))
     return (local.join(seg, seg_keys)
