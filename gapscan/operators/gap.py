@@ -13,16 +13,25 @@ For every key, over its distinct non-null values x1 < ... < xn:
 8. upper if x >= hi, lower if x <= lo.
 
 Plan. A per-key window would put a whole key into one task, and one key may
-hold a large share of all rows. Instead the distinct values are range
-partitioned on (keys, value): a hot key is cut into several *segments*, one
-per range partition, each bounded by the partition size. Ordered work (lead,
-row number) runs in windows over (segment, keys). Everything that needs the
-whole key (n, mean, offsets, deviation, median, bounds) is combined on a
-small segment table — at most one row per (range partition, key) — and
-joined back on (segment, keys), so the large side never moves again after
-the one hash exchange on (segment, keys). The segment-tagged rows are
-checkpointed once (see ``segments.materialize``): every branch then sees the
-same range bounds, and the window is not recomputed per branch.
+hold a large share of all rows. Instead:
+
+* n and the mean come from a grouped aggregate (partial aggregation, so a
+  hot key is pre-aggregated before the shuffle) joined back on the key —
+  AQE broadcasts it when it is small and splits a skewed partition when not;
+* the distinct values are range partitioned on (keys, value): a hot key is
+  cut into several *segments*, one per range partition, each bounded by the
+  partition size. Ordered work (next value, row number, the gap score of
+  all but each segment's last value) runs in windows over (segment, keys);
+* one segment table — at most one row per (range partition, key) — carries
+  what crosses segment borders: offsets, the next segment's first value, and
+  per-segment (count, mean, M2) of y, merged across the segments of a key
+  with the pairwise formula of Chan et al. into the population deviation;
+* the median position and the outermost significant gaps come from one more
+  grouped aggregate over the scored rows.
+
+The segment-tagged rows are checkpointed once (``segments.materialize``):
+every branch then sees the same range split, and the window is not
+recomputed per branch.
 """
 
 from __future__ import annotations
@@ -50,91 +59,112 @@ def _distinct_values(df: DataFrame, keys: Sequence[str], value: str) -> DataFram
               .distinct())
 
 
-def gap_scores(df: DataFrame, keys: Sequence[str], value: str, min_n: int = 10,
-               coef: float = 0.95, offset: float = 0.2,
-               partitions: int | None = None) -> DataFrame:
-    """Every distinct value of every key with n >= min_n and its scores.
+def _merge_point(c: Column, m: Column, m2: Column, y: Column):
+    """Add one value y (may be null) to (count, mean, M2); returns the new triple."""
+    c1 = c + F.lit(1.0)
+    d = y - m
+    m_new = F.when(c == 0, y).otherwise(m + d / c1)
+    m2_new = F.when(c == 0, F.lit(0.0)).otherwise(m2 + d * (y - m_new))
+    has = y.isNotNull()
+    return (F.when(has, c1).otherwise(c), F.when(has, m_new).otherwise(m),
+            F.when(has, m2_new).otherwise(m2))
 
-    Columns: keys..., xx, n, mx, x1, y, z, t1, median, outlier_type
-    (``upper``/``lower``/null).
-    """
+
+def _scored_rows(df: DataFrame, keys: Sequence[str], value: str, min_n: int,
+                 coef: float, offset: float, partitions: int | None) -> DataFrame:
+    """Rows (segment, keys, xx, n, mx, x1, y, z, t1, _pos, _mid), keys with n >= min_n."""
     keys = list(keys)
     seg_keys = [SEG, *keys]
-    s = tag_segments(_distinct_values(df, keys, value), keys, ["xx"], partitions)
+    d = _distinct_values(df, keys, value)
+    kstats = (d.groupBy(*keys)
+               .agg(F.count(F.lit(1)).alias("n"), F.avg("xx").alias("mx"))
+               .where(F.col("n") >= min_n))
+    s = tag_segments(d.join(kstats, keys), keys, ["xx"], partitions)
 
     # Ordered work inside a segment: bounded by one range partition.
     w_in = Window.partitionBy(*seg_keys).orderBy("xx")
-    rows = materialize(s.withColumn("_nx", F.lead("xx").over(w_in))
-                        .withColumn("_rn", F.row_number().over(w_in)))
-
-    # Round 1: count, mean, offsets and the next segment's first value.
+    rows = materialize(
+        s.withColumn("_nx", F.lead("xx").over(w_in))
+         .withColumn("_rn", F.row_number().over(w_in))
+         .withColumn("_yi", _gap_score(F.col("xx"), F.col("_nx"), F.col("mx"))))
+
+    # The segment round: offsets, the next segment's first value, and the
+    # deviation of y. The last value of a segment scores its gap to the next
+    # segment's first value; that one y is merged into the segment's moments.
+    w_ord = Window.partitionBy(*keys).orderBy(SEG)
     w_key = Window.partitionBy(*keys)
-    w_ord = w_key.orderBy(SEG)
-    seg1 = (rows.groupBy(*seg_keys)
-             .agg(F.count(F.lit(1)).alias("_cnt"), F.sum("xx").alias("_sx"),
-                  F.min("xx").alias("_first"))
-             .withColumn("n", F.sum("_cnt").over(w_key))
-             .where(F.col("n") >= min_n)
-             .withColumn("mx", F.sum("_sx").over(w_key) / F.col("n"))
-             .withColumn("_off", F.coalesce(
-                 F.sum("_cnt").over(w_ord.rowsBetween(Window.unboundedPreceding, -1)),
-                 F.lit(0)))
-             .withColumn("_next", F.lead("_first").over(w_ord))
-             .select(*seg_keys, "n", "mx", "_off", "_next"))
-
-    r1 = (rows.join(seg1, seg_keys)
-              .withColumn("x1", F.coalesce("_nx", "_next"))
-              .withColumn("y", _gap_score(F.col("xx"), F.col("x1"), F.col("mx")))
-              .withColumn("_pos", F.col("_off") + F.col("_rn"))
-              .drop("_nx", "_rn", "_off", "_next"))
-
-    # Round 2: population deviation of y. Per segment (count, mean, M2), then
-    # the pairwise merge of Chan et al. across the segments of a key.
-    seg2 = (r1.groupBy(*seg_keys)
-              .agg(F.count("y").cast("double").alias("_yc"),
-                   F.coalesce(F.avg("y"), F.lit(0.0)).alias("_ym"),
-                   F.coalesce(F.var_pop("y") * F.count("y"), F.lit(0.0)).alias("_ym2"))
-              .withColumn("_kc", F.sum("_yc").over(w_key))
-              .withColumn("_ks", F.sum(F.col("_yc") * F.col("_ym")).over(w_key))
+    seg = (rows.groupBy(*seg_keys, "mx")
+               .agg(F.count(F.lit(1)).alias("_cnt"), F.min("xx").alias("_first"),
+                    F.max("xx").alias("_last"),
+                    F.count("_yi").cast("double").alias("_c"),
+                    F.coalesce(F.avg("_yi"), F.lit(0.0)).alias("_m"),
+                    F.coalesce(F.var_pop("_yi") * F.count("_yi"), F.lit(0.0)).alias("_m2"))
+               .withColumn("_off", F.coalesce(
+                   F.sum("_cnt").over(w_ord.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+               .withColumn("_next", F.lead("_first").over(w_ord)))
+    c, m, m2 = _merge_point(F.col("_c"), F.col("_m"), F.col("_m2"),
+                            _gap_score(F.col("_last"), F.col("_next"), F.col("mx")))
+    seg = (seg.withColumn("_c2", c).withColumn("_mm", m).withColumn("_mm2", m2)
+              .withColumn("_kc", F.sum("_c2").over(w_key))
+              .withColumn("_ks", F.sum(F.col("_c2") * F.col("_mm")).over(w_key))
               .withColumn("_km", F.when(F.col("_kc") > 0, F.col("_ks") / F.col("_kc")))
-              .withColumn("_km2", F.sum(F.col("_ym2") + F.col("_yc")
-                                        * F.pow(F.col("_ym") - F.col("_km"), 2)).over(w_key))
+              .withColumn("_km2", F.sum(F.col("_mm2") + F.col("_c2")
+                                        * F.pow(F.col("_mm") - F.col("_km"), 2)).over(w_key))
               .withColumn("_sd", F.when(F.col("_kc") > 0, F.sqrt(F.col("_km2") / F.col("_kc"))))
-              .select(*seg_keys, "_sd"))
-
-    mid = (F.col("n") + 1) / 2  # ceil(n/2) for integer n, compared as a number
-    r2 = (r1.join(seg2, seg_keys)
-            .withColumn("z", F.try_divide(F.col("y"), F.col("_sd")))
-            .withColumn("t1", F.lit(coef) * F.sqrt(F.col("n")) + F.lit(offset))
-            .withColumn("_sig", F.col("z") > F.col("t1"))
-            .withColumn("_mid", F.floor(mid))
-            .drop("_sd"))
-
-    # Round 3: lower median and the outermost significant gap on each side.
-    # Values are distinct, so "v above the median" is "position above mid".
-    seg3 = (r2.groupBy(*seg_keys)
-              .agg(F.max(F.when(F.col("_sig") & (F.col("_pos") > F.col("_mid")), F.col("xx")))
-                   .alias("_hi"),
-                   F.min(F.when(F.col("_sig") & (F.col("_pos") < F.col("_mid")), F.col("xx")))
-                   .alias("_lo"),
-                   F.max(F.when(F.col("_pos") == F.col("_mid"), F.col("xx"))).alias("_med"))
-              .withColumn("hi", F.max("_hi").over(w_key))
-              .withColumn("lo", F.min("_lo").over(w_key))
-              .withColumn("median", F.max("_med").over(w_key))
-              .select(*seg_keys, "hi", "lo", "median"))
-
-    out = (r2.join(seg3, seg_keys)
-             .withColumn("outlier_type",
-                         F.when(F.col("xx") >= F.col("hi"), F.lit("upper"))
-                          .when(F.col("xx") <= F.col("lo"), F.lit("lower"))))
+              .select(*seg_keys, "_off", "_next", "_sd"))
+
+    return (rows.join(seg, seg_keys)
+                .withColumn("x1", F.coalesce("_nx", "_next"))
+                .withColumn("y", _gap_score(F.col("xx"), F.col("x1"), F.col("mx")))
+                .withColumn("z", F.try_divide(F.col("y"), F.col("_sd")))
+                .withColumn("t1", F.lit(coef) * F.sqrt(F.col("n")) + F.lit(offset))
+                .withColumn("_pos", F.col("_off") + F.col("_rn"))
+                .withColumn("_mid", F.floor((F.col("n") + 1) / 2))
+                .select(*seg_keys, "xx", "n", "mx", "x1", "y", "z", "t1", "_pos", "_mid"))
+
+
+def _bounds(r: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Per key: lower median and the outermost significant gap on each side.
+
+    Values are distinct, so "v above the median" is "position above mid".
+    """
+    sig = F.col("z") > F.col("t1")
+    return r.groupBy(*keys).agg(
+        F.max(F.when(sig & (F.col("_pos") > F.col("_mid")), F.col("xx"))).alias("hi"),
+        F.min(F.when(sig & (F.col("_pos") < F.col("_mid")), F.col("xx"))).alias("lo"),
+        F.max(F.when(F.col("_pos") == F.col("_mid"), F.col("xx"))).alias("median"))
+
+
+def _flag(xx: Column, hi: Column, lo: Column) -> Column:
+    return F.when(xx >= hi, F.lit("upper")).when(xx <= lo, F.lit("lower"))
+
+
+def gap_scores(df: DataFrame, keys: Sequence[str], value: str, min_n: int = 10,
+               coef: float = 0.95, offset: float = 0.2,
+               partitions: int | None = None) -> DataFrame:
+    """Every distinct value of every key with n >= min_n and its scores.
+
+    Columns: keys..., xx, n, mx, x1, y, z, t1, median, outlier_type
+    (``upper``/``lower``/null).
+    """
+    keys = list(keys)
+    r = _scored_rows(df, keys, value, min_n, coef, offset, partitions)
+    out = (r.join(_bounds(r, keys), keys)
+            .withColumn("outlier_type", _flag(F.col("xx"), F.col("hi"), F.col("lo"))))
     return out.select(*keys, "xx", "n", "mx", "x1", "y", "z", "t1", "median", "outlier_type")
 
 
 def gap_outliers(df: DataFrame, keys: Sequence[str], value: str, min_n: int = 10,
                  coef: float = 0.95, offset: float = 0.2,
                  partitions: int | None = None) -> DataFrame:
-    """Flagged values only: (keys..., xx, outlier_type)."""
-    scored = gap_scores(df, keys, value, min_n=min_n, coef=coef, offset=offset,
-                        partitions=partitions)
-    return (scored.where(F.col("outlier_type").isNotNull())
-                  .select(*keys, "xx", "outlier_type"))
+    """Flagged values only: (keys..., xx, outlier_type).
+
+    Only keys with a significant gap reach the last join, so that side is
+    small and AQE can broadcast it.
+    """
+    keys = list(keys)
+    r = _scored_rows(df, keys, value, min_n, coef, offset, partitions)
+    b = _bounds(r, keys).where(F.col("hi").isNotNull() | F.col("lo").isNotNull())
+    out = (r.select(*keys, "xx").join(b.select(*keys, "hi", "lo"), keys)
+            .withColumn("outlier_type", _flag(F.col("xx"), F.col("hi"), F.col("lo"))))
+    return out.where(F.col("outlier_type").isNotNull()).select(*keys, "xx", "outlier_type")
