@@ -98,6 +98,13 @@ def semi_filter(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
     return df.join(ids.select(id_col), id_col, "left_semi")
 
 
-def label_join(df: DataFrame, dim: DataFrame, on: str) -> DataFrame:
-    """Inner join to a small dimension table (broadcast: its size is fixed)."""
-    return df.join(F.broadcast(dim), on, "inner")
+def label_join(df: DataFrame, dim: DataFrame, on: str, max_rows: int = 100_000) -> DataFrame:
+    """Inner join to a dimension table (labels for surfaces and the like).
+
+    The dimension is broadcast only after its row count is checked against
+    ``max_rows``; a larger one is joined the ordinary way (AQE still picks a
+    broadcast at run time if it turns out small in bytes).
+    """
+    if dim.limit(max_rows + 1).count() <= max_rows:
+        return df.join(F.broadcast(dim), on, "inner")
+    return df.join(dim, on, "inner")
