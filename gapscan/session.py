@@ -30,7 +30,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", memory)
-               .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+               .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
     for k, v in DEFAULTS.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
