@@ -9,17 +9,23 @@ from pyspark.sql import functions as F
 
 from gapscan.operators.gap import gap_outliers
 from gapscan.operators.reshape import count_present, pivot_wide, unpivot_surfaces
+from gapscan.operators.segments import materialize
 
 
 def long_cells(records: DataFrame, surfaces: DataFrame, group: str, cell_keys: Sequence[str],
-               surface_cols: Sequence[str], name: str = "surface", value: str = "xx") -> DataFrame:
+               surface_cols: Sequence[str], name: str = "surface", value: str = "xx",
+               stage: bool = True) -> DataFrame:
     """Distinct (group, cell) joined to the surfaces, unpivoted.
 
     Reducing the records to distinct (group, cell) before the join is the main
-    saving: records far outnumber the cells a group occupies.
+    saving: records far outnumber the cells a group occupies. With ``stage``
+    that narrow set is checkpointed, so the flag search and the later match of
+    flags to cells do not scan the records again.
     Columns: group, cell keys, surface, xx.
     """
     cells = records.select(group, *cell_keys).where(F.col(group).isNotNull()).distinct()
+    if stage:
+        cells = materialize(cells)
     joined = cells.join(surfaces.select(*cell_keys, *surface_cols), list(cell_keys), "inner")
     return unpivot_surfaces(joined, [group, *cell_keys], surface_cols, name, value)
 
@@ -35,22 +41,51 @@ def surface_outliers(records: DataFrame, surfaces: DataFrame, group: str,
     return gap_outliers(long, [group, "surface"], "xx", **gap_kw)
 
 
+def flagged_cells(long: DataFrame, flags: DataFrame, group: str) -> DataFrame:
+    """(group, cell keys, surface, xx) of every cell whose value is flagged.
+
+    The double ``xx`` is compared exactly: both sides read it from the same
+    column. Flags are few, so AQE broadcasts them.
+    """
+    return long.join(flags.select(group, "surface", "xx"), [group, "surface", "xx"])
+
+
 def outlier_records(records: DataFrame, long: DataFrame, flags: DataFrame, record_id: str,
                     group: str, cell_keys: Sequence[str]) -> DataFrame:
     """Flagged (record, surface) rows.
 
     ``long`` holds (group, cell keys, surface, xx); flags hold (group, surface,
-    xx). Flags are few, so they are matched to cells first, and only the
-    flagged cells are joined to the records. The double ``xx`` is compared
-    exactly: both sides read it from the same column.
+    xx). Flags are matched to cells first, and only the flagged cells are
+    joined to the records.
     Columns: record_id, group, surface, xx.
     """
-    flagged_cells = long.join(flags.select(group, "surface", "xx"), [group, "surface", "xx"])
+    fc = flagged_cells(long, flags, group)
     return (records.select(record_id, group, *cell_keys)
-                   .join(flagged_cells, [group, *cell_keys])
+                   .join(fc, [group, *cell_keys])
                    .select(record_id, group, "surface", "xx"))
 
 
+def export_flagged(records: DataFrame, long: DataFrame, flags: DataFrame, record_id: str,
+                   group: str, cell_keys: Sequence[str], surface_values: Sequence[str],
+                   name: str = "n_outliers") -> DataFrame:
+    """X3 + X4 in one scan of the records: flagged records, wide.
+
+    The records (every column) meet the flagged cells once; the few matching
+    rows are grouped by record id, which makes the pivot and the count and
+    carries the record columns along (one value per record). Same result as
+    ``outlier_export(records, outlier_records(...))`` without a second scan
+    and join of the records. Record ids are assumed unique.
+    """
+    fc = flagged_cells(long, flags, group).select(group, *cell_keys, "surface", "xx")
+    rows = records.join(fc, [group, *cell_keys])
+    carried = [c for c in records.columns if c != record_id]
+    wide = rows.groupBy(record_id).agg(
+        *[F.any_value(c).alias(c) for c in carried],
+        *[F.max(F.when(F.col("surface") == F.lit(v), F.col("xx"))).alias(v) for v in surface_values])
+    return (wide.withColumn(name, count_present(surface_values))
+                .select(*records.columns, *surface_values, name))
+
+
 def count_outlier_surfaces(rf: DataFrame, record_id: str, name: str = "n_outliers") -> DataFrame:
     """Number of distinct flagged surfaces per record."""
     return rf.groupBy(record_id).agg(F.count_distinct("surface").alias(name))

@@ -46,7 +46,7 @@ def _orders_values(spark, sf_dir):
 
 
 def _export(spark, sf_dir):
-    return FL.outlier_export(FX.records(spark, sf_dir), FX.rf(spark, sf_dir), RECORD_ID, SURFACES)
+    return FX.export(spark, sf_dir)
 
 
 def _long_loc(spark, sf_dir):

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapscan.operators.flags import long_cells, outlier_records
+from gapscan.operators.flags import export_flagged, long_cells, outlier_records
 from gapscan.operators.gap import gap_outliers
 
 SURFACES = ["s1", "s2", "s3", "s4"]
@@ -70,3 +70,10 @@ def rf(spark: SparkSession, sf_dir: str) -> DataFrame:
     lg = long(spark, sf_dir)
     fl = gap_outliers(lg, [GROUP, "surface"], "xx")
     return outlier_records(records(spark, sf_dir), lg, fl, RECORD_ID, GROUP, CELL)
+
+
+def export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flagged records, wide, from one more scan of the records."""
+    lg = long(spark, sf_dir)
+    fl = gap_outliers(lg, [GROUP, "surface"], "xx")
+    return export_flagged(records(spark, sf_dir), lg, fl, RECORD_ID, GROUP, CELL, SURFACES)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gapscan.functions import snap_cell
-from gapscan.operators.flags import long_cells, outlier_export, outlier_records
+from gapscan.operators.flags import export_flagged, long_cells
 from gapscan.operators.gap import gap_outliers
 from gapscan.operators.prepare import prepare_records
 from gapscan.sources import (BIOCLIM_SURFACES, EXCLUDED_BASIS, KINGDOM_KEYS, read_surfaces,
@@ -52,15 +52,18 @@ def outlier_job(occ: DataFrame, surfaces: DataFrame,
                 surface_cols: Sequence[str] = tuple(n for n, _ in BIOCLIM_SURFACES),
                 min_n: int = 10) -> DataFrame:
     """Records flagged on at least one surface: record columns, one column per
-    surface (the flagged value or null) and ``n_bioclim_outliers``."""
+    surface (the flagged value or null) and ``n_bioclim_outliers``.
+
+    The occurrence table is scanned twice: once for its distinct (species,
+    cell) pairs (checkpointed, narrow), once to pick up the flagged records.
+    """
     rec = prepared_occurrences(occ)
     surf = keyed_surfaces(surfaces)
     long = long_cells(rec, surf, "specieskey", CELL_KEYS, list(surface_cols))
     flags = gap_outliers(long, ["specieskey", "surface"], "xx", min_n=min_n)
-    rf = outlier_records(rec, long, flags, "gbifid", "specieskey", CELL_KEYS)
-    export = outlier_export(rec.drop(*CELL_KEYS), rf, "gbifid", list(surface_cols),
-                            name="n_bioclim_outliers")
-    return export
+    export = export_flagged(rec, long, flags, "gbifid", "specieskey", CELL_KEYS,
+                            list(surface_cols), name="n_bioclim_outliers")
+    return export.drop(*CELL_KEYS)
 
 
 def run(spark: SparkSession, occurrence_table: str, surfaces_path: str, out_path: str,
