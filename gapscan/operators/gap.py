@@ -12,26 +12,29 @@ For every key, over its distinct non-null values x1 < ... < xn:
 7. hi = max v above med, lo = min v below med;
 8. upper if x >= hi, lower if x <= lo.
 
-Plan. A per-key window would put a whole key into one task, and one key may
-hold a large share of all rows. Instead:
-
-* n and the mean come from a grouped aggregate (partial aggregation, so a
-  hot key is pre-aggregated before the shuffle) joined back on the key —
-  AQE broadcasts it when it is small and splits a skewed partition when not;
-* the distinct values are range partitioned on (keys, value): a hot key is
-  cut into several *segments*, one per range partition, each bounded by the
-  partition size. Ordered work (next value, row number, the gap score of
-  all but each segment's last value) runs in windows over (segment, keys);
-* one segment table — at most one row per (range partition, key) — carries
-  what crosses segment borders: offsets, the next segment's first value, and
-  per-segment (count, mean, M2) of y, merged across the segments of a key
-  with the pairwise formula of Chan et al. into the population deviation;
-* the median position and the outermost significant gaps come from one more
-  grouped aggregate over the scored rows.
-
-The segment-tagged rows are checkpointed once (``segments.materialize``):
-every branch then sees the same range split, and the window is not
-recomputed per branch.
+Plan. A per-key window (or a join on the key alone) would put a whole key
+into one task, and one key may hold a large share of all rows. Instead the
+large side is only ever shuffled on (keys, value) or on (segment, keys):
+
+* distinct values per key, with partial aggregation before the shuffle;
+* range partitioning on (keys, value) cuts a hot key into *segments*, one per
+  range partition, each bounded by the partition size; the next value and
+  the row number run in a window over (segment, keys);
+* everything that needs the whole key comes from small *segment tables* — at
+  most one row per (range partition, key) — combined with windows over the
+  key on those tables and joined back on (segment, keys):
+  round 1: n, mean, offsets, the next segment's first value;
+  round 2: the population deviation of y, from per-segment (count, mean, M2)
+  merged with the pairwise formula of Chan et al.;
+  round 3: the median position and the outermost significant gaps, from a
+  grouped aggregate (partial aggregation) spread to the key's segments.
+
+The segment-tagged rows are written once as a Parquet table bucketed on
+(segment, keys) in the checkpoint folder (``segments.materialize``): every
+branch sees the same range split, the window is not recomputed per branch,
+and the aggregates and joins on (segment, keys) read the buckets in place —
+the large side is not shuffled again. The joins back are shuffle-hash joins
+with the small segment table as the build side, so nothing large is sorted.
 """
 
 from __future__ import annotations
@@ -59,74 +62,62 @@ def _distinct_values(df: DataFrame, keys: Sequence[str], value: str) -> DataFram
               .distinct())
 
 
-def _merge_point(c: Column, m: Column, m2: Column, y: Column):
-    """Add one value y (may be null) to (count, mean, M2); returns the new triple."""
-    c1 = c + F.lit(1.0)
-    d = y - m
-    m_new = F.when(c == 0, y).otherwise(m + d / c1)
-    m2_new = F.when(c == 0, F.lit(0.0)).otherwise(m2 + d * (y - m_new))
-    has = y.isNotNull()
-    return (F.when(has, c1).otherwise(c), F.when(has, m_new).otherwise(m),
-            F.when(has, m2_new).otherwise(m2))
-
-
 def _scored_rows(df: DataFrame, keys: Sequence[str], value: str, min_n: int,
-                 coef: float, offset: float, partitions: int | None) -> DataFrame:
-    """Rows (segment, keys, xx, n, mx, x1, y, z, t1, _pos, _mid), keys with n >= min_n."""
+                 coef: float, offset: float, partitions: int | None):
+    """Scored rows (segment, keys, xx, n, mx, x1, y, z, t1, _pos, _mid) and the
+    key's segment list, for keys with n >= min_n."""
     keys = list(keys)
     seg_keys = [SEG, *keys]
-    d = _distinct_values(df, keys, value)
-    kstats = (d.groupBy(*keys)
-               .agg(F.count(F.lit(1)).alias("n"), F.avg("xx").alias("mx"))
-               .where(F.col("n") >= min_n))
-    s = tag_segments(d.join(kstats, keys), keys, ["xx"], partitions)
-
-    # Ordered work inside a segment: bounded by one range partition.
+    s = tag_segments(_distinct_values(df, keys, value), keys, ["xx"], partitions)
     w_in = Window.partitionBy(*seg_keys).orderBy("xx")
-    rows = materialize(
-        s.withColumn("_nx", F.lead("xx").over(w_in))
-         .withColumn("_rn", F.row_number().over(w_in))
-         .withColumn("_yi", _gap_score(F.col("xx"), F.col("_nx"), F.col("mx"))))
-
-    # The segment round: offsets, the next segment's first value, and the
-    # deviation of y. The last value of a segment scores its gap to the next
-    # segment's first value; that one y is merged into the segment's moments.
+    rows = materialize(s.withColumn("_nx", F.lead("xx").over(w_in))
+                        .withColumn("_rn", F.row_number().over(w_in)), seg_keys)
+
     w_ord = Window.partitionBy(*keys).orderBy(SEG)
     w_key = Window.partitionBy(*keys)
-    seg = (rows.groupBy(*seg_keys, "mx")
-               .agg(F.count(F.lit(1)).alias("_cnt"), F.min("xx").alias("_first"),
-                    F.max("xx").alias("_last"),
-                    F.count("_yi").cast("double").alias("_c"),
-                    F.coalesce(F.avg("_yi"), F.lit(0.0)).alias("_m"),
-                    F.coalesce(F.var_pop("_yi") * F.count("_yi"), F.lit(0.0)).alias("_m2"))
-               .withColumn("_off", F.coalesce(
-                   F.sum("_cnt").over(w_ord.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-               .withColumn("_next", F.lead("_first").over(w_ord)))
-    c, m, m2 = _merge_point(F.col("_c"), F.col("_m"), F.col("_m2"),
-                            _gap_score(F.col("_last"), F.col("_next"), F.col("mx")))
-    seg = (seg.withColumn("_c2", c).withColumn("_mm", m).withColumn("_mm2", m2)
-              .withColumn("_kc", F.sum("_c2").over(w_key))
-              .withColumn("_ks", F.sum(F.col("_c2") * F.col("_mm")).over(w_key))
+    # Round 1: n, mean, offsets and the next segment's first value.
+    seg1 = (rows.groupBy(*seg_keys)
+                .agg(F.count(F.lit(1)).alias("_cnt"), F.sum("xx").alias("_sx"),
+                     F.min("xx").alias("_first"))
+                .withColumn("n", F.sum("_cnt").over(w_key))
+                .where(F.col("n") >= min_n)
+                .withColumn("mx", F.sum("_sx").over(w_key) / F.col("n"))
+                .withColumn("_off", F.coalesce(
+                    F.sum("_cnt").over(w_ord.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+                .withColumn("_next", F.lead("_first").over(w_ord))
+                .select(*seg_keys, "n", "mx", "_off", "_next"))
+    r1 = (rows.join(seg1.hint("shuffle_hash"), seg_keys)
+              .withColumn("x1", F.coalesce("_nx", "_next"))
+              .withColumn("y", _gap_score(F.col("xx"), F.col("x1"), F.col("mx")))
+              .withColumn("_pos", F.col("_off") + F.col("_rn"))
+              .select(*seg_keys, "xx", "n", "mx", "x1", "y", "_pos"))
+
+    # Round 2: population deviation of y, merged across the key's segments.
+    seg2 = (r1.groupBy(*seg_keys)
+              .agg(F.count("y").cast("double").alias("_c"),
+                   F.coalesce(F.avg("y"), F.lit(0.0)).alias("_m"),
+                   F.coalesce(F.var_pop("y") * F.count("y"), F.lit(0.0)).alias("_m2"))
+              .withColumn("_kc", F.sum("_c").over(w_key))
+              .withColumn("_ks", F.sum(F.col("_c") * F.col("_m")).over(w_key))
               .withColumn("_km", F.when(F.col("_kc") > 0, F.col("_ks") / F.col("_kc")))
-              .withColumn("_km2", F.sum(F.col("_mm2") + F.col("_c2")
-                                        * F.pow(F.col("_mm") - F.col("_km"), 2)).over(w_key))
+              .withColumn("_km2", F.sum(F.col("_m2") + F.col("_c")
+                                        * F.pow(F.col("_m") - F.col("_km"), 2)).over(w_key))
               .withColumn("_sd", F.when(F.col("_kc") > 0, F.sqrt(F.col("_km2") / F.col("_kc"))))
-              .select(*seg_keys, "_off", "_next", "_sd"))
-
-    return (rows.join(seg, seg_keys)
-                .withColumn("x1", F.coalesce("_nx", "_next"))
-                .withColumn("y", _gap_score(F.col("xx"), F.col("x1"), F.col("mx")))
-                .withColumn("z", F.try_divide(F.col("y"), F.col("_sd")))
-                .withColumn("t1", F.lit(coef) * F.sqrt(F.col("n")) + F.lit(offset))
-                .withColumn("_pos", F.col("_off") + F.col("_rn"))
-                .withColumn("_mid", F.floor((F.col("n") + 1) / 2))
-                .select(*seg_keys, "xx", "n", "mx", "x1", "y", "z", "t1", "_pos", "_mid"))
+              .select(*seg_keys, "_sd"))
+    r2 = (r1.join(seg2.hint("shuffle_hash"), seg_keys)
+            .withColumn("z", F.try_divide(F.col("y"), F.col("_sd")))
+            .withColumn("t1", F.lit(coef) * F.sqrt(F.col("n")) + F.lit(offset))
+            .withColumn("_mid", F.floor((F.col("n") + 1) / 2))
+            .drop("_sd"))
+    return r2, seg1.select(*seg_keys)
 
 
 def _bounds(r: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Per key: lower median and the outermost significant gap on each side.
 
     Values are distinct, so "v above the median" is "position above mid".
+    A grouped aggregate: partial aggregation collapses a hot key before the
+    shuffle.
     """
     sig = F.col("z") > F.col("t1")
     return r.groupBy(*keys).agg(
@@ -135,6 +126,11 @@ def _bounds(r: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.max(F.when(F.col("_pos") == F.col("_mid"), F.col("xx"))).alias("median"))
 
 
+def _spread(bounds: DataFrame, segs: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Round 3: per-key bounds copied to each (segment, key) of the key (both small)."""
+    return segs.join(bounds, list(keys))
+
+
 def _flag(xx: Column, hi: Column, lo: Column) -> Column:
     return F.when(xx >= hi, F.lit("upper")).when(xx <= lo, F.lit("lower"))
 
@@ -148,8 +144,9 @@ def gap_scores(df: DataFrame, keys: Sequence[str], value: str, min_n: int = 10,
     (``upper``/``lower``/null).
     """
     keys = list(keys)
-    r = _scored_rows(df, keys, value, min_n, coef, offset, partitions)
-    out = (r.join(_bounds(r, keys), keys)
+    r, segs = _scored_rows(df, keys, value, min_n, coef, offset, partitions)
+    b = _spread(_bounds(r, keys), segs, keys)
+    out = (r.join(b.hint("shuffle_hash"), [SEG, *keys])
             .withColumn("outlier_type", _flag(F.col("xx"), F.col("hi"), F.col("lo"))))
     return out.select(*keys, "xx", "n", "mx", "x1", "y", "z", "t1", "median", "outlier_type")
 
@@ -159,12 +156,12 @@ def gap_outliers(df: DataFrame, keys: Sequence[str], value: str, min_n: int = 10
                  partitions: int | None = None) -> DataFrame:
     """Flagged values only: (keys..., xx, outlier_type).
 
-    Only keys with a significant gap reach the last join, so that side is
-    small and AQE can broadcast it.
+    Only keys with a significant gap reach the last join.
     """
     keys = list(keys)
-    r = _scored_rows(df, keys, value, min_n, coef, offset, partitions)
-    b = _bounds(r, keys).where(F.col("hi").isNotNull() | F.col("lo").isNotNull())
-    out = (r.select(*keys, "xx").join(b.select(*keys, "hi", "lo"), keys)
+    r, segs = _scored_rows(df, keys, value, min_n, coef, offset, partitions)
+    flagged = _bounds(r, keys).where(F.col("hi").isNotNull() | F.col("lo").isNotNull())
+    b = _spread(flagged.select(*keys, "hi", "lo"), segs, keys)
+    out = (r.select(SEG, *keys, "xx").join(b.hint("shuffle_hash"), [SEG, *keys])
             .withColumn("outlier_type", _flag(F.col("xx"), F.col("hi"), F.col("lo"))))
     return out.where(F.col("outlier_type").isNotNull()).select(*keys, "xx", "outlier_type")

@@ -12,6 +12,7 @@ is joined back on (segment, keys).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,19 +23,45 @@ from gapscan.session import ensure_checkpoint_dir
 SEG = "_seg"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once, for every later use: a reliable checkpoint.
+STAGED_PREFIX = "gapscan_staged_"
+
+
+def materialize(df: DataFrame, bucket_by: Sequence[str] | None = None,
+                buckets: int | None = None) -> DataFrame:
+    """Compute ``df`` once, for every later use: a Parquet table in the shared folder.
 
     The segment number comes from sampled range bounds. Rows and the segment
-    table built from them must agree on it, so they have to come from one
+    tables built from them must agree on it, so they have to come from one
     execution of the range shuffle; two separate executions could sample
-    different bounds. The checkpoint goes to the session's checkpoint folder
-    (``spark.checkpoint.dir``, shared on a cluster), so it survives lost
-    executors, and the later branches read it instead of recomputing the
-    window.
+    different bounds. Writing the rows once fixes that, lets later branches
+    read columnar files instead of recomputing the window, and survives lost
+    executors. The files go under the session's checkpoint folder
+    (``spark.checkpoint.dir``, shared on a cluster).
+
+    With ``bucket_by`` the table is bucketed on those columns (as many buckets
+    as shuffle partitions): joins and aggregates on them then read the table
+    without any exchange of the large side — only the small segment tables
+    move.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    name = STAGED_PREFIX + uuid.uuid4().hex
+    path = f"{base}/{name}"
+    if not bucket_by:
+        df.write.parquet(path)
+        return spark.read.parquet(path)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.format("parquet").bucketBy(n, *bucket_by).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def drop_staged(spark) -> int:
+    """Forget the staged tables of this session (their files stay in the
+    checkpoint folder, which the cluster cleans). Returns how many."""
+    names = [t.name for t in spark.catalog.listTables() if t.name.startswith(STAGED_PREFIX)]
+    for t in names:
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    return len(names)
 
 
 def tag_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -64,7 +91,7 @@ def with_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     seg_keys = [SEG, *keys]
     s = tag_segments(df, keys, order, partitions)
     w_in = Window.partitionBy(*seg_keys).orderBy(*_order_cols(order))
-    local = materialize(s.withColumn("_rn", F.row_number().over(w_in)))
+    local = materialize(s.withColumn("_rn", F.row_number().over(w_in)), seg_keys)
     w_key = Window.partitionBy(*keys)
     seg = (local.groupBy(*seg_keys).agg(F.count(F.lit(1)).alias("_cnt"))
             .withColumn(size, F.sum("_cnt").over(w_key))
@@ -72,7 +99,7 @@ def with_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 F.sum("_cnt").over(w_key.orderBy(SEG)
                                    .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
             .select(*seg_keys, size, "_off"))
-    return (local.join(seg, seg_keys)
+    return (local.join(seg.hint("shuffle_hash"), seg_keys)
                  .withColumn(pos, F.col("_off") + F.col("_rn"))
                  .drop("_rn", "_off", SEG))
 
@@ -85,12 +112,12 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     s = tag_segments(df, keys, order, partitions)
     w_in = (Window.partitionBy(*seg_keys).orderBy(*_order_cols(order))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = materialize(s.withColumn("_loc", F.sum(value).over(w_in)))
+    local = materialize(s.withColumn("_loc", F.sum(value).over(w_in)), seg_keys)
     w_key = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
     seg = (local.groupBy(*seg_keys).agg(F.sum(value).alias("_ssum"))
             .withColumn("_soff", F.coalesce(F.sum("_ssum").over(w_key), F.lit(0)))
             .select(*seg_keys, "_soff"))
-    return (local.join(seg, seg_keys)
+    return (local.join(seg.hint("shuffle_hash"), seg_keys)
                  .withColumn(out, F.col("_loc") + F.col("_soff"))
                  .drop("_loc", "_soff", SEG))
 
@@ -105,12 +132,12 @@ def with_next(df: DataFrame, keys: Sequence[str], value: str, out: str = "x1",
     seg_keys = [SEG, *keys]
     s = tag_segments(df, keys, [value], partitions)
     w_in = Window.partitionBy(*seg_keys).orderBy(value)
-    local = materialize(s.withColumn("_nx", F.lead(value).over(w_in)))
+    local = materialize(s.withColumn("_nx", F.lead(value).over(w_in)), seg_keys)
     w_ord = Window.partitionBy(*keys).orderBy(SEG)
     seg = (local.groupBy(*seg_keys).agg(F.min(value).alias("_first"))
             .withColumn("_next", F.lead("_first").over(w_ord))
             .select(*seg_keys, "_next"))
-    return (local.join(seg, seg_keys)
+    return (local.join(seg.hint("shuffle_hash"), seg_keys)
                  .withColumn(out, F.coalesce("_nx", "_next"))
                  .drop("_nx", "_next", SEG))
 
