@@ -1,9 +1,12 @@
-"""Ordered work per key without putting a key into one task.
+"""Ordered work per key without putting an unbounded key into one task.
 
 A window ``partitionBy(keys).orderBy(...)`` sends a whole key to one task; a
-key that holds a third of the rows would then run on one core. These helpers
-range-partition on (keys, order columns) instead, so a hot key is cut into
-several segments of bounded size. The ordered step runs in a window over
+key that holds a third of the rows would then run on one core. Each helper
+writes its input once (``materialize``) and measures the largest key
+(``largest_key``). A key proven to fit ``WINDOW_LIMIT`` rows may be gathered:
+then one window over the key does the work. Otherwise the *segmented* plan
+range-partitions on (keys, order columns), so a hot key is cut into several
+segments of bounded size. The ordered step runs in a window over
 (segment, keys); what crosses segment borders (offsets, the next segment's
 first row) comes from a segment table with at most one row per
 (range partition, key), combined with a window over keys on that table, and
@@ -25,6 +28,35 @@ SEG = "_seg"
 
 STAGED_PREFIX = "gapscan_staged_"
 
+# The largest key (rows) that may be gathered in one task by a window over the
+# key. Above it the segmented plans are used. Two million rows of a few
+# numbers is a few tens of MB: one task sorts and spills that easily.
+WINDOW_LIMIT = 2_000_000
+
+
+LIMIT_CONF = "spark.gapscan.windowLimit"
+
+
+def resolve_limit(spark, window_limit) -> int | None:
+    """``"auto"`` reads ``spark.gapscan.windowLimit`` (negative: always
+    segment) and falls back to ``WINDOW_LIMIT``; ints and None pass through."""
+    if window_limit != "auto":
+        return window_limit
+    v = spark.conf.get(LIMIT_CONF, None)
+    if v is None:
+        return WINDOW_LIMIT
+    return None if int(v) < 0 else int(v)
+
+
+def largest_key(df: DataFrame, keys: Sequence[str]) -> int:
+    """Rows in the largest key of ``df`` (0 when empty).
+
+    A grouped count (partial aggregation collapses a hot key before the
+    shuffle) and a global max: one number reaches the driver.
+    """
+    row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()
+    return int(row[0] or 0)
+
 
 def materialize(df: DataFrame, bucket_by: Sequence[str] | None = None,
                 buckets: int | None = None) -> DataFrame:
@@ -80,14 +112,26 @@ def _order_cols(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
+def _fits(df: DataFrame, keys: Sequence[str], window_limit) -> bool:
+    limit = resolve_limit(df.sparkSession, window_limit)
+    return limit is not None and largest_key(df, keys) <= limit
+
+
 def with_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                   pos: str = "pos", size: str = "n",
-                   partitions: int | None = None) -> DataFrame:
+                   pos: str = "pos", size: str = "n", partitions: int | None = None,
+                   window_limit: int | None | str = "auto") -> DataFrame:
     """Add the 1-based position of each row in its key (by ``order``) and the key size.
 
     ``order`` must make rows unique within a key for the result to be stable.
+    The input is written once; when its largest key fits ``window_limit`` a
+    window over the key does it, else the segmented plan.
     """
     keys = list(keys)
+    df = materialize(df)
+    if _fits(df, keys, window_limit):
+        w = Window.partitionBy(*keys)
+        return (df.withColumn(pos, F.row_number().over(w.orderBy(*_order_cols(order))).cast("long"))
+                  .withColumn(size, F.count(F.lit(1)).over(w)))
     seg_keys = [SEG, *keys]
     s = tag_segments(df, keys, order, partitions)
     w_in = Window.partitionBy(*seg_keys).orderBy(*_order_cols(order))
@@ -100,14 +144,24 @@ def with_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                                    .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
             .select(*seg_keys, size, "_off"))
     return (local.join(seg.hint("shuffle_hash"), seg_keys)
-                 .withColumn(pos, F.col("_off") + F.col("_rn"))
+                 .withColumn(pos, (F.col("_off") + F.col("_rn")).cast("long"))
                  .drop("_rn", "_off", SEG))
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-                out: str, partitions: int | None = None) -> DataFrame:
-    """Running total of ``value`` per key in ``order`` (rows unbounded preceding .. current)."""
+                out: str, partitions: int | None = None,
+                window_limit: int | None | str = "auto") -> DataFrame:
+    """Running total of ``value`` per key in ``order`` (rows unbounded preceding .. current).
+
+    Written once; a window over the key when the largest key fits
+    ``window_limit``, else the segmented plan.
+    """
     keys = list(keys)
+    df = materialize(df)
+    if _fits(df, keys, window_limit):
+        w = (Window.partitionBy(*keys).orderBy(*_order_cols(order))
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        return df.withColumn(out, F.sum(value).over(w))
     seg_keys = [SEG, *keys]
     s = tag_segments(df, keys, order, partitions)
     w_in = (Window.partitionBy(*seg_keys).orderBy(*_order_cols(order))
@@ -123,12 +177,17 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
 
 
 def with_next(df: DataFrame, keys: Sequence[str], value: str, out: str = "x1",
-              partitions: int | None = None) -> DataFrame:
+              partitions: int | None = None,
+              window_limit: int | None | str = "auto") -> DataFrame:
     """Next larger value of ``value`` within its key (null for the last).
 
-    Rows should be distinct on (keys, value).
+    Rows should be distinct on (keys, value). Written once; a window over the
+    key when the largest key fits ``window_limit``, else the segmented plan.
     """
     keys = list(keys)
+    df = materialize(df)
+    if _fits(df, keys, window_limit):
+        return df.withColumn(out, F.lead(value).over(Window.partitionBy(*keys).orderBy(value)))
     seg_keys = [SEG, *keys]
     s = tag_segments(df, keys, [value], partitions)
     w_in = Window.partitionBy(*seg_keys).orderBy(value)
@@ -143,14 +202,16 @@ def with_next(df: DataFrame, keys: Sequence[str], value: str, out: str = "x1",
 
 
 def quantiles_disc(df: DataFrame, keys: Sequence[str], value: str,
-                   probs: dict[str, float], partitions: int | None = None) -> DataFrame:
+                   probs: dict[str, float], partitions: int | None = None,
+                   window_limit: int | None | str = "auto") -> DataFrame:
     """Exact discrete quantiles per key over the rows of ``df``.
 
     The value at position ceil(p * n) of the key's sorted rows, for each
     ``name -> p`` in ``probs``. Rows should be distinct on (keys, value).
     """
     keys = list(keys)
-    ranked = with_positions(df.select(*keys, value), keys, [value], "_p", "_n", partitions)
+    ranked = with_positions(df.select(*keys, value), keys, [value], "_p", "_n", partitions,
+                            window_limit)
     aggs = [F.max(F.when(F.col("_p") == F.ceil(F.col("_n") * F.lit(p)), F.col(value))).alias(name)
             for name, p in probs.items()]
     return ranked.groupBy(*keys).agg(F.max("_n").alias("n"), *aggs)

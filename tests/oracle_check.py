@@ -88,7 +88,9 @@ def compare(spark, sf_dir, names=None):
 if __name__ == "__main__":
     from gapscan.session import local_session
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    names = sys.argv[2:] or None
+    names = [a for a in sys.argv[2:] if a != "--segmented"] or None
     spark = local_session(shuffle_partitions=8)
+    if "--segmented" in sys.argv:
+        spark.conf.set("spark.gapscan.windowLimit", "-1")  # force the segmented plans
     bad = compare(spark, sf, names)
     print("FAILED:", bad)

@@ -101,19 +101,23 @@ def test_make_grid_and_cells(spark):
     assert [r.id for r in grid_lookup(recs, band, ["row", "col"]).collect()] == [1]
 
 
-@pytest.mark.parametrize("parts", [1, 5])
-def test_segment_helpers(spark, parts):
+@pytest.mark.parametrize("kw", [{"partitions": 1, "window_limit": None},
+                                {"partitions": 5, "window_limit": None},
+                                {"window_limit": 10 ** 9}])
+def test_segment_helpers(spark, kw):
     rows = [(k, float(v)) for k in (1, 2) for v in range(k * 50)]
     df = spark.createDataFrame(rows, "k long, v double")
-    pos = {(r.k, r.v): (r.pos, r.n) for r in with_positions(df, ["k"], ["v"], partitions=parts).collect()}
+    pos_df = with_positions(df, ["k"], ["v"], **kw)
+    assert dict(pos_df.dtypes)["pos"] == "bigint" and dict(pos_df.dtypes)["n"] == "bigint"
+    pos = {(r.k, r.v): (r.pos, r.n) for r in pos_df.collect()}
     assert pos[(2, 0.0)] == (1, 100) and pos[(2, 99.0)] == (100, 100) and pos[(1, 10.0)] == (11, 50)
-    nxt = {(r.k, r.v): r.x1 for r in with_next(df, ["k"], "v", partitions=parts).collect()}
+    nxt = {(r.k, r.v): r.x1 for r in with_next(df, ["k"], "v", **kw).collect()}
     assert nxt[(1, 48.0)] == 49.0 and nxt[(1, 49.0)] is None
     rs = {(r.k, r.v): r.cs for r in running_sum(df.withColumn("one", F.lit(2)), ["k"], ["v"], "one", "cs",
-                                                  partitions=parts).collect()}
+                                                  **kw).collect()}
     assert rs[(2, 99.0)] == 200 and rs[(1, 0.0)] == 2
     q = {r.k: (r.n, r.q1, r.med, r.q3) for r in
-         quantiles_disc(df, ["k"], "v", {"q1": 0.25, "med": 0.5, "q3": 0.75}, partitions=parts).collect()}
+         quantiles_disc(df, ["k"], "v", {"q1": 0.25, "med": 0.5, "q3": 0.75}, **kw).collect()}
     assert q[1] == (50, 12.0, 24.0, 37.0)
 
 
