@@ -50,8 +50,10 @@ def _export(spark, sf_dir):
 
 
 def _long_loc(spark, sf_dir):
-    loc = FX.records(spark, sf_dir).select(RECORD_ID, "x_cell", "y_cell")
-    return PR.flagged_long(FX.long(spark, sf_dir).join(loc, RECORD_ID), FX.rf(spark, sf_dir), RECORD_ID)
+    rec, lg, fl = FX.flagged(spark, sf_dir)
+    rf = FL.outlier_records(rec, lg, fl, RECORD_ID, GROUP, FX.CELL)
+    loc = rec.select(RECORD_ID, "x_cell", "y_cell")
+    return PR.flagged_long(lg.join(loc, RECORD_ID), rf, RECORD_ID)
 
 
 def _docs_labels(spark, sf_dir):

@@ -61,19 +61,24 @@ def long(spark: SparkSession, sf_dir: str) -> DataFrame:
                       GROUP, CELL, SURFACES)
 
 
+def flagged(spark: SparkSession, sf_dir: str):
+    """(records, long, flags) built once, for queries that need several of them."""
+    rec = records(spark, sf_dir)
+    lg = long_cells(rec, surfaces_by_record(spark, sf_dir), GROUP, CELL, SURFACES)
+    return rec, lg, gap_outliers(lg, [GROUP, "surface"], "xx")
+
+
 def flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gap_outliers(long(spark, sf_dir), [GROUP, "surface"], "xx")
+    return flagged(spark, sf_dir)[2]
 
 
 def rf(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagged (record_id, group_key, surface, xx)."""
-    lg = long(spark, sf_dir)
-    fl = gap_outliers(lg, [GROUP, "surface"], "xx")
-    return outlier_records(records(spark, sf_dir), lg, fl, RECORD_ID, GROUP, CELL)
+    rec, lg, fl = flagged(spark, sf_dir)
+    return outlier_records(rec, lg, fl, RECORD_ID, GROUP, CELL)
 
 
 def export(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flagged records, wide, from one more scan of the records."""
-    lg = long(spark, sf_dir)
-    fl = gap_outliers(lg, [GROUP, "surface"], "xx")
-    return export_flagged(records(spark, sf_dir), lg, fl, RECORD_ID, GROUP, CELL, SURFACES)
+    rec, lg, fl = flagged(spark, sf_dir)
+    return export_flagged(rec, lg, fl, RECORD_ID, GROUP, CELL, SURFACES)
