@@ -44,12 +44,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder of the session.
 
     A cluster names a shared folder in ``spark.checkpoint.dir``; that one is
-    used as is. Only when it is unset (local tests) a scratch folder is made.
+    used as is. Only a local session (tests, the bench) gets a scratch folder
+    when none is set; on a cluster a missing setting is an error, because a
+    machine-local folder would not survive a lost executor.
     """
     sc = spark.sparkContext
-    path = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on HDFS or S3)")
         path = tempfile.mkdtemp(prefix="gapscan-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(path)
+    sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
