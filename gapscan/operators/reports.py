@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gapscan.operators.flags import membership
@@ -91,6 +91,14 @@ def random_group(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
               .orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(1))
 
 
+def label_group(records: DataFrame, flagged: DataFrame, record_id: str,
+                where: Column | None = None, out: str = "is_flagged") -> DataFrame:
+    """Records picked by ``where`` (class, year, group, ...), labelled yes/no
+    by whether the detector flagged them."""
+    picked = records.where(where) if where is not None else records
+    return membership(picked, flagged, record_id, out)
+
+
 def detector_overlap(records: DataFrame, a_ids: DataFrame, b_ids: DataFrame, record_id: str,
                      a: str = "in_a", b: str = "in_b") -> DataFrame:
     """Records flagged by detector a, by b, by both: a frequency table."""

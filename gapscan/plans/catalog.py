@@ -218,10 +218,9 @@ def q_left_outer_flags(spark, sf_dir):
 
 
 def membership_flag(spark, sf_dir):
-    rec = FX.records(spark, sf_dir)
-    picked = rec.where((F.col("record_class") == "F") & (F.col("y_cell") >= 3))
-    return FL.membership(picked.select(RECORD_ID, GROUP, "record_class", "y_cell"),
-                         FX.rf(spark, sf_dir), RECORD_ID, "is_flagged")
+    rec = FX.records(spark, sf_dir).select(RECORD_ID, GROUP, "record_class", "y_cell")
+    return RP.label_group(rec, FX.rf(spark, sf_dir), RECORD_ID,
+                          (F.col("record_class") == "F") & (F.col("y_cell") >= 3))
 
 
 def q_semi_filter(spark, sf_dir):
