@@ -1,4 +1,4 @@
-"""Gap outliers ("reverse jackknife") per key — the core operator.
+"""Gap outliers per key — the core operator.
 
 For every key, over its distinct non-null values x1 < ... < xn:
 

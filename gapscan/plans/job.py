@@ -20,7 +20,8 @@ from gapscan.operators.prepare import prepare_records
 from gapscan.sources import (BIOCLIM_SURFACES, EXCLUDED_BASIS, KINGDOM_KEYS, read_surfaces,
                              surface_schema, write_export)
 
-# The record columns kept by the job, in the reference's order.
+# The columns of the occurrence table kept by the job, in the
+# order the export lists them (the first is the record id).
 RECORD_COLUMNS = [
     "gbifid", "datasetkey", "basisofrecord", "specieskey", "genuskey", "familykey", "orderkey",
     "phylumkey", "classkey", "kingdomkey", "species", "genus", "family", "phylum", "order_",
@@ -61,7 +62,7 @@ def outlier_job(occ: DataFrame, surfaces: DataFrame,
     surf = keyed_surfaces(surfaces)
     long = long_cells(rec, surf, "specieskey", CELL_KEYS, list(surface_cols))
     flags = gap_outliers(long, ["specieskey", "surface"], "xx", min_n=min_n)
-    export = export_flagged(rec, long, flags, "gbifid", "specieskey", CELL_KEYS,
+    export = export_flagged(rec, long, flags, RECORD_COLUMNS[0], "specieskey", CELL_KEYS,
                             list(surface_cols), name="n_bioclim_outliers")
     return export.drop(*CELL_KEYS)
 

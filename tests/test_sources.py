@@ -43,9 +43,9 @@ def test_csv_and_catalog_and_dim(spark):
     d = _tmp()
     path = os.path.join(d, "ids.csv")
     with open(path, "w") as fh:
-        fh.write("gbifID,name\n1,a\n2,b\n")
-    df = S.read_records_csv(spark, path, "gbifID long, name string")
-    assert [r.gbifID for r in df.collect()] == [1, 2]
+        fh.write("rec_id,name\n1,a\n2,b\n")
+    df = S.read_records_csv(spark, path, "rec_id long, name string")
+    assert [r.rec_id for r in df.collect()] == [1, 2]
     df.createOrReplaceTempView("occ_test")
     assert S.read_records(spark, "occ_test").count() == 2
     dim = S.surface_dim(spark).collect()
