@@ -81,3 +81,27 @@ def run(spark: SparkSession, occurrence_table: str, surfaces_path: str, out_path
     export = outlier_job(occ, surfaces, surface_cols).observe(obs, F.count(F.lit(1)).alias("rows"))
     write_export(export, out_path, mode=mode)
     return int(obs.get["rows"])
+
+
+def main(argv: Sequence[str] | None = None) -> None:
+    """Command line: ``python -m gapscan.plans.job TABLE SURFACES_TSV OUT [options]``.
+
+    Uses the session of ``spark-submit`` (cluster settings, including the
+    shared ``spark.checkpoint.dir``).
+    """
+    import argparse
+    p = argparse.ArgumentParser(description="Flag gap outliers of records on numeric surfaces.")
+    p.add_argument("table", help="catalog table of occurrence records")
+    p.add_argument("surfaces", help="tab-separated surface table with a header line")
+    p.add_argument("out", help="Parquet output path (must not exist unless --mode overwrite)")
+    p.add_argument("--surfaces-list", default=",".join(n for n, _ in BIOCLIM_SURFACES),
+                   help="comma-separated surface columns")
+    p.add_argument("--mode", default="errorifexists", choices=["errorifexists", "overwrite"])
+    a = p.parse_args(argv)
+    spark = SparkSession.builder.appName("gapscan-outliers").getOrCreate()
+    rows = run(spark, a.table, a.surfaces, a.out, a.surfaces_list.split(","), a.mode)
+    print(f"exported {rows} records")
+
+
+if __name__ == "__main__":
+    main()
