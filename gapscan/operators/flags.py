@@ -19,7 +19,7 @@ def long_cells(records: DataFrame, surfaces: DataFrame, group: str, cell_keys: S
 
     Reducing the records to distinct (group, cell) before the join is the main
     saving: records far outnumber the cells a group occupies. With ``stage``
-    that narrow set is checkpointed, so the flag search and the later match of
+    that narrow set is staged (written once to the checkpoint folder), so the flag search and the later match of
     flags to cells do not scan the records again.
     Columns: group, cell keys, surface, xx.
     """

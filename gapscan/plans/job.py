@@ -56,7 +56,7 @@ def outlier_job(occ: DataFrame, surfaces: DataFrame,
     surface (the flagged value or null) and ``n_bioclim_outliers``.
 
     The occurrence table is scanned twice: once for its distinct (species,
-    cell) pairs (checkpointed, narrow), once to pick up the flagged records.
+    cell) pairs (staged once, narrow), once to pick up the flagged records.
     """
     rec = prepared_occurrences(occ)
     surf = keyed_surfaces(surfaces)
