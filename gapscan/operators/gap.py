@@ -48,7 +48,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gapscan.operators.segments import SEG, largest_key, materialize, resolve_limit, tag_segments
+from gapscan.operators.segments import SEG, fits_one_task, materialize, tag_segments
 
 
 def _gap_score(x: Column, x1: Column, mx: Column) -> Column:
@@ -162,10 +162,8 @@ def _scored_window(d: DataFrame, keys: Sequence[str], min_n: int, coef: float,
 
 def _staged_values(df: DataFrame, keys: Sequence[str], value: str, window_limit):
     """Distinct values written once, and whether every key fits one task."""
-    d = materialize(_distinct_values(df, keys, value))
-    limit = resolve_limit(df.sparkSession, window_limit)
-    fits = limit is not None and largest_key(d, keys) <= limit
-    return d, fits
+    d, rows = materialize(_distinct_values(df, keys, value), counted=True)
+    return d, fits_one_task(d, rows, keys, window_limit)
 
 
 def gap_scores(df: DataFrame, keys: Sequence[str], value: str, min_n: int = 10,

@@ -59,7 +59,7 @@ def largest_key(df: DataFrame, keys: Sequence[str]) -> int:
 
 
 def materialize(df: DataFrame, bucket_by: Sequence[str] | None = None,
-                buckets: int | None = None) -> DataFrame:
+                buckets: int | None = None, counted: bool = False):
     """Compute ``df`` once, for every later use: a Parquet table in the shared folder.
 
     The segment number comes from sampled range bounds. Rows and the segment
@@ -73,18 +73,24 @@ def materialize(df: DataFrame, bucket_by: Sequence[str] | None = None,
     With ``bucket_by`` the table is bucketed on those columns (as many buckets
     as shuffle partitions): joins and aggregates on them then read the table
     without any exchange of the large side — only the small segment tables
-    move.
+    move. With ``counted`` the row count, observed during the write (no extra
+    job), is returned as well.
     """
+    from pyspark.sql import Observation
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     name = STAGED_PREFIX + uuid.uuid4().hex
     path = f"{base}/{name}"
+    obs = Observation(name)
+    df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
     if not bucket_by:
         df.write.parquet(path)
-        return spark.read.parquet(path)
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    df.write.format("parquet").bucketBy(n, *bucket_by).option("path", path).saveAsTable(name)
-    return spark.table(name)
+        staged = spark.read.parquet(path)
+    else:
+        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df.write.format("parquet").bucketBy(n, *bucket_by).option("path", path).saveAsTable(name)
+        staged = spark.table(name)
+    return (staged, int(obs.get["rows"])) if counted else staged
 
 
 def drop_staged(spark) -> int:
@@ -112,9 +118,16 @@ def _order_cols(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def _fits(df: DataFrame, keys: Sequence[str], window_limit) -> bool:
+def fits_one_task(df: DataFrame, rows: int, keys: Sequence[str], window_limit) -> bool:
+    """Is every key of the staged ``df`` (``rows`` rows in all) within the limit?
+
+    When the whole table is within it, no key can exceed it and nothing more
+    is computed; otherwise one grouped count measures the largest key.
+    """
     limit = resolve_limit(df.sparkSession, window_limit)
-    return limit is not None and largest_key(df, keys) <= limit
+    if limit is None:
+        return False
+    return rows <= limit or largest_key(df, keys) <= limit
 
 
 def with_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -127,8 +140,8 @@ def with_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     window over the key does it, else the segmented plan.
     """
     keys = list(keys)
-    df = materialize(df)
-    if _fits(df, keys, window_limit):
+    df, rows = materialize(df, counted=True)
+    if fits_one_task(df, rows, keys, window_limit):
         w = Window.partitionBy(*keys)
         return (df.withColumn(pos, F.row_number().over(w.orderBy(*_order_cols(order))).cast("long"))
                   .withColumn(size, F.count(F.lit(1)).over(w)))
@@ -157,8 +170,8 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     ``window_limit``, else the segmented plan.
     """
     keys = list(keys)
-    df = materialize(df)
-    if _fits(df, keys, window_limit):
+    df, rows = materialize(df, counted=True)
+    if fits_one_task(df, rows, keys, window_limit):
         w = (Window.partitionBy(*keys).orderBy(*_order_cols(order))
              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
         return df.withColumn(out, F.sum(value).over(w))
@@ -185,8 +198,8 @@ def with_next(df: DataFrame, keys: Sequence[str], value: str, out: str = "x1",
     key when the largest key fits ``window_limit``, else the segmented plan.
     """
     keys = list(keys)
-    df = materialize(df)
-    if _fits(df, keys, window_limit):
+    df, rows = materialize(df, counted=True)
+    if fits_one_task(df, rows, keys, window_limit):
         return df.withColumn(out, F.lead(value).over(Window.partitionBy(*keys).orderBy(value)))
     seg_keys = [SEG, *keys]
     s = tag_segments(df, keys, [value], partitions)
