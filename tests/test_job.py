@@ -53,4 +53,8 @@ def test_outlier_job_end_to_end(spark):
     path = os.path.join(d, "export.parquet")
     assert J.run(spark, "occurrence_test", tsv, path, ["bio1", "bio2"]) == 6
     assert spark.read.parquet(path).count() == 6
+    # the command line does the same, with real arguments
+    cli_out = os.path.join(d, "cli.parquet")
+    J.main(["occurrence_test", tsv, cli_out, "--surfaces-list", "bio1,bio2"])
+    assert spark.read.parquet(cli_out).count() == 6
     assert spark.read.parquet(path).where(F.col("n_bioclim_outliers") > 0).count() == 6

@@ -16,6 +16,15 @@ def test_gap_plan_has_no_python_and_no_global_window(spark):
     assert "SinglePartition" not in plan
 
 
+def test_gap_window_plan_has_one_exchange(spark):
+    """After the distinct values are staged, the window plan shuffles once, on the key."""
+    import re
+    o = spark.read.parquet(f"{SF001}/orders.parquet")
+    for df in (gap_outliers(o, ["o_custkey"], "o_totalprice"),):
+        plan = _plan(df)
+        assert re.findall(r"Exchange (\w+)partitioning\((\w+)#", plan) == [("hash", "o_custkey")]
+
+
 def test_scan_prunes_and_pushes(spark):
     from gapscan.plans.catalog import q_prepare_records
     plan = q_prepare_records(spark, SF001)._jdf.queryExecution().executedPlan().toString()
