@@ -49,6 +49,11 @@ def range_or_null(df: DataFrame, col: str, upper: float) -> DataFrame:
     return df.where((F.col(col) < upper) | F.col(col).isNull())
 
 
+def rows_containing(df: DataFrame, col: str, text: str) -> DataFrame:
+    """Keep rows whose text column contains ``text`` (e.g. surface names with "bio")."""
+    return df.where(F.col(col).contains(text))
+
+
 def drop_null_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Drop rows with any null in ``columns`` (default: all columns)."""
     return df.dropna(how="any", subset=list(columns) if columns else None)

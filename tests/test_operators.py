@@ -12,7 +12,7 @@ from gapscan.operators import reports as RP
 from gapscan.operators.grid import (build_surfaces, grid_lookup, make_grid, point_cells,
                                     raster_cell_join)
 from gapscan.operators.prepare import (drop_null_rows, prepare_records, range_or_null,
-                                       rename_by_index, scale_columns, select_like)
+                                       rename_by_index, rows_containing, scale_columns, select_like)
 from gapscan.operators.reshape import pivot_wide, unpivot_surfaces
 from gapscan.operators.segments import quantiles_disc, running_sum, with_next, with_positions
 
@@ -70,6 +70,8 @@ def test_filters_and_columns(spark):
     wide = spark.createDataFrame([(1, 1.0, 2.0, 3.0)], "id long, bio1 double, bio2 double, comp1 double")
     assert select_like(wide, contains=["bio"], keep=["id"]).columns == ["id", "bio1", "bio2"]
     assert rename_by_index(wide, "bio", "outlier", 19).columns == ["id", "outlier1", "outlier2", "comp1"]
+    names = spark.createDataFrame([("bio1",), ("comp1",), ("bio12",)], "surface string")
+    assert sorted(r.surface for r in rows_containing(names, "surface", "bio").collect()) == ["bio1", "bio12"]
 
 
 def test_unpivot_and_pivot_round_trip(spark):
