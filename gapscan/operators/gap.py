@@ -48,7 +48,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gapscan.operators.segments import SEG, fits_one_task, materialize, tag_segments
+from gapscan.operators.segments import SEG, bucket_count, fits_one_task, materialize, tag_segments
 
 
 def _gap_score(x: Column, x1: Column, mx: Column) -> Column:
@@ -66,7 +66,7 @@ def _distinct_values(df: DataFrame, keys: Sequence[str], value: str) -> DataFram
               .distinct())
 
 
-def _scored_segments(d: DataFrame, keys: Sequence[str], min_n: int,
+def _scored_segments(d: DataFrame, rows_in: int, keys: Sequence[str], min_n: int,
                      coef: float, offset: float, partitions: int | None):
     """Segmented plan. Scored rows (segment, keys, xx, n, mx, x1, y, z, t1,
     _pos, _mid) and the keys' segment list, for keys with n >= min_n."""
@@ -75,7 +75,8 @@ def _scored_segments(d: DataFrame, keys: Sequence[str], min_n: int,
     s = tag_segments(d, keys, ["xx"], partitions)
     w_in = Window.partitionBy(*seg_keys).orderBy("xx")
     rows = materialize(s.withColumn("_nx", F.lead("xx").over(w_in))
-                        .withColumn("_rn", F.row_number().over(w_in)), seg_keys)
+                        .withColumn("_rn", F.row_number().over(w_in)), seg_keys,
+                       bucket_count(d.sparkSession, rows_in))
 
     w_ord = Window.partitionBy(*keys).orderBy(SEG)
     w_key = Window.partitionBy(*keys)
@@ -163,7 +164,7 @@ def _scored_window(d: DataFrame, keys: Sequence[str], min_n: int, coef: float,
 def _staged_values(df: DataFrame, keys: Sequence[str], value: str, window_limit):
     """Distinct values written once, and whether every key fits one task."""
     d, rows = materialize(_distinct_values(df, keys, value), counted=True)
-    return d, fits_one_task(d, rows, keys, window_limit)
+    return d, rows, fits_one_task(d, rows, keys, window_limit)
 
 
 def gap_scores(df: DataFrame, keys: Sequence[str], value: str, min_n: int = 10,
@@ -178,11 +179,11 @@ def gap_scores(df: DataFrame, keys: Sequence[str], value: str, min_n: int = 10,
     """
     keys = list(keys)
     cols = [*keys, "xx", "n", "mx", "x1", "y", "z", "t1", "median", "outlier_type"]
-    d, fits = _staged_values(df, keys, value, window_limit)
+    d, rows, fits = _staged_values(df, keys, value, window_limit)
     if fits:
         r = _scored_window(d, keys, min_n, coef, offset)
         return r.withColumn("outlier_type", _flag(F.col("xx"), F.col("hi"), F.col("lo"))).select(*cols)
-    r, segs = _scored_segments(d, keys, min_n, coef, offset, partitions)
+    r, segs = _scored_segments(d, rows, keys, min_n, coef, offset, partitions)
     b = _spread(_bounds(r, keys), segs, keys)
     out = (r.join(b.hint("shuffle_hash"), [SEG, *keys])
             .withColumn("outlier_type", _flag(F.col("xx"), F.col("hi"), F.col("lo"))))
@@ -194,12 +195,12 @@ def gap_outliers(df: DataFrame, keys: Sequence[str], value: str, min_n: int = 10
                  window_limit: int | None | str = "auto") -> DataFrame:
     """Flagged values only: (keys..., xx, outlier_type)."""
     keys = list(keys)
-    d, fits = _staged_values(df, keys, value, window_limit)
+    d, rows, fits = _staged_values(df, keys, value, window_limit)
     if fits:
         r = _scored_window(d, keys, min_n, coef, offset)
         out = r.withColumn("outlier_type", _flag(F.col("xx"), F.col("hi"), F.col("lo")))
         return out.where(F.col("outlier_type").isNotNull()).select(*keys, "xx", "outlier_type")
-    r, segs = _scored_segments(d, keys, min_n, coef, offset, partitions)
+    r, segs = _scored_segments(d, rows, keys, min_n, coef, offset, partitions)
     # Only keys with a significant gap reach the last join.
     flagged = _bounds(r, keys).where(F.col("hi").isNotNull() | F.col("lo").isNotNull())
     b = _spread(flagged.select(*keys, "hi", "lo"), segs, keys)

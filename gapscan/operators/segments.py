@@ -36,6 +36,16 @@ WINDOW_LIMIT = 2_000_000
 
 LIMIT_CONF = "spark.gapscan.windowLimit"
 
+# Rows per bucket of a staged segment table: buckets are sized from the
+# observed row count (at most the shuffle partitions), so a small table is
+# not spread over hundreds of near-empty files and tasks.
+ROWS_PER_BUCKET = 1_000_000
+
+
+def bucket_count(spark, rows: int) -> int:
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(parts, -(-rows // ROWS_PER_BUCKET)))
+
 
 def resolve_limit(spark, window_limit) -> int | None:
     """``"auto"`` reads ``spark.gapscan.windowLimit`` (negative: always
@@ -148,7 +158,8 @@ def with_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     seg_keys = [SEG, *keys]
     s = tag_segments(df, keys, order, partitions)
     w_in = Window.partitionBy(*seg_keys).orderBy(*_order_cols(order))
-    local = materialize(s.withColumn("_rn", F.row_number().over(w_in)), seg_keys)
+    local = materialize(s.withColumn("_rn", F.row_number().over(w_in)), seg_keys,
+                        bucket_count(df.sparkSession, rows))
     w_key = Window.partitionBy(*keys)
     seg = (local.groupBy(*seg_keys).agg(F.count(F.lit(1)).alias("_cnt"))
             .withColumn(size, F.sum("_cnt").over(w_key))
@@ -179,7 +190,8 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     s = tag_segments(df, keys, order, partitions)
     w_in = (Window.partitionBy(*seg_keys).orderBy(*_order_cols(order))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = materialize(s.withColumn("_loc", F.sum(value).over(w_in)), seg_keys)
+    local = materialize(s.withColumn("_loc", F.sum(value).over(w_in)), seg_keys,
+                        bucket_count(df.sparkSession, rows))
     w_key = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
     seg = (local.groupBy(*seg_keys).agg(F.sum(value).alias("_ssum"))
             .withColumn("_soff", F.coalesce(F.sum("_ssum").over(w_key), F.lit(0)))
@@ -204,7 +216,8 @@ def with_next(df: DataFrame, keys: Sequence[str], value: str, out: str = "x1",
     seg_keys = [SEG, *keys]
     s = tag_segments(df, keys, [value], partitions)
     w_in = Window.partitionBy(*seg_keys).orderBy(value)
-    local = materialize(s.withColumn("_nx", F.lead(value).over(w_in)), seg_keys)
+    local = materialize(s.withColumn("_nx", F.lead(value).over(w_in)), seg_keys,
+                        bucket_count(df.sparkSession, rows))
     w_ord = Window.partitionBy(*keys).orderBy(SEG)
     seg = (local.groupBy(*seg_keys).agg(F.min(value).alias("_first"))
             .withColumn("_next", F.lead("_first").over(w_ord))
