@@ -19,14 +19,15 @@ def long_cells(records: DataFrame, surfaces: DataFrame, group: str, cell_keys: S
 
     Reducing the records to distinct (group, cell) before the join is the main
     saving: records far outnumber the cells a group occupies. With ``stage``
-    that narrow set is written once to the checkpoint folder, so the flag
-    search and the later match of flags to cells do not scan the records again.
+    the joined (group, cell, surfaces) table is written once to the checkpoint
+    folder, so the flag search and the later match of flags to cells neither
+    scan the records nor join the surfaces again.
     Columns: group, cell keys, surface, xx.
     """
     cells = records.select(group, *cell_keys).where(F.col(group).isNotNull()).distinct()
-    if stage:
-        cells = materialize(cells)
     joined = cells.join(surfaces.select(*cell_keys, *surface_cols), list(cell_keys), "inner")
+    if stage:
+        joined = materialize(joined)
     return unpivot_surfaces(joined, [group, *cell_keys], surface_cols, name, value)
 
 
