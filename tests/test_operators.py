@@ -189,3 +189,16 @@ def test_profile_and_reports(spark):
     mean = RP.mean_by_flag_count(FL.outlier_export(records, rf, "record_id", ["a", "b"]), "record_id",
                                  "amount").collect()
     assert mean[0].n_outliers == 1
+
+
+def test_materialize_bucketed_and_drop_staged(spark):
+    from gapscan.operators.segments import STAGED_PREFIX, drop_staged, materialize
+    df = spark.range(10).withColumn("k", F.col("id") % 3)
+    staged, rows = materialize(df, ["k"], 2, counted=True)
+    assert rows == 10 and staged.count() == 10
+    plan = staged.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and "Exchange" not in plan   # aggregate reads the buckets in place
+    plain = materialize(df)
+    assert sorted(r.id for r in plain.collect()) == list(range(10))
+    assert drop_staged(spark) >= 1
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith(STAGED_PREFIX)]
