@@ -129,21 +129,16 @@ def near_links(fps: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, g
     are those of all pairs within ``distance`` bits."""
     level = fps.select("fp", F.lit("").alias("table"), F.lit(0).cast("long").alias("key"),
                        F.lit(-1).cast("long").alias("free"))
-    found = None
+    spark, found, frees = fps.sparkSession, None, [(1 << 64) - 1]
     for depth in range(3):
-        # every table of this level splits the bits its rows have left in the same way
-        frees = [(1 << 64) - 1]
-        for _ in range(depth):
-            frees = sorted({other for f in frees for _, other in block_masks(f, blocks, distance)})
-        choice = None
-        for f in frees:
-            tables = F.array(*[F.struct(F.lit(_signed(k)).alias("kept"), F.lit(_signed(o)).alias("other"))
-                               for k, o in block_masks(f, blocks, distance)])
-            choice = tables if choice is None else F.when(F.col("free") == _signed(f), tables).otherwise(choice)
-        rows = (level.withColumn("t", F.explode(choice))
-                .select("fp", F.concat_ws("/", "table", F.hex("t.kept")).alias("table"),
-                        F.xxhash64("key", F.col("fp").bitwiseAND(F.col("t.kept"))).alias("key"),
-                        F.col("t.other").alias("free")))
+        # how each set of free bits is split: 20, 400 or 8000 fixed rows
+        masks = spark.createDataFrame(
+            [(_signed(f), _signed(kept), _signed(other)) for f in frees
+             for kept, other in block_masks(f, blocks, distance)], "free bigint, kept bigint, other bigint")
+        frees = sorted({other for f in frees for _, other in block_masks(f, blocks, distance)})
+        rows = level.join(F.broadcast(masks), "free").select(
+            "fp", F.concat_ws("/", "table", F.hex("kept")).alias("table"),
+            F.xxhash64("key", F.col("fp").bitwiseAND(F.col("kept"))).alias("key"), F.col("other").alias("free"))
         rows = stage(rows, "blocks")
         keys = ["table", "key"]
         sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1")

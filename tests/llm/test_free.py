@@ -1,0 +1,303 @@
+"""Line dedup, SimHash, toxicity, token files, WARC and packing against plain Python."""
+
+import base64
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from gapscan.llm import huffman, line_dedup, packing, simhash, token_files, tokens, toxicity, warc
+
+TOK = tokens.default_tokenizer()
+
+
+def ids_of(texts, end):
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(TOK)
+    t.encode_special_tokens = True
+    return [t.encode(x or "", add_special_tokens=False).ids + [end] for x in texts]
+
+
+def crc(ids):
+    return zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+
+
+def order(r):
+    return (r["doc_id"] is None, r["doc_id"] or 0)
+
+
+# ---- tokens and token files
+
+def test_encoder_equals_tokenizer():
+    random.seed(5)
+    alpha = "ab'éЖ中×÷\t\r\n  .,5½  é—s't don't I'll<|endoftext|>"
+    texts = ["".join(random.choice(alpha) for _ in range(random.randint(0, 60))) for _ in range(3000)]
+    texts += ["", "x" * 300_000, "ab " * 400_000, "'s 's", "a\t  b", "\n\n x", "a" * 70 + " " + "b" * 70]
+    ids, at = tokens.Encoder(TOK).encode(texts)
+    want = ids_of(texts, 0)
+    assert all(list(ids[a:z]) == w[:-1] for a, z, w in zip(at, at[1:], want))
+
+
+def test_huffman_round_trip():
+    rng = np.random.default_rng(1)
+    for n, symbols in ((0, 5), (1, 1), (700, 1), (5000, 3), (70_000, 50_000)):
+        ids = np.minimum(rng.zipf(1.3, n) - 1, symbols - 1).astype(np.uint32)
+        lengths = huffman.code_lengths(np.bincount(ids, minlength=symbols))
+        used = lengths[lengths > 0].astype(int)
+        assert not len(used) or (used.max() <= huffman.LIMIT and sum(2.0 ** -used) <= 1)
+        payload, marks = huffman.encode(ids, huffman.canonical_codes(lengths), lengths)
+        back = huffman.decode(payload, marks, n, huffman.decode_table(lengths))
+        assert (back == ids).all()
+    # lengths are the best ones where the limit does not bind
+    assert sorted(huffman.code_lengths(np.array([1, 1, 2, 4]))) == [1, 2, 3, 3]
+    assert max(huffman.code_lengths(np.array([1, 2, 4, 8, 16, 32, 64]), limit=4)) == 4
+
+
+@pytest.mark.parametrize("which", ["edge", "sf"])
+def test_token_files(spark, edge_docs, sf_docs, write_docs, which):
+    docs = edge_docs if which == "edge" else sf_docs
+    got = sorted(token_files.op8_token_files(spark, write_docs(docs)).collect(), key=lambda r: r["start"])
+    rows = docs.collect()
+    assert len(got) == len(rows)
+    want = defaultdict(list)
+    for r, ids in zip(rows, ids_of([r["text"] for r in rows], 2)):
+        want[r["doc_id"]].append((len(ids), crc(ids)))
+    at, seen = 0, defaultdict(list)
+    for r in got:
+        assert r["start"] == at
+        at += r["n_tokens"]
+        seen[r["doc_id"]].append((r["n_tokens"], r["ids_crc32"]))
+    assert {k: sorted(v) for k, v in seen.items()} == {k: sorted(v) for k, v in want.items()}
+    assert [r["doc_id"] for r in got] == [r["doc_id"] for r in sorted(rows, key=order)]
+
+
+def test_empty_tables(spark, edge_docs, write_docs):
+    none = edge_docs.limit(0)
+    d = write_docs(none)
+    write_docs(spark.createDataFrame([], "doc_id long, toxic int, quality int"), "labels")
+    write_docs(spark.createDataFrame([], "page_id long, url string, html string"), "pages")
+    for f in (token_files.op8_token_files, packing.op10_pack, simhash.op6_simhash, line_dedup.op4_line_dedup,
+              toxicity.op7_toxicity, warc.op9_warc):
+        assert f(spark, d).count() == 0, f
+
+
+# ---- packing
+
+@pytest.mark.parametrize("which", ["edge", "sf"])
+def test_packing(spark, edge_docs, sf_docs, write_docs, which, monkeypatch):
+    monkeypatch.setattr(packing, "PIECES", 16)
+    monkeypatch.setattr(packing, "FAN", 2)
+    docs = edge_docs if which == "edge" else sf_docs
+    rows = packing.op10_pack(spark, write_docs(docs)).collect()
+    src = docs.collect()
+    want = Counter()
+    total = 0
+    for r, ids in zip(src, ids_of([r["text"] for r in src], 0)):
+        total += len(ids)
+        first = (len(ids) - 1) % 2048 + 1
+        bounds = [0, *range(first, len(ids) + 1, 2048)]
+        for p, (a, z) in enumerate(zip(bounds, bounds[1:])):
+            want[r["doc_id"], p, a, z - a, crc(ids[a:z])] += 1
+    assert want == Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows)
+    bins = defaultdict(list)
+    for r in rows:
+        bins[r["sequence_id"]].append((r["offset"], r["length"]))
+    for b in bins.values():
+        at = 0
+        for offset, n in sorted(b):
+            assert offset == at
+            at += n
+        assert at <= 2048
+    assert len(bins) <= 1.1 * -(-total // 2048) + 2
+
+
+# ---- SimHash
+
+def plain_simhash(text):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    sh = [b" ".join(words[i:i + 3]) for i in range(max(len(words) - 2, 1))]
+    hs = [xxhash.xxh64_intdigest(s, 42) for s in sh]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
+
+
+def plain_components(fps, distance=3):
+    parent = list(range(len(fps)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+    for i in range(len(fps)):
+        for j in range(i):
+            if (fps[i] ^ fps[j]).bit_count() <= distance:
+                parent[root(i)] = root(j)
+    return [root(i) for i in range(len(fps))]
+
+
+@pytest.mark.parametrize("which", ["edge", "sf"])
+def test_simhash(spark, edge_docs, sf_docs, write_docs, which):
+    docs = edge_docs if which == "edge" else sf_docs
+    rows = simhash.op6_simhash(spark, write_docs(docs)).collect()
+    src = sorted(docs.collect(), key=order)
+    fps = [plain_simhash(r["text"]) for r in src]
+    comp = plain_components(fps)
+    least = {}
+    for r, c in zip(src, comp):
+        least.setdefault(c, r["doc_id"])
+    want = Counter((r["doc_id"], f"{f:016x}", least[c]) for r, f, c in zip(src, fps, comp))
+    assert Counter(map(tuple, rows)) == want
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert Counter(r["doc_id"] for r in kept.collect()) == Counter(least.values())
+
+
+@pytest.mark.parametrize("group", [2, 2048])
+def test_simhash_links(spark, group):
+    """A ball of near fingerprints and random ones, also when groups must be split again."""
+    rng = random.Random(3)
+    fps = {0}
+    centre = rng.getrandbits(64)
+    for _ in range(60):
+        f = centre
+        for b in rng.sample(range(64), rng.randint(0, 5)):
+            f ^= 1 << b
+        fps.add(f)
+    fps |= {rng.getrandbits(64) for _ in range(40)}
+    fps = sorted(fps)
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    df = spark.createDataFrame([(s,) for s in signed], "fp long")
+    links = simhash.near_links(df, group=group)
+    got = {r["node"]: r["component"] for r in simhash.components(links).collect()}
+    want = plain_components(fps)
+    groups = defaultdict(set)
+    for s, c in zip(signed, want):
+        groups[c].add(s)
+    assert Counter(frozenset(g) for g in groups.values() if len(g) > 1) == Counter(
+        frozenset(n for n in got if got[n] == c) for c in set(got.values()))
+
+
+def test_components_of_a_chain(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101)], "a long, b long")
+    got = {r["node"]: r["component"] for r in simhash.components(links).collect()}
+    assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100}
+
+
+# ---- line dedup
+
+def test_patience_against_definition():
+    rng = random.Random(2)
+    for _ in range(300):
+        a = [rng.randint(0, 6) for _ in range(rng.randint(0, 12))]
+        b = [rng.randint(0, 6) for _ in range(rng.randint(0, 12))]
+        m = line_dedup.patience(a, b)
+        assert all(a[i] == b[j] for i, j in m)
+        assert all(x[0] < y[0] and x[1] < y[1] for x, y in zip(m, m[1:]))
+        assert line_dedup.patience(a, a) == [(i, i) for i in range(len(a))]
+
+
+def test_line_dedup(spark, edge_docs):
+    w = lambda k, n=12: " ".join(f"{k}{i}" for i in range(n))
+    passage = "\n".join(w(f"p{k}_") for k in range(5))            # 60 words in 5 lines
+    docs = {
+        1: w("a") + "\n" + passage + "\n" + w("b"),
+        2: w("c") + "\n\n" + passage + "\n" + w("d"),               # loses the passage
+        3: w("e") + "\n" + w("p0_") + "\n" + w("f"),                # one short shared line: stays
+        4: w("g", 60),
+        5: "  " + w("g", 60) + " \n" + w("h"),                       # one long shared line goes
+        6: w("a") + "\n" + passage + "\n" + w("b"),                  # exact copy of 1: nothing left
+        7: "clean text of its own",
+        8: passage.replace("p2_3", "changed"),                      # two blocks of 24 words: stay
+    }
+    df = spark.createDataFrame([(k, v, len(v)) for k, v in docs.items()], "doc_id long, text string, n_chars long")
+    got = {r["doc_id"]: r for r in line_dedup.without_common_lines(df).collect()}
+    want = dict(docs)
+    want[2], want[5], want[6] = w("c") + "\n\n" + w("d"), w("h"), ""
+    assert {k: r["text"] for k, r in got.items()} == want
+    assert all(r["n_chars"] == len(r["text"]) for r in got.values())
+    out = line_dedup.without_common_lines(edge_docs)
+    assert out.columns == edge_docs.columns and out.count() == edge_docs.count()
+    left = {r["doc_id"]: r["text"] for r in out.collect()}
+    assert left[1] is None and left[2] == "" and left[7]
+
+
+def test_line_dedup_many_copies(spark):
+    """A passage in many documents, above and below the rare bound."""
+    line = lambda k: " ".join(f"{k}_{i}" for i in range(40))
+    rows = [(i, f"own {i}\n" + line("hot") + ("\n" + line("rare") if i in (3, 9) else "")) for i in range(80)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.without_common_lines(df).collect()}
+    assert got[0] == rows[0][1]
+    assert got[3] == "own 3\n" + line("rare")
+    assert all(got[i] == f"own {i}" for i in range(1, 80) if i != 3)
+
+
+# ---- WARC
+
+def test_warc(spark, tmp_path):
+    tricky = "body\r\n\r\nWARC/1.1\r\nWARC-Type: response\r\n\r\nmore\r\n\r\n"
+    html = {1: "<p>é</p>", 2: "<p>é</p>", 3: None, 4: "", 5: tricky, 6: "\r\n\r\n", 7: "x" * 200_000, 8: tricky,
+            9: "tail\r\n\r\nWARC/1.1\r\n"}
+    rows = [(k, f"http://h/{k}\r\nX: y", v) for k, v in html.items()] + [(None, None, "<p>é</p>")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    got = warc.op9_warc(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows)
+    largest = {}
+    for k, v in html.items():
+        largest[v or ""] = max(k, largest.get(v or "", k))
+    for r in got:
+        text = html[r["page_id"]] or "" if r["page_id"] else "<p>é</p>"
+        raw = text.encode()
+        assert r["payload_bytes"] == len(raw)
+        assert r["payload_digest"] == base64.b32encode(hashlib.sha1(raw).digest()).decode()
+        first = largest[text]
+        assert r["refers_to"] == (None if r["page_id"] == first else first)
+        assert r["record_type"] == ("response" if r["page_id"] == first else "revisit")
+        assert r["has_request"] and r["has_metadata"]
+
+
+def test_warc_payload_round_trip(spark, tmp_path):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    warc.write_archives(pages, f"{tmp_path}/w")
+    got = warc.assemble(warc.read_records(spark, f"{tmp_path}/w"))
+    back = {r["page_id"]: r["payload"] for r in got.select("page_id", "response.payload", "request", "metadata").collect()}
+    assert back == {r["page_id"]: r["html"] for r in pages.collect()}
+
+
+# ---- toxicity
+
+def test_toxicity_held_out(spark):
+    d = "/root/testdata/sf0.1"
+    rows = toxicity.op7_toxicity(spark, d)
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    got = rows.where("held_out").join(labels, "doc_id").select("score", "predicted", "toxic").collect()
+    pos = np.array([r["score"] for r in got if r["toxic"] == 1])
+    neg = np.array([r["score"] for r in got if r["toxic"] == 0])
+    auc = ((pos[:, None] > neg).mean() + (pos[:, None] == neg).mean() / 2)
+    print("held-out AUC", auc, "recall", np.mean(pos >= 0.5), "false", np.mean(neg >= 0.5))
+    assert auc > 0.97 and np.mean(pos >= 0.5) > 0.8 and np.mean(neg >= 0.5) < 0.02
+    every = rows.agg(F.count(F.lit(1)), F.min("score"), F.max("score")).first()
+    assert every[0] == spark.read.parquet(f"{d}/documents.parquet").count() and 0 <= every[1] <= every[2] <= 1
+
+
+def test_toxicity_edges(spark, edge_docs, write_docs):
+    labels = spark.createDataFrame([(4, 0, 1), (5, 1, 0), (99, 1, 0), (None, 1, 0)], "doc_id long, toxic int, quality int")
+    d = write_docs(edge_docs)
+    write_docs(labels, "labels")
+    assert toxicity.op7_toxicity(spark, d).count() == edge_docs.count()
+    out = toxicity.reject_toxic(edge_docs, labels)
+    assert out.columns == edge_docs.columns
+
+
+def test_features_by_hand():
+    f = dict(zip(toxicity.FEATURES, toxicity.features("You idiot! id10ts HATE lowei-", {"lowe-": 2.0, "idiot": 3.0})))
+    assert f["insult_rate"] == 0.2 and f["term_rate"] == 0.4 and f["term_max"] == 3.0
+    assert f["second_person_rate"] == 0.2 and f["second_person_near"] == 0.4
+    assert f["shout_rate"] == 0.2 and f["obfuscated_rate"] == 0.2
+    assert toxicity.features(None, {}) == toxicity.features(" \n", {}) == [0.0] * len(toxicity.FEATURES)
