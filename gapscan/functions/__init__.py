@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -40,13 +42,15 @@ def normalise_label(x: str | Column) -> Column:
 
 
 def composite_key(*parts: str | Column, sep: str = "_") -> Column:
-    """Join key parts into one text key."""
-    return F.concat_ws(sep, *[_c(p).cast("string") for p in parts])
+    """Join key parts into one text key; null when a part is null, so that such
+    a row falls out of joins on the key."""
+    texts = [_c(p).cast("string") for p in parts]
+    return F.concat(texts[0], *[x for t in texts[1:] for x in (F.lit(sep), t)])
 
 
 def split_key(key: str | Column, index: int, sep: str = "_") -> Column:
     """Part ``index`` (0-based) of a composite text key."""
-    return F.split(_c(key), sep).getItem(index)
+    return F.split(_c(key), re.escape(sep)).getItem(index)
 
 
 def surface_number(name: str | Column, prefix: str) -> Column:

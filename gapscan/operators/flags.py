@@ -69,22 +69,18 @@ def outlier_records(records: DataFrame, long: DataFrame, flags: DataFrame, recor
 def export_flagged(records: DataFrame, long: DataFrame, flags: DataFrame, record_id: str,
                    group: str, cell_keys: Sequence[str], surface_values: Sequence[str],
                    name: str = "n_outliers") -> DataFrame:
-    """X3 + X4 in one scan of the records: flagged records, wide.
+    """X3 + X4: every flagged record, wide.
 
-    The records (every column) meet the flagged cells once; the few matching
-    rows are grouped by record id, which makes the pivot and the count and
-    carries the record columns along (one value per record). Same result as
-    ``outlier_export(records, outlier_records(...))`` without a second scan
-    and join of the records. Record ids are assumed unique.
+    The flagged cells are few; their wide form (one row per group and cell,
+    one column per surface, and the count) is built first and the records
+    (every column) are joined to it once, in one scan. Each row of ``records``
+    is kept, so repeated record ids stay. Same result as
+    ``outlier_export(records, outlier_records(...))``.
     """
-    fc = flagged_cells(long, flags, group).select(group, *cell_keys, "surface", "xx")
-    rows = records.join(fc, [group, *cell_keys])
-    carried = [c for c in records.columns if c != record_id]
-    wide = rows.groupBy(record_id).agg(
-        *[F.any_value(c).alias(c) for c in carried],
-        *[F.max(F.when(F.col("surface") == F.lit(v), F.col("xx"))).alias(v) for v in surface_values])
-    return (wide.withColumn(name, count_present(surface_values))
-                .select(*records.columns, *surface_values, name))
+    cell = [group, *cell_keys]
+    wide = pivot_wide(flagged_cells(long, flags, group).select(*cell, "surface", "xx"),
+                      cell, "surface", "xx", surface_values).withColumn(name, count_present(surface_values))
+    return records.join(wide, cell).select(*records.columns, *surface_values, name)
 
 
 def count_outlier_surfaces(rf: DataFrame, record_id: str, name: str = "n_outliers") -> DataFrame:
@@ -134,13 +130,10 @@ def semi_filter(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
     return df.join(ids.select(id_col), id_col, "left_semi")
 
 
-def label_join(df: DataFrame, dim: DataFrame, on: str, max_rows: int = 100_000) -> DataFrame:
+def label_join(df: DataFrame, dim: DataFrame, on: str) -> DataFrame:
     """Inner join to a dimension table (labels for surfaces and the like).
 
-    The dimension is broadcast only after its row count is checked against
-    ``max_rows``; a larger one is joined the ordinary way (AQE still picks a
-    broadcast at run time if it turns out small in bytes).
+    A plain equi-join: a dimension of known small size is broadcast by the
+    planner, any other by AQE when its measured size allows.
     """
-    if dim.limit(max_rows + 1).count() <= max_rows:
-        return df.join(F.broadcast(dim), on, "inner")
     return df.join(dim, on, "inner")

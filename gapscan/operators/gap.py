@@ -1,6 +1,6 @@
 """Gap outliers per key — the core operator.
 
-For every key, over its distinct non-null values x1 < ... < xn:
+For every key, over its distinct values (null and NaN are none) x1 < ... < xn:
 
 1. keys with n < ``min_n`` are dropped;
 2. mx = mean, t1 = coef * sqrt(n) + offset;
@@ -12,33 +12,21 @@ For every key, over its distinct non-null values x1 < ... < xn:
 7. hi = max v above med, lo = min v below med;
 8. upper if x >= hi, lower if x <= lo.
 
-Plan. The distinct values are written once to the checkpoint folder, and
-one small aggregate measures the largest key. Then:
-
-* every key proven to fit one task (at most ``window_limit`` distinct
-  values): one hash shuffle on the key and windows over it do everything;
-* otherwise (one key may hold a large share of all rows) the *segmented*
-  plan, in which the large side is only ever shuffled on (keys, value) or
-  on (segment, keys):
-
-  - range partitioning on (keys, value) cuts a hot key into *segments*, one
-    per range partition, each bounded by the partition size; the next value
-    and the row number run in a window over (segment, keys);
-  - everything that needs the whole key comes from small *segment tables* —
-    at most one row per (range partition, key) — combined with windows over
-    the key on those tables and joined back on (segment, keys):
-    round 1: n, mean, offsets, the next segment's first value;
-    round 2: the population deviation of y, from per-segment (count, mean,
-    M2) merged with the pairwise formula of Chan et al.;
-    round 3: the median position and the outermost significant gaps, from a
-    grouped aggregate (partial aggregation) spread to the key's segments;
-  - the segment-tagged rows are written once as a Parquet table bucketed on
-    (segment, keys) (``segments.materialize``): every branch sees the same
-    range split, and the aggregates and joins on (segment, keys) read the
-    buckets in place. The joins back are shuffle-hash joins with the small
-    segment table as the build side, so nothing large is sorted again.
-
-Both plans give the same rows; tests force each of them.
+Plan. The large side is only ever shuffled on (keys, value) or on
+(segment, keys), and every key takes the same path whatever its size:
+
+- the distinct values are range-partitioned on (keys, value), which cuts a hot
+  key into *segments*, one per range partition, each bounded by the partition
+  size; the next value and the row number run in a window over (segment,
+  keys), and the rows are staged once;
+- everything that needs the whole key comes from small *segment tables* — at
+  most one row per (range partition, key) — combined with windows over the key
+  on those tables and joined back on (segment, keys):
+  round 1: n, mean, offsets, the next segment's first value;
+  round 2: the population deviation of y, from per-segment (count, mean, M2)
+  merged with the pairwise formula of Chan et al.;
+  round 3: the median position and the outermost significant gaps, from a
+  grouped aggregate (partial aggregation) spread to the key's segments.
 """
 
 from __future__ import annotations
@@ -48,7 +36,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gapscan.operators.segments import SEG, bucket_count, fits_one_task, materialize, tag_segments
+from gapscan.operators.segments import SEG, materialize, tag_segments
 
 
 def _gap_score(x: Column, x1: Column, mx: Column) -> Column:
@@ -58,15 +46,15 @@ def _gap_score(x: Column, x1: Column, mx: Column) -> Column:
 
 
 def _distinct_values(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    cond = F.col(value).isNotNull()
+    """Distinct values per key; null and NaN are no values."""
+    x = F.col(value).cast("double")
+    cond = x.isNotNull() & ~F.isnan(x)
     for k in keys:
         cond = cond & F.col(k).isNotNull()
-    return (df.where(cond)
-              .select(*keys, F.col(value).cast("double").alias("xx"))
-              .distinct())
+    return df.where(cond).select(*keys, x.alias("xx")).distinct()
 
 
-def _scored_segments(d: DataFrame, rows_in: int, keys: Sequence[str], min_n: int,
+def _scored_segments(d: DataFrame, keys: Sequence[str], min_n: int,
                      coef: float, offset: float, partitions: int | None):
     """Segmented plan. Scored rows (segment, keys, xx, n, mx, x1, y, z, t1,
     _pos, _mid) and the keys' segment list, for keys with n >= min_n."""
@@ -75,8 +63,7 @@ def _scored_segments(d: DataFrame, rows_in: int, keys: Sequence[str], min_n: int
     s = tag_segments(d, keys, ["xx"], partitions)
     w_in = Window.partitionBy(*seg_keys).orderBy("xx")
     rows = materialize(s.withColumn("_nx", F.lead("xx").over(w_in))
-                        .withColumn("_rn", F.row_number().over(w_in)), seg_keys,
-                       bucket_count(d.sparkSession, rows_in))
+                        .withColumn("_rn", F.row_number().over(w_in)), seg_keys)
 
     w_ord = Window.partitionBy(*keys).orderBy(SEG)
     w_key = Window.partitionBy(*keys)
@@ -91,7 +78,7 @@ def _scored_segments(d: DataFrame, rows_in: int, keys: Sequence[str], min_n: int
                     F.sum("_cnt").over(w_ord.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
                 .withColumn("_next", F.lead("_first").over(w_ord))
                 .select(*seg_keys, "n", "mx", "_off", "_next"))
-    r1 = (rows.join(seg1.hint("shuffle_hash"), seg_keys)
+    r1 = (rows.join(seg1, seg_keys)
               .withColumn("x1", F.coalesce("_nx", "_next"))
               .withColumn("y", _gap_score(F.col("xx"), F.col("x1"), F.col("mx")))
               .withColumn("_pos", F.col("_off") + F.col("_rn"))
@@ -109,7 +96,7 @@ def _scored_segments(d: DataFrame, rows_in: int, keys: Sequence[str], min_n: int
                                         * F.pow(F.col("_m") - F.col("_km"), 2)).over(w_key))
               .withColumn("_sd", F.when(F.col("_kc") > 0, F.sqrt(F.col("_km2") / F.col("_kc"))))
               .select(*seg_keys, "_sd"))
-    r2 = (r1.join(seg2.hint("shuffle_hash"), seg_keys)
+    r2 = (r1.join(seg2, seg_keys)
             .withColumn("z", F.try_divide(F.col("y"), F.col("_sd")))
             .withColumn("t1", F.lit(coef) * F.sqrt(F.col("n")) + F.lit(offset))
             .withColumn("_mid", F.floor((F.col("n") + 1) / 2))
@@ -140,70 +127,32 @@ def _flag(xx: Column, hi: Column, lo: Column) -> Column:
     return F.when(xx >= hi, F.lit("upper")).when(xx <= lo, F.lit("lower"))
 
 
-def _scored_window(d: DataFrame, keys: Sequence[str], min_n: int, coef: float,
-                   offset: float) -> DataFrame:
-    """Window plan (every key fits one task): all columns, bounds included."""
-    w = Window.partitionBy(*keys)
-    wo = w.orderBy("xx")
-    r = (d.withColumn("n", F.count(F.lit(1)).over(w))
-          .where(F.col("n") >= min_n)
-          .withColumn("mx", F.avg("xx").over(w))
-          .withColumn("x1", F.lead("xx").over(wo))
-          .withColumn("_pos", F.row_number().over(wo))
-          .withColumn("y", _gap_score(F.col("xx"), F.col("x1"), F.col("mx")))
-          .withColumn("_sd", F.stddev_pop("y").over(w))
-          .withColumn("z", F.try_divide(F.col("y"), F.col("_sd")))
-          .withColumn("t1", F.lit(coef) * F.sqrt(F.col("n")) + F.lit(offset))
-          .withColumn("_mid", F.floor((F.col("n") + 1) / 2)))
-    sig = F.col("z") > F.col("t1")
-    return (r.withColumn("hi", F.max(F.when(sig & (F.col("_pos") > F.col("_mid")), F.col("xx"))).over(w))
-             .withColumn("lo", F.min(F.when(sig & (F.col("_pos") < F.col("_mid")), F.col("xx"))).over(w))
-             .withColumn("median", F.max(F.when(F.col("_pos") == F.col("_mid"), F.col("xx"))).over(w)))
-
-
-def _staged_values(df: DataFrame, keys: Sequence[str], value: str, window_limit):
-    """Distinct values written once, and whether every key fits one task."""
-    d, rows = materialize(_distinct_values(df, keys, value), counted=True)
-    return d, rows, fits_one_task(d, rows, keys, window_limit)
-
-
 def gap_scores(df: DataFrame, keys: Sequence[str], value: str, min_n: int = 10,
-               coef: float = 0.95, offset: float = 0.2, partitions: int | None = None,
-               window_limit: int | None | str = "auto") -> DataFrame:
+               coef: float = 0.95, offset: float = 0.2, partitions: int | None = None) -> DataFrame:
     """Every distinct value of every key with n >= min_n and its scores.
 
     Columns: keys..., xx, n, mx, x1, y, z, t1, median, outlier_type
-    (``upper``/``lower``/null). ``window_limit``: the largest key (distinct
-    values) that may be gathered in one task; ``None`` always segments;
-    ``"auto"`` reads ``spark.gapscan.windowLimit`` or uses the default.
+    (``upper``/``lower``/null).
     """
     keys = list(keys)
     cols = [*keys, "xx", "n", "mx", "x1", "y", "z", "t1", "median", "outlier_type"]
-    d, rows, fits = _staged_values(df, keys, value, window_limit)
-    if fits:
-        r = _scored_window(d, keys, min_n, coef, offset)
-        return r.withColumn("outlier_type", _flag(F.col("xx"), F.col("hi"), F.col("lo"))).select(*cols)
-    r, segs = _scored_segments(d, rows, keys, min_n, coef, offset, partitions)
+    d = _distinct_values(df, keys, value)
+    r, segs = _scored_segments(d, keys, min_n, coef, offset, partitions)
     b = _spread(_bounds(r, keys), segs, keys)
-    out = (r.join(b.hint("shuffle_hash"), [SEG, *keys])
+    out = (r.join(b, [SEG, *keys])
             .withColumn("outlier_type", _flag(F.col("xx"), F.col("hi"), F.col("lo"))))
     return out.select(*cols)
 
 
 def gap_outliers(df: DataFrame, keys: Sequence[str], value: str, min_n: int = 10,
-                 coef: float = 0.95, offset: float = 0.2, partitions: int | None = None,
-                 window_limit: int | None | str = "auto") -> DataFrame:
+                 coef: float = 0.95, offset: float = 0.2, partitions: int | None = None) -> DataFrame:
     """Flagged values only: (keys..., xx, outlier_type)."""
     keys = list(keys)
-    d, rows, fits = _staged_values(df, keys, value, window_limit)
-    if fits:
-        r = _scored_window(d, keys, min_n, coef, offset)
-        out = r.withColumn("outlier_type", _flag(F.col("xx"), F.col("hi"), F.col("lo")))
-        return out.where(F.col("outlier_type").isNotNull()).select(*keys, "xx", "outlier_type")
-    r, segs = _scored_segments(d, rows, keys, min_n, coef, offset, partitions)
+    d = _distinct_values(df, keys, value)
+    r, segs = _scored_segments(d, keys, min_n, coef, offset, partitions)
     # Only keys with a significant gap reach the last join.
     flagged = _bounds(r, keys).where(F.col("hi").isNotNull() | F.col("lo").isNotNull())
     b = _spread(flagged.select(*keys, "hi", "lo"), segs, keys)
-    out = (r.select(SEG, *keys, "xx").join(b.hint("shuffle_hash"), [SEG, *keys])
+    out = (r.select(SEG, *keys, "xx").join(b, [SEG, *keys])
             .withColumn("outlier_type", _flag(F.col("xx"), F.col("hi"), F.col("lo"))))
     return out.where(F.col("outlier_type").isNotNull()).select(*keys, "xx", "outlier_type")

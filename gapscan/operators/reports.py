@@ -16,20 +16,22 @@ def flagged_records(records: DataFrame, rf: DataFrame, record_id: str) -> DataFr
     return records.join(rf.select(record_id).distinct(), record_id, "left_semi")
 
 
-def count_by(records: DataFrame, by: Sequence[str], record_id: str, name: str = "n") -> DataFrame:
-    """Number of distinct records per ``by``.
+def count_by(records: DataFrame, by: Sequence[str], distinct_on: Sequence[str],
+             name: str = "n") -> DataFrame:
+    """Number of distinct combinations of ``distinct_on`` per ``by``.
 
-    Distinct on (record, by) first, then a grouped count; both aggregate
-    partially before their shuffle.
+    ``distinct_on`` says what is counted: the record id for records, (group,
+    location) for places a group was seen at, (group,) for groups. Distinct
+    first, then a grouped count; both aggregate partially before their shuffle.
     """
-    return (records.select(record_id, *by).distinct()
-                   .groupBy(*by).agg(F.count(F.lit(1)).alias(name)))
+    cols = list(dict.fromkeys([*by, *distinct_on]))
+    return records.select(*cols).distinct().groupBy(*by).agg(F.count(F.lit(1)).alias(name))
 
 
-def hot_locations(flagged: DataFrame, location: Sequence[str], record_id: str,
+def hot_locations(flagged: DataFrame, location: Sequence[str], group: str,
                   min_count: int, name: str = "n") -> DataFrame:
-    """A11 by location: locations holding at least ``min_count`` flagged records."""
-    return count_by(flagged, location, record_id, name).where(F.col(name) >= min_count)
+    """A11 by location: locations where at least ``min_count`` groups have flagged records."""
+    return count_by(flagged, location, [group], name).where(F.col(name) >= min_count)
 
 
 def source_share(records: DataFrame, rf: DataFrame, source: str, record_id: str,
@@ -39,16 +41,17 @@ def source_share(records: DataFrame, rf: DataFrame, source: str, record_id: str,
     Kept when the flagged count is above ``min_flagged``.
     """
     totals = records.groupBy(source).agg(F.count(F.lit(1)).alias("n_total"))
-    flagged = count_by(flagged_records(records, rf, record_id), [source], record_id, "n_flagged")
+    flagged = count_by(flagged_records(records, rf, record_id), [source], [record_id], "n_flagged")
     return (flagged.where(F.col("n_flagged") > min_flagged)
                    .join(totals, source)
                    .withColumn("share", F.round(F.try_divide(F.col("n_flagged"), F.col("n_total")), digits)))
 
 
-def mean_by_flag_count(export: DataFrame, record_id: str, value: str, n_col: str = "n_outliers",
-                       digits: int = 6) -> DataFrame:
-    """Mean of ``value`` per number of flagged surfaces (distinct records, nulls out)."""
-    rows = export.select(record_id, n_col, value).where(F.col(value).isNotNull()).distinct()
+def mean_by_flag_count(export: DataFrame, distinct_on: Sequence[str], value: str,
+                       n_col: str = "n_outliers", digits: int = 6) -> DataFrame:
+    """Mean of ``value`` per number of flagged surfaces, over the distinct
+    combinations of ``distinct_on``, the value and the number (nulls out)."""
+    rows = export.select(*distinct_on, n_col, value).where(F.col(value).isNotNull()).distinct()
     return rows.groupBy(n_col).agg(F.round(F.avg(value), digits).alias("mean_value"),
                                    F.count(F.lit(1)).alias("n_records"))
 
@@ -82,7 +85,7 @@ def nth_key(df: DataFrame, key: str, n: int) -> DataFrame:
 
 def top_by_count(df: DataFrame, key: str, record_id: str, n: int, name: str = "n") -> DataFrame:
     """Keys by number of distinct records, largest first, ties by key; first n."""
-    return count_by(df, [key], record_id, name).orderBy(F.desc(name), F.asc(key)).limit(n)
+    return count_by(df, [key], [record_id], name).orderBy(F.desc(name), F.asc(key)).limit(n)
 
 
 def random_group(df: DataFrame, key: str, seed: int = 42) -> DataFrame:

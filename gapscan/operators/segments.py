@@ -2,15 +2,12 @@
 
 A window ``partitionBy(keys).orderBy(...)`` sends a whole key to one task; a
 key that holds a third of the rows would then run on one core. Each helper
-writes its input once (``materialize``) and measures the largest key
-(``largest_key``). A key proven to fit ``WINDOW_LIMIT`` rows may be gathered:
-then one window over the key does the work. Otherwise the *segmented* plan
-range-partitions on (keys, order columns), so a hot key is cut into several
-segments of bounded size. The ordered step runs in a window over
-(segment, keys); what crosses segment borders (offsets, the next segment's
-first row) comes from a segment table with at most one row per
-(range partition, key), combined with a window over keys on that table, and
-is joined back on (segment, keys).
+therefore range-partitions on (keys, order columns), so a hot key is cut into
+several segments of bounded size, whatever the table's size. The ordered step
+runs in a window over (segment, keys) and is written once (``materialize``);
+what crosses segment borders (offsets, the next segment's first row) comes
+from a segment table with at most one row per (range partition, key), combined
+with a window over keys on that table, and is joined back on (segment, keys).
 """
 
 from __future__ import annotations
@@ -21,55 +18,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gapscan.session import ensure_checkpoint_dir
+from gapscan.staging import release, stage, staging_path
 
 SEG = "_seg"
 
 
 STAGED_PREFIX = "gapscan_staged_"
 
-# The largest key (rows) that may be gathered in one task by a window over the
-# key. Above it the segmented plans are used. Two million rows of a few
-# numbers is a few tens of MB: one task sorts and spills that easily.
-WINDOW_LIMIT = 2_000_000
-
-
-LIMIT_CONF = "spark.gapscan.windowLimit"
-
-# Rows per bucket of a staged segment table: buckets are sized from the
-# observed row count (at most the shuffle partitions), so a small table is
-# not spread over hundreds of near-empty files and tasks.
-ROWS_PER_BUCKET = 1_000_000
-
-
-def bucket_count(spark, rows: int) -> int:
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return max(1, min(parts, -(-rows // ROWS_PER_BUCKET)))
-
-
-def resolve_limit(spark, window_limit) -> int | None:
-    """``"auto"`` reads ``spark.gapscan.windowLimit`` (negative: always
-    segment) and falls back to ``WINDOW_LIMIT``; ints and None pass through."""
-    if window_limit != "auto":
-        return window_limit
-    v = spark.conf.get(LIMIT_CONF, None)
-    if v is None:
-        return WINDOW_LIMIT
-    return None if int(v) < 0 else int(v)
-
-
-def largest_key(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows in the largest key of ``df`` (0 when empty).
-
-    A grouped count (partial aggregation collapses a hot key before the
-    shuffle) and a global max: one number reaches the driver.
-    """
-    row = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).first()
-    return int(row[0] or 0)
+# Bucketed tables staged by this process, by Spark application.
+_TABLES: dict[str, list[str]] = {}
 
 
 def materialize(df: DataFrame, bucket_by: Sequence[str] | None = None,
-                buckets: int | None = None, counted: bool = False):
+                buckets: int | None = None) -> DataFrame:
     """Compute ``df`` once, for every later use: a Parquet table in the shared folder.
 
     The segment number comes from sampled range bounds. Rows and the segment
@@ -83,32 +44,26 @@ def materialize(df: DataFrame, bucket_by: Sequence[str] | None = None,
     With ``bucket_by`` the table is bucketed on those columns (as many buckets
     as shuffle partitions): joins and aggregates on them then read the table
     without any exchange of the large side — only the small segment tables
-    move. With ``counted`` the row count, observed during the write (no extra
-    job), is returned as well.
+    move. ``drop_staged`` removes such tables.
     """
-    from pyspark.sql import Observation
+    if not bucket_by:
+        return stage(df, "segments")
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
     name = STAGED_PREFIX + uuid.uuid4().hex
-    path = f"{base}/{name}"
-    obs = Observation(name)
-    df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if not bucket_by:
-        df.write.parquet(path)
-        staged = spark.read.parquet(path)
-    else:
-        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        df.write.format("parquet").bucketBy(n, *bucket_by).option("path", path).saveAsTable(name)
-        staged = spark.table(name)
-    return (staged, int(obs.get["rows"])) if counted else staged
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (df.write.format("parquet").bucketBy(n, *bucket_by)
+       .option("path", staging_path(spark, "bucketed")).saveAsTable(name))
+    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(name)
+    return spark.table(name)
 
 
 def drop_staged(spark) -> int:
-    """Forget the staged tables of this session (their files stay in the
-    checkpoint folder, which the cluster cleans). Returns how many."""
-    names = [t.name for t in spark.catalog.listTables() if t.name.startswith(STAGED_PREFIX)]
+    """Drop the bucketed tables this process staged in this application (no
+    other session's) and delete all files it staged. Returns how many tables."""
+    names = _TABLES.pop(spark.sparkContext.applicationId, [])
     for t in names:
         spark.sql(f"DROP TABLE IF EXISTS {t}")
+    release(spark)
     return len(names)
 
 
@@ -128,38 +83,17 @@ def _order_cols(order: Sequence[str | Column]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
-def fits_one_task(df: DataFrame, rows: int, keys: Sequence[str], window_limit) -> bool:
-    """Is every key of the staged ``df`` (``rows`` rows in all) within the limit?
-
-    When the whole table is within it, no key can exceed it and nothing more
-    is computed; otherwise one grouped count measures the largest key.
-    """
-    limit = resolve_limit(df.sparkSession, window_limit)
-    if limit is None:
-        return False
-    return rows <= limit or largest_key(df, keys) <= limit
-
-
 def with_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                   pos: str = "pos", size: str = "n", partitions: int | None = None,
-                   window_limit: int | None | str = "auto") -> DataFrame:
+                   pos: str = "pos", size: str = "n", partitions: int | None = None) -> DataFrame:
     """Add the 1-based position of each row in its key (by ``order``) and the key size.
 
     ``order`` must make rows unique within a key for the result to be stable.
-    The input is written once; when its largest key fits ``window_limit`` a
-    window over the key does it, else the segmented plan.
     """
     keys = list(keys)
-    df, rows = materialize(df, counted=True)
-    if fits_one_task(df, rows, keys, window_limit):
-        w = Window.partitionBy(*keys)
-        return (df.withColumn(pos, F.row_number().over(w.orderBy(*_order_cols(order))).cast("long"))
-                  .withColumn(size, F.count(F.lit(1)).over(w)))
     seg_keys = [SEG, *keys]
     s = tag_segments(df, keys, order, partitions)
     w_in = Window.partitionBy(*seg_keys).orderBy(*_order_cols(order))
-    local = materialize(s.withColumn("_rn", F.row_number().over(w_in)), seg_keys,
-                        bucket_count(df.sparkSession, rows))
+    local = materialize(s.withColumn("_rn", F.row_number().over(w_in)), seg_keys)
     w_key = Window.partitionBy(*keys)
     seg = (local.groupBy(*seg_keys).agg(F.count(F.lit(1)).alias("_cnt"))
             .withColumn(size, F.sum("_cnt").over(w_key))
@@ -167,77 +101,59 @@ def with_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 F.sum("_cnt").over(w_key.orderBy(SEG)
                                    .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
             .select(*seg_keys, size, "_off"))
-    return (local.join(seg.hint("shuffle_hash"), seg_keys)
+    return (local.join(seg, seg_keys)
                  .withColumn(pos, (F.col("_off") + F.col("_rn")).cast("long"))
                  .drop("_rn", "_off", SEG))
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: str,
-                out: str, partitions: int | None = None,
-                window_limit: int | None | str = "auto") -> DataFrame:
+                out: str, partitions: int | None = None) -> DataFrame:
     """Running total of ``value`` per key in ``order`` (rows unbounded preceding .. current).
-
-    Written once; a window over the key when the largest key fits
-    ``window_limit``, else the segmented plan.
     """
     keys = list(keys)
-    df, rows = materialize(df, counted=True)
-    if fits_one_task(df, rows, keys, window_limit):
-        w = (Window.partitionBy(*keys).orderBy(*_order_cols(order))
-             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-        return df.withColumn(out, F.sum(value).over(w))
     seg_keys = [SEG, *keys]
     s = tag_segments(df, keys, order, partitions)
     w_in = (Window.partitionBy(*seg_keys).orderBy(*_order_cols(order))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = materialize(s.withColumn("_loc", F.sum(value).over(w_in)), seg_keys,
-                        bucket_count(df.sparkSession, rows))
+    local = materialize(s.withColumn("_loc", F.sum(value).over(w_in)), seg_keys)
     w_key = Window.partitionBy(*keys).orderBy(SEG).rowsBetween(Window.unboundedPreceding, -1)
     seg = (local.groupBy(*seg_keys).agg(F.sum(value).alias("_ssum"))
             .withColumn("_soff", F.coalesce(F.sum("_ssum").over(w_key), F.lit(0)))
             .select(*seg_keys, "_soff"))
-    return (local.join(seg.hint("shuffle_hash"), seg_keys)
+    return (local.join(seg, seg_keys)
                  .withColumn(out, F.col("_loc") + F.col("_soff"))
                  .drop("_loc", "_soff", SEG))
 
 
 def with_next(df: DataFrame, keys: Sequence[str], value: str, out: str = "x1",
-              partitions: int | None = None,
-              window_limit: int | None | str = "auto") -> DataFrame:
+              partitions: int | None = None) -> DataFrame:
     """Next larger value of ``value`` within its key (null for the last).
 
-    Rows should be distinct on (keys, value). Written once; a window over the
-    key when the largest key fits ``window_limit``, else the segmented plan.
+    Rows should be distinct on (keys, value).
     """
     keys = list(keys)
-    df, rows = materialize(df, counted=True)
-    if fits_one_task(df, rows, keys, window_limit):
-        return df.withColumn(out, F.lead(value).over(Window.partitionBy(*keys).orderBy(value)))
     seg_keys = [SEG, *keys]
     s = tag_segments(df, keys, [value], partitions)
     w_in = Window.partitionBy(*seg_keys).orderBy(value)
-    local = materialize(s.withColumn("_nx", F.lead(value).over(w_in)), seg_keys,
-                        bucket_count(df.sparkSession, rows))
+    local = materialize(s.withColumn("_nx", F.lead(value).over(w_in)), seg_keys)
     w_ord = Window.partitionBy(*keys).orderBy(SEG)
     seg = (local.groupBy(*seg_keys).agg(F.min(value).alias("_first"))
             .withColumn("_next", F.lead("_first").over(w_ord))
             .select(*seg_keys, "_next"))
-    return (local.join(seg.hint("shuffle_hash"), seg_keys)
+    return (local.join(seg, seg_keys)
                  .withColumn(out, F.coalesce("_nx", "_next"))
                  .drop("_nx", "_next", SEG))
 
 
 def quantiles_disc(df: DataFrame, keys: Sequence[str], value: str,
-                   probs: dict[str, float], partitions: int | None = None,
-                   window_limit: int | None | str = "auto") -> DataFrame:
+                   probs: dict[str, float], partitions: int | None = None) -> DataFrame:
     """Exact discrete quantiles per key over the rows of ``df``.
 
     The value at position ceil(p * n) of the key's sorted rows, for each
     ``name -> p`` in ``probs``. Rows should be distinct on (keys, value).
     """
     keys = list(keys)
-    ranked = with_positions(df.select(*keys, value), keys, [value], "_p", "_n", partitions,
-                            window_limit)
+    ranked = with_positions(df.select(*keys, value), keys, [value], "_p", "_n", partitions)
     aggs = [F.max(F.when(F.col("_p") == F.ceil(F.col("_n") * F.lit(p)), F.col(value))).alias(name)
             for name, p in probs.items()]
     return ranked.groupBy(*keys).agg(F.max("_n").alias("n"), *aggs)

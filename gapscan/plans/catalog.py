@@ -262,19 +262,19 @@ def top_sources(spark, sf_dir):
 
 
 def report_by_class(spark, sf_dir):
-    return RP.count_by(_flagged(spark, sf_dir), ["record_class"], RECORD_ID)
+    return RP.count_by(_flagged(spark, sf_dir), ["record_class"], [GROUP, "x_cell", "y_cell"])
 
 
 def report_hot_locations(spark, sf_dir):
-    return RP.hot_locations(_flagged(spark, sf_dir), ["x_cell", "y_cell"], RECORD_ID, HOT_LOCATION)
+    return RP.hot_locations(_flagged(spark, sf_dir), ["x_cell", "y_cell"], GROUP, HOT_LOCATION)
 
 
 def report_by_taxon(spark, sf_dir):
-    return RP.count_by(_flagged(spark, sf_dir), [GROUP], RECORD_ID)
+    return RP.count_by(_flagged(spark, sf_dir), [GROUP], [RECORD_ID])
 
 
 def report_by_surface(spark, sf_dir):
-    return RP.count_by(FX.rf(spark, sf_dir), ["surface"], RECORD_ID)
+    return RP.count_by(FX.rf(spark, sf_dir), ["surface"], [RECORD_ID])
 
 
 def report_source_share(spark, sf_dir):
@@ -283,7 +283,7 @@ def report_source_share(spark, sf_dir):
 
 def report_uncertainty(spark, sf_dir):
     ex = _export(spark, sf_dir).where(F.col("record_class") == "F")
-    return RP.mean_by_flag_count(ex, RECORD_ID, "amount")
+    return RP.mean_by_flag_count(ex, [GROUP, "x_cell", "y_cell"], "amount")
 
 
 def ids_json_per_source(spark, sf_dir):

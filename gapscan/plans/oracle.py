@@ -227,9 +227,12 @@ SQL: dict[str, str] = {
         SELECT source_key, count(*) AS n FROM flagged GROUP BY source_key
         ORDER BY n DESC, source_key LIMIT 100"""),
     "report_by_class": _with([*BASE, FLAGGED], """
-        SELECT record_class, count(*) AS n FROM flagged GROUP BY record_class"""),
+        SELECT record_class, count(*) AS n
+        FROM (SELECT DISTINCT group_key, record_class, x_cell, y_cell FROM flagged) GROUP BY record_class"""),
     "report_hot_locations": _with([*BASE, FLAGGED], """
-        SELECT x_cell, y_cell, count(*) AS n FROM flagged GROUP BY x_cell, y_cell HAVING count(*) >= 3"""),
+        SELECT x_cell, y_cell, count(*) AS n
+        FROM (SELECT DISTINCT group_key, x_cell, y_cell FROM flagged)
+        GROUP BY x_cell, y_cell HAVING count(*) >= 3"""),
     "report_by_taxon": _with([*BASE, FLAGGED], """
         SELECT group_key, count(*) AS n FROM flagged GROUP BY group_key"""),
     "report_by_surface": _with(BASE, """
@@ -242,7 +245,7 @@ SQL: dict[str, str] = {
         WHERE f.n_flagged > 100"""),
     "report_uncertainty": _with([*BASE, WIDE, EXPORT], """
         SELECT n_outliers, round(avg(amount), 6) AS mean_value, count(*) AS n_records
-        FROM (SELECT DISTINCT record_id, n_outliers, amount FROM export
+        FROM (SELECT DISTINCT group_key, x_cell, y_cell, n_outliers, amount FROM export
               WHERE record_class = 'F' AND amount IS NOT NULL)
         GROUP BY n_outliers"""),
     "ids_json_per_source": _with([*BASE, FLAGGED], """

@@ -96,11 +96,11 @@ def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
 def stage(df: DataFrame, path: str | None = None) -> DataFrame:
     """Cut the lineage of ``df``.
 
-    With a path: write Parquet there (a shared folder) and read it back.
+    With a path: write Parquet there (a shared folder; it must not exist) and read it back.
     Without: a reliable ``checkpoint()`` into the session's checkpoint folder
     (``spark.checkpoint.dir`` on a cluster). Both survive lost executors.
     """
     if path:
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("errorifexists").parquet(path)
         return df.sparkSession.read.parquet(path)
     return df.checkpoint(eager=True)

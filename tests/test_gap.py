@@ -22,13 +22,7 @@ def _flags(df, keys=("g",), value="v", **kw):
     return {(tuple(r[k] for k in keys), r.xx): r.outlier_type for r in rows}
 
 
-SEGMENTED = {"window_limit": None}  # force the segmented plan
-
-
-@pytest.mark.parametrize("kw", [{"window_limit": None, "partitions": 1},
-                                {"window_limit": None, "partitions": 3},
-                                {"window_limit": None, "partitions": 7},
-                                {"window_limit": 10 ** 9}])
+@pytest.mark.parametrize("kw", [{"partitions": 1}, {"partitions": 3}, {"partitions": 7}, {}])
 def test_goldens(spark, kw):
     rows = [(k, float(v)) for k, (vs, _) in GOLDENS.items() for v in vs]
     df = spark.createDataFrame(rows, "g string, v double")
@@ -37,10 +31,9 @@ def test_goldens(spark, kw):
     assert got == want
 
 
-@pytest.mark.parametrize("limit", [None, 10 ** 9])
-def test_golden_scores(spark, limit):
+def test_golden_scores(spark):
     df = spark.createDataFrame([("a", float(v)) for v in GOLDENS["a"][0]], "g string, v double")
-    s = gap_scores(df, ["g"], "v", window_limit=limit).collect()
+    s = gap_scores(df, ["g"], "v").collect()
     assert round(s[0].t1, 6) == 5.403364
     assert round(max(r.z for r in s if r.z is not None), 6) == 5.487761
     assert {r.median for r in s} == {15.0}
@@ -56,10 +49,9 @@ def test_size_guard_and_duplicates(spark):
     assert keys == {"ten"}
 
 
-@pytest.mark.parametrize("limit", [None, 10 ** 9])
-def test_zero_deviation_is_not_an_error(spark, limit):
+def test_zero_deviation_is_not_an_error(spark):
     df = spark.createDataFrame([("k", 0.0), ("k", 1.0), ("k", 2.0)], "g string, v double")
-    s = gap_scores(df, ["g"], "v", min_n=3, window_limit=limit).collect()
+    s = gap_scores(df, ["g"], "v", min_n=3).collect()
     assert len(s) == 3
     assert all(r.z is None and r.outlier_type is None for r in s)
 
@@ -78,7 +70,7 @@ def test_invariance(spark):
     shuffled = vals * 3
     random.Random(1).shuffle(shuffled)
     df2 = spark.createDataFrame([("a", 2.5 * v + 7.0) for v in shuffled], "g string, v double")
-    got = _flags(df2, partitions=4, window_limit=None)
+    got = _flags(df2, partitions=4)
     assert got == {(k, 2.5 * v + 7.0): t for (k, v), t in base.items()}
 
 
@@ -102,8 +94,8 @@ def test_multi_key_and_hot_key_differential(spark):
     rnd.shuffle(hot)
     rows += [(99, "s0", v) for v in hot]
     df = spark.createDataFrame(rows, "g long, s string, v double")
-    got = _flags(df, keys=("g", "s"), partitions=16, window_limit=None)
-    assert _flags(df, keys=("g", "s"), window_limit=10 ** 9) == got
+    got = _flags(df, keys=("g", "s"), partitions=16)
+    assert _flags(df, keys=("g", "s"), partitions=1) == got
     want = {}
     groups = {}
     for g, s, v in rows:
@@ -115,15 +107,9 @@ def test_multi_key_and_hot_key_differential(spark):
     assert any(k == (99, "s0") for k, _ in got)
 
 
-def test_window_limit_picks_the_plan(spark):
-    from gapscan.operators.segments import largest_key
-    df = spark.createDataFrame([(1, float(v)) for v in range(30)] + [(2, 1.0)], "g long, v double")
-    assert largest_key(df, ["g"]) == 30
-    seg = gap_scores(df, ["g"], "v", window_limit=29)   # 30 > 29: segmented
-    win = gap_scores(df, ["g"], "v", window_limit=30)   # fits: one window
-    assert "_seg" in seg._jdf.queryExecution().analyzed().toString()
-    assert "_seg" not in win._jdf.queryExecution().analyzed().toString()
-    assert sorted(map(tuple, seg.collect())) == sorted(map(tuple, win.collect()))
+def test_nan_is_no_value(spark):
+    df = spark.createDataFrame([("k", float(v)) for v in range(1, 30)] + [("k", float("nan"))], "g string, v double")
+    assert _flags(df) == {}
 
 
 def test_hot_key_is_split_into_segments(spark):
@@ -139,7 +125,7 @@ def test_upper_and_lower_disjoint_and_subset(spark):
     rnd = random.Random(3)
     rows = [(g, float(rnd.randint(-50, 50) * (1 + (g == 2) * 9))) for g in range(5) for _ in range(60)]
     df = spark.createDataFrame(rows, "g long, v double")
-    s = gap_scores(df, ["g"], "v", window_limit=None).collect()
+    s = gap_scores(df, ["g"], "v").collect()
     values = {(g, float(v)) for g, v in rows}
     for r in s:
         assert (r.g, r.xx) in values

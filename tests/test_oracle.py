@@ -3,7 +3,6 @@
 ``python tests/oracle_check.py`` runs all 42 at sf0.01, like the driver.
 """
 
-import pytest
 from conftest import SF001
 from oracle_check import compare
 
@@ -12,15 +11,5 @@ QUERIES = ["prepare_records", "composite_key", "group_quartiles", "lead_gap", "g
            "cumulative_frequency", "ids_json_per_source", "detector_overlap"]
 
 
-def test_oracle_window_plans(spark):
+def test_oracle(spark):
     assert compare(spark, SF001, QUERIES) == []
-
-
-@pytest.mark.parametrize("names", [["gap_scores", "surface_outliers"],
-                                   ["cumulative_frequency", "group_quartiles", "lead_gap"]])
-def test_oracle_segmented_plans(spark, names):
-    spark.conf.set("spark.gapscan.windowLimit", "-1")
-    try:
-        assert compare(spark, SF001, names) == []
-    finally:
-        spark.conf.unset("spark.gapscan.windowLimit")
