@@ -26,7 +26,7 @@ import base64
 import hashlib
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gapscan.staging import stage, staging_path
@@ -50,14 +50,14 @@ def _digests(batches):
         raw = [(t or "").encode() for t in b.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [b.column(0), b.column(1), pa.array([len(r) for r in raw], pa.int64()),
-             pa.array([_digest(r) for r in raw], pa.string())], ["row", "page_id", "payload_bytes", "payload_digest"])
+             pa.array([_digest(r) for r in raw], pa.string())], ["page_id", "h", "payload_bytes", "payload_digest"])
 
 
 def revisits(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """Add payload_bytes, payload_digest and refers_to (null for responses) to
-    (row, page_id): only digests move, never the pages."""
-    own = stage(pages.select("row", "page_id", "html").mapInArrow(
-        _digests, "row bigint, page_id bigint, payload_bytes bigint, payload_digest string"), "digests")
+    """payload_bytes, payload_digest and refers_to (null for responses) for each
+    (page_id, h) of ``pages``: only digests move, never the pages."""
+    own = stage(pages.select("page_id", "h", "html").mapInArrow(
+        _digests, "page_id bigint, h bigint, payload_bytes bigint, payload_digest string"), "digests")
     payload = ["payload_digest", "payload_bytes"]
     largest = (own.where((F.col("payload_bytes") >= min_bytes) & F.col("page_id").isNotNull())
                   .groupBy(*payload).agg(F.max("page_id").alias("largest"), F.count(F.lit(1)).alias("n"))
@@ -69,13 +69,12 @@ def revisits(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
             own.where(F.col("payload_bytes") >= min_bytes).join(lone, payload, "left_semi")
                .groupBy(*payload).agg(F.max("page_id").alias("largest")).where("largest is not null")).distinct()
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("largest")), F.col("largest"))
-    return own.join(largest, payload, "left").select(
-        "row", *payload, refers.alias("refers_to"))
+    return own.join(largest, payload, "left").select("page_id", "h", *payload, refers.alias("refers_to")).distinct()
 
 
 def _record_id(kind: str, row: Column) -> Column:
     """A stable record id: a version-3 style UUID of the kind and the row."""
-    h = F.md5(F.concat(F.lit(kind + ":"), row.cast("string")))
+    h = F.md5(F.concat(F.lit(kind + ":"), row))
     part = lambda a, n: F.substring(h, a, n)
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws(
         "-", part(1, 8), part(9, 4), F.concat(F.lit("3"), part(14, 3)), F.concat(F.lit("8"), part(18, 3)),
@@ -95,12 +94,16 @@ def _record(kind: Column, rid: Column, url: Column, content_type: str, extra: li
 def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES) -> None:
     """Write three records for each row (page_id, url, html) of ``pages``.
 
-    Row numbers are staged with the pages, so that both uses of them agree.
+    The pages move once, to meet what is known of their payloads. A row is
+    named by its page_id, a hash of its text and its number among equal rows.
     """
-    numbered = stage(pages.select(F.monotonically_increasing_id().alias("row"), F.col("page_id").cast("long").alias("page_id"),
-                                  "url", "html"), "pages")
-    info = revisits(numbered, min_bytes).withColumnRenamed("row", "i_row")
-    rows = numbered.join(info, F.col("row") == F.col("i_row"))
+    keyed = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html",
+                         F.xxhash64("url", "html").alias("h"))
+    info = revisits(keyed, min_bytes).withColumnsRenamed({"page_id": "i_page", "h": "i_h"})
+    rows = keyed.join(info, F.col("page_id").eqNullSafe(F.col("i_page")) & (F.col("h") == F.col("i_h")))
+    nth = F.row_number().over(Window.partitionBy("page_id", "h").orderBy("page_id"))
+    rows = rows.withColumn("row", F.concat_ws(
+        ":", F.coalesce(F.col("page_id").cast("string"), F.lit("none")), F.hex("h"), nth.cast("string")))
     # header values are one line each
     url = F.regexp_replace(F.coalesce(F.col("url"), F.lit("")), r"[\r\n]+", "%0A")
     html = F.coalesce(F.col("html"), F.lit(""))
@@ -130,9 +133,10 @@ def _fields(head: str) -> dict[str, str]:
 
 
 def _parse(keep_payload: bool):
-    """Arrow task: (file, piece of text) in file order -> records. A piece ends
-    where the next "WARC/1.1" line follows two line ends; when Content-Length
-    says that this was inside a payload, pieces are joined again."""
+    """Arrow task: (file, piece of text) in file order -> records. The reader
+    cuts where a "WARC/1.1" line follows two line ends; where records begin and
+    end is decided by Content-Length alone."""
+    end, between = BREAK.encode(), (BREAK + START).encode()
     names = [f.split()[0] for f in RECORD.split(", ")]
     types = [pa.int64() if f.endswith("bigint") else pa.string() for f in RECORD.split(", ")]
 
@@ -154,27 +158,30 @@ def _parse(keep_payload: bool):
         return (f["WARC-Record-ID"], f["WARC-Type"], f.get("WARC-Concurrent-To"), f.get("WARC-Refers-To-Page-ID"),
                 f.get("WARC-Target-URI"), int(page) if page else None, size, digest, http_head, payload)
 
+    def complete(buffer: bytes) -> int:
+        """Length of the record that the buffer begins with, 0 while it is not whole."""
+        head, found, _ = buffer.partition(end)
+        if not found:
+            return 0
+        size = len(head) + len(end) + int(_fields(head.decode())["Content-Length"])
+        return size if len(buffer) >= size else 0
+
     def run(batches):
-        file, held, need = None, [], None
+        file, buffer = None, b""
         for b in batches:
             rows = []
             for path, piece in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if path != file:
-                    file, held = path, []
-                    piece = piece.removeprefix(START)
-                held.append(piece.encode())
-                if len(held) == 1:
-                    need = None
-                if need is None:
-                    head, _, _ = held[0].partition(BREAK.encode())
-                    need = len(head) + 4 + int(_fields(head.decode())["Content-Length"])
-                size = sum(map(len, held)) + (len(held) - 1) * (4 + len(START))
-                if size < need:
-                    continue  # the separator was part of the payload
-                whole = (BREAK + START).encode().join(held)[:need]
-                head, _, body = whole.partition(BREAK.encode())
-                rows.append(record(head.decode(), body))
-                held = []
+                # the text between the reader's pieces is put back, so a piece
+                # may hold part of a record or several records
+                buffer = piece.encode() if path != file else buffer + between + piece.encode()
+                file = path
+                while True:
+                    buffer = buffer.removeprefix(end)
+                    if not (size := complete(buffer)):
+                        break
+                    head, _, body = buffer[:size].partition(end)
+                    rows.append(record(head.decode(), body))
+                    buffer = buffer[size:]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
     return run

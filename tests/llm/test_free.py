@@ -245,6 +245,7 @@ def test_warc(spark, tmp_path):
     html = {1: "<p>é</p>", 2: "<p>é</p>", 3: None, 4: "", 5: tricky, 6: "\r\n\r\n", 7: "x" * 200_000, 8: tricky,
             9: "tail\r\n\r\nWARC/1.1\r\n"}
     rows = [(k, f"http://h/{k}\r\nX: y", v) for k, v in html.items()] + [(None, None, "<p>é</p>")]
+    rows.append(rows[0])  # a repeated row
     spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
     got = warc.op9_warc(spark, str(tmp_path)).collect()
     assert len(got) == len(rows)
@@ -262,6 +263,23 @@ def test_warc(spark, tmp_path):
         assert r["has_request"] and r["has_metadata"]
 
 
+def test_warc_reader_cuts_anywhere():
+    """Whatever pieces the reader makes of a file, the records are the same."""
+    import pyarrow as pa
+    record = lambda i, body: (f"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <{i}>\r\n"
+                              f"Content-Length: {len(body)}\r\n\r\n{body}\r\n\r\n")
+    bodies = ["HTTP/1.1 200 OK\r\n\r\n" + b for b in ("a", "\r\n", "x\r\n\r\nWARC/1.1\r\ny", "", "z\r\n\r\n")]
+    text = "".join(record(i, b) for i, b in enumerate(bodies))
+    sep = "\r\n\r\nWARC/1.1\r\n"
+    cuts = text.split(sep)
+    joined = [cuts[0], cuts[1] + sep + cuts[2], *cuts[3:]]  # the reader missed a separator
+    for pieces in (cuts, joined, [text]):
+        batch = pa.RecordBatch.from_arrays([pa.array(["f"] * len(pieces)), pa.array(pieces)], ["file", "value"])
+        out = list(warc._parse(True)(iter([batch])))
+        got = [p for b in out for p in b.column(9).to_pylist()]
+        assert got == [b.split("\r\n\r\n", 1)[1] for b in bodies]
+
+
 def test_warc_payload_round_trip(spark, tmp_path):
     pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
     warc.write_archives(pages, f"{tmp_path}/w")
