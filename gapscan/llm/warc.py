@@ -50,14 +50,14 @@ def _digests(batches):
         raw = [(t or "").encode() for t in b.column(2).to_pylist()]
         yield pa.RecordBatch.from_arrays(
             [b.column(0), b.column(1), pa.array([len(r) for r in raw], pa.int64()),
-             pa.array([_digest(r) for r in raw], pa.string())], ["page_id", "h", "payload_bytes", "payload_digest"])
+             pa.array([_digest(r) for r in raw], pa.string())], ["page_id", "k", "payload_bytes", "payload_digest"])
 
 
 def revisits(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
     """payload_bytes, payload_digest and refers_to (null for responses) for each
-    (page_id, h) of ``pages``: only digests move, never the pages."""
-    own = stage(pages.select("page_id", "h", "html").mapInArrow(
-        _digests, "page_id bigint, h bigint, payload_bytes bigint, payload_digest string"), "digests")
+    row key ``k`` of ``pages``: only digests move, never the pages."""
+    own = stage(pages.select("page_id", "k", "html").mapInArrow(
+        _digests, "page_id bigint, k string, payload_bytes bigint, payload_digest string"), "digests")
     payload = ["payload_digest", "payload_bytes"]
     largest = (own.where((F.col("payload_bytes") >= min_bytes) & F.col("page_id").isNotNull())
                   .groupBy(*payload).agg(F.max("page_id").alias("largest"), F.count(F.lit(1)).alias("n"))
@@ -69,7 +69,7 @@ def revisits(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
             own.where(F.col("payload_bytes") >= min_bytes).join(lone, payload, "left_semi")
                .groupBy(*payload).agg(F.max("page_id").alias("largest")).where("largest is not null")).distinct()
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("largest")), F.col("largest"))
-    return own.join(largest, payload, "left").select("page_id", "h", *payload, refers.alias("refers_to")).distinct()
+    return own.join(largest, payload, "left").select("k", *payload, refers.alias("refers_to")).distinct()
 
 
 def _record_id(kind: str, row: Column) -> Column:
@@ -97,13 +97,13 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_BYTES) -> N
     The pages move once, to meet what is known of their payloads. A row is
     named by its page_id, a hash of its text and its number among equal rows.
     """
-    keyed = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html",
-                         F.xxhash64("url", "html").alias("h"))
-    info = revisits(keyed, min_bytes).withColumnsRenamed({"page_id": "i_page", "h": "i_h"})
-    rows = keyed.join(info, F.col("page_id").eqNullSafe(F.col("i_page")) & (F.col("h") == F.col("i_h")))
-    nth = F.row_number().over(Window.partitionBy("page_id", "h").orderBy("page_id"))
-    rows = rows.withColumn("row", F.concat_ws(
-        ":", F.coalesce(F.col("page_id").cast("string"), F.lit("none")), F.hex("h"), nth.cast("string")))
+    key = F.concat_ws(":", F.coalesce(F.col("page_id").cast("string"), F.lit("none")),
+                      F.hex(F.xxhash64("url", "html")))
+    keyed = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", key.alias("k"))
+    # the join and the numbering share one shuffle on the key
+    rows = keyed.join(revisits(keyed, min_bytes), "k")
+    nth = F.row_number().over(Window.partitionBy("k").orderBy("page_id"))
+    rows = rows.withColumn("row", F.concat_ws(":", "k", nth.cast("string")))
     # header values are one line each
     url = F.regexp_replace(F.coalesce(F.col("url"), F.lit("")), r"[\r\n]+", "%0A")
     html = F.coalesce(F.col("html"), F.lit(""))
