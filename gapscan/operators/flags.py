@@ -14,21 +14,27 @@ from gapscan.operators.segments import materialize
 
 def long_cells(records: DataFrame, surfaces: DataFrame, group: str, cell_keys: Sequence[str],
                surface_cols: Sequence[str], name: str = "surface", value: str = "xx",
-               stage: bool = True) -> DataFrame:
+               stage: bool = True, count: str | None = None) -> DataFrame:
     """Distinct (group, cell) joined to the surfaces, unpivoted.
 
     Reducing the records to distinct (group, cell) before the join is the main
     saving: records far outnumber the cells a group occupies. With ``stage``
     the joined (group, cell, surfaces) table is written once to the checkpoint
     folder, so the flag search and the later match of flags to cells neither
-    scan the records nor join the surfaces again.
-    Columns: group, cell keys, surface, xx.
+    scan the records nor join the surfaces again. With ``count`` the number of
+    records of each (group, cell) is kept under that name.
+    Columns: group, cell keys, (count,) surface, xx.
     """
-    cells = records.select(group, *cell_keys).where(F.col(group).isNotNull()).distinct()
+    cells = records.select(group, *cell_keys).where(F.col(group).isNotNull())
+    if count:
+        cells = cells.groupBy(group, *cell_keys).agg(F.count(F.lit(1)).alias(count))
+    else:
+        cells = cells.distinct()
     joined = cells.join(surfaces.select(*cell_keys, *surface_cols), list(cell_keys), "inner")
     if stage:
         joined = materialize(joined)
-    return unpivot_surfaces(joined, [group, *cell_keys], surface_cols, name, value)
+    ids = [group, *cell_keys, *([count] if count else [])]
+    return unpivot_surfaces(joined, ids, surface_cols, name, value)
 
 
 def surface_outliers(records: DataFrame, surfaces: DataFrame, group: str,

@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapscan.operators.prepare import drop_null_rows
+from gapscan.functions import fixed_decimal
+from gapscan.operators.prepare import drop_null_rows, scale_columns
+from gapscan.operators.reshape import unpivot_surfaces
 
 
 def make_grid(spark: SparkSession, step: float, lat_min: float = -90.0, lat_max: float = 90.0,
@@ -72,10 +74,33 @@ def build_surfaces(grid: DataFrame, cells: DataFrame, bands: Sequence[str],
 
     Points without a value in every band (sea, no data) are dropped.
     """
-    joined = grid.join(cells, list(keys), "inner")
-    scaled = joined.select(*[F.col(c) for c in joined.columns if c not in bands],
-                           *[(F.col(b) / F.lit(factor)).alias(b) for b in bands])
-    return drop_null_rows(scaled, list(bands))
+    joined = raster_cell_join(grid, cells, keys)
+    return drop_null_rows(scale_columns(joined, bands, factor), list(bands))
+
+
+def surface_table(grid: DataFrame, cells: DataFrame, bands: Sequence[str], x0: float, y0: float,
+                  step_x: float, step_y: float, y_down: bool = True, factor: float = 10.0,
+                  x: str = "lon", y: str = "lat", digits: int = 1) -> DataFrame:
+    """G2 from grid points to the written table: the raster cell that holds each
+    point, its band values over ``factor``, points without a value dropped,
+    coordinates as fixed-decimal text keys.
+
+    ``cells`` holds cell_row, cell_col and the bands.
+    """
+    placed = point_cells(grid.select(y, x), x, y, x0, y0, step_x, step_y, y_down=y_down)
+    built = build_surfaces(placed, cells, bands, ("cell_row", "cell_col"), factor)
+    return built.select(fixed_decimal(y, digits).alias(y), fixed_decimal(x, digits).alias(x), *bands)
+
+
+def raster_rows(cells: DataFrame, bands: Sequence[str], x0: float, y0: float, step_x: float,
+                step_y: float, y_down: bool = True, row: str = "cell_row",
+                col: str = "cell_col") -> DataFrame:
+    """One row per cell and band: the centre of the cell (x, y), the band's
+    name (surface) and its value (xx). Cells without a value drop out."""
+    down = -1.0 if y_down else 1.0
+    centred = cells.select((F.lit(x0) + (F.col(col) + 0.5) * F.lit(step_x)).alias("x"),
+                           (F.lit(y0) + (F.col(row) + 0.5) * F.lit(down * step_y)).alias("y"), *bands)
+    return unpivot_surfaces(centred, ["x", "y"], bands)
 
 
 def grid_lookup(records: DataFrame, surfaces: DataFrame, cell_keys: Sequence[str]) -> DataFrame:

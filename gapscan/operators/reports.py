@@ -7,13 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gapscan.operators.flags import membership
+from gapscan.operators.flags import count_outlier_surfaces, membership
 from gapscan.operators.segments import with_positions
 
 
-def flagged_records(records: DataFrame, rf: DataFrame, record_id: str) -> DataFrame:
-    """Records that carry at least one flag (each record once)."""
-    return records.join(rf.select(record_id).distinct(), record_id, "left_semi")
+# Ids per page of ``ids_json_pages``.
+PAGE = 100
+
+
+def flagged_records(records: DataFrame, rf: DataFrame, record_id: str, k: int = 1) -> DataFrame:
+    """Records flagged on at least ``k`` surfaces (each record once)."""
+    ids = rf.select(record_id).distinct() if k <= 1 else \
+        count_outlier_surfaces(rf, record_id, "_k").where(F.col("_k") >= k).select(record_id)
+    return records.join(ids, record_id, "left_semi")
 
 
 def count_by(records: DataFrame, by: Sequence[str], distinct_on: Sequence[str],
@@ -35,13 +41,14 @@ def hot_locations(flagged: DataFrame, location: Sequence[str], group: str,
 
 
 def source_share(records: DataFrame, rf: DataFrame, source: str, record_id: str,
-                 min_flagged: int = 100, digits: int = 6) -> DataFrame:
-    """Flagged records per source, the source's total, and the share.
+                 min_flagged: int = 100, digits: int = 6, k: int = 1) -> DataFrame:
+    """Records flagged on at least ``k`` surfaces per source, the source's
+    total, and the share.
 
     Kept when the flagged count is above ``min_flagged``.
     """
     totals = records.groupBy(source).agg(F.count(F.lit(1)).alias("n_total"))
-    flagged = count_by(flagged_records(records, rf, record_id), [source], [record_id], "n_flagged")
+    flagged = count_by(flagged_records(records, rf, record_id, k), [source], [record_id], "n_flagged")
     return (flagged.where(F.col("n_flagged") > min_flagged)
                    .join(totals, source)
                    .withColumn("share", F.round(F.try_divide(F.col("n_flagged"), F.col("n_total")), digits)))
@@ -57,7 +64,7 @@ def mean_by_flag_count(export: DataFrame, distinct_on: Sequence[str], value: str
 
 
 def ids_json_pages(flagged: DataFrame, source: str, record_id: str,
-                   page_size: int = 10000) -> DataFrame:
+                   page_size: int = PAGE) -> DataFrame:
     """The flagged ids of each source as JSON array text, in pages.
 
     A source may hold a large share of all flagged records, so its ids are
@@ -102,9 +109,28 @@ def label_group(records: DataFrame, flagged: DataFrame, record_id: str,
     return membership(picked, flagged, record_id, out)
 
 
+def detector_labels(records: DataFrame, a_rows: DataFrame, b_rows: DataFrame, record_id: str,
+                    values: Sequence[str] = (), a: str = "in_a", b: str = "in_b",
+                    both: str = "in_both") -> DataFrame:
+    """Every record, marked by detector a, by b and by both.
+
+    ``values`` are columns of ``a_rows`` (its flagged values) carried along.
+    The ids of both detectors are tagged and aggregated first, so the records
+    meet them in a single join.
+    """
+    a_side = a_rows.select(record_id, *values, F.lit(True).alias(a), F.lit(False).alias(b))
+    b_side = b_rows.select(record_id, F.lit(False).alias(a), F.lit(True).alias(b))
+    tags = (a_side.unionByName(b_side, allowMissingColumns=True).groupBy(record_id)
+                  .agg(*[F.max(v).alias(v) for v in values],
+                       F.bool_or(a).alias(a), F.bool_or(b).alias(b)))
+    none = F.lit(False)
+    return (records.join(tags, record_id, "left")
+                   .withColumns({a: F.coalesce(F.col(a), none), b: F.coalesce(F.col(b), none)})
+                   .withColumn(both, F.col(a) & F.col(b)))
+
+
 def detector_overlap(records: DataFrame, a_ids: DataFrame, b_ids: DataFrame, record_id: str,
                      a: str = "in_a", b: str = "in_b") -> DataFrame:
     """Records flagged by detector a, by b, by both: a frequency table."""
-    marked = membership(membership(records.select(record_id), a_ids, record_id, a),
-                        b_ids, record_id, b)
+    marked = detector_labels(records.select(record_id), a_ids, b_ids, record_id, a=a, b=b)
     return marked.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))

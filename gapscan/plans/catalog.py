@@ -17,12 +17,13 @@ from gapscan.operators import flags as FL
 from gapscan.operators import profile as PR
 from gapscan.operators import reports as RP
 from gapscan.operators.gap import gap_outliers, gap_scores
-from gapscan.operators.grid import grid_over, point_cells, raster_cell_join
-from gapscan.operators.prepare import drop_null_rows, prepare_records, range_or_null
+from gapscan.operators.grid import (grid_lookup, grid_over, point_cells, raster_cell_join,
+                                    raster_rows, surface_table)
+from gapscan.operators.prepare import drop_null_rows, prepare_records, range_or_null, scale_columns
 from gapscan.operators.reshape import unpivot_surfaces
-from gapscan.operators.segments import quantiles_disc, with_next
+from gapscan.operators.segments import materialize, quantiles_disc, with_next
 from gapscan.plans import fixtures as FX
-from gapscan.plans.fixtures import GROUP, RECORD_ID, SURFACES, table
+from gapscan.plans.fixtures import CELL, GROUP, RECORD_ID, SURFACES, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,8 +37,8 @@ SURFACE_NAMES = [
 TRUSTED_K = 2
 PAD = 10
 NTH = 15
-PAGE = 100
-HOT_LOCATION = 3
+HOT_LOCATION = 2
+MIN_FLAGGED = 10
 
 
 def _orders_values(spark, sf_dir):
@@ -49,11 +50,16 @@ def _export(spark, sf_dir):
     return FX.export(spark, sf_dir)
 
 
-def _long_loc(spark, sf_dir):
-    rec, lg, fl = FX.flagged(spark, sf_dir)
-    rf = FL.outlier_records(rec, lg, fl, RECORD_ID, GROUP, FX.CELL)
-    loc = rec.select(RECORD_ID, "x_cell", "y_cell")
-    return PR.flagged_long(lg.join(loc, RECORD_ID), rf, RECORD_ID)
+def _marked(spark, sf_dir):
+    """(cells marked as flagged or not, flags); the flags are staged, so that the
+    gap search runs once."""
+    _, lg, fl = FX.flagged(spark, sf_dir)
+    fl = materialize(fl)
+    return PR.flagged_cells_long(lg, fl, GROUP), fl
+
+
+def _surface_dim(spark):
+    return spark.createDataFrame(SURFACE_NAMES, "surface string, long_name string")
 
 
 def _docs_labels(spark, sf_dir):
@@ -94,14 +100,15 @@ def q_normalise_label(spark, sf_dir):
 
 
 def q_composite_key(spark, sf_dir):
-    long = unpivot_surfaces(FX.surf(spark, sf_dir), ["cell_id"], SURFACES)
-    keyed = long.select(composite_key("cell_id", "surface").alias("key"), "xx")
-    return keyed.select("key", split_key("key", 0).cast("long").alias("key_cell"),
-                        split_key("key", 1).alias("key_surface"), "xx")
+    long = unpivot_surfaces(FX.surf(spark, sf_dir), CELL, SURFACES)
+    keyed = long.select(composite_key(*CELL, "surface").alias("key"), "xx")
+    return keyed.select("key", split_key("key", 0).cast("long").alias("key_x"),
+                        split_key("key", 1).cast("long").alias("key_y"),
+                        split_key("key", 2).alias("key_surface"), "xx")
 
 
 def q_unpivot_surfaces(spark, sf_dir):
-    return unpivot_surfaces(FX.surf(spark, sf_dir), ["cell_id"], SURFACES)
+    return unpivot_surfaces(FX.surf(spark, sf_dir), CELL, SURFACES)
 
 
 # -- the core ------------------------------------------------------------------
@@ -150,10 +157,9 @@ def gap_outliers_by_user(spark, sf_dir):
 
 
 def flag_union(spark, sf_dir):
-    s = gap_scores(_orders_values(spark, sf_dir), [GROUP], "amount")
-    upper = s.where(F.col("outlier_type") == "upper").select(GROUP, "xx", "outlier_type")
-    lower = s.where(F.col("outlier_type") == "lower").select(GROUP, "xx", "outlier_type")
-    return upper.unionByName(lower)
+    s = materialize(gap_outliers(_orders_values(spark, sf_dir), [GROUP], "amount"))
+    return (s.where(F.col("outlier_type") == "upper")
+             .unionByName(s.where(F.col("outlier_type") == "lower")))
 
 
 # -- grids and lookups -----------------------------------------------------------
@@ -163,29 +169,40 @@ def make_grid(spark, sf_dir):
 
 
 def q_raster_cell_join(spark, sf_dir):
-    ev = table(spark, sf_dir, "events").withColumn("hour", F.hour("ts"))
-    cells = (point_cells(ev.where(F.col("event_type") == "error"), "value", "hour",
-                         0.0, 0.0, 10.0, 6.0, y_down=False)
-             .groupBy("cell_row", "cell_col").agg((F.max("value") / 10).alias("band")))
-    points = point_cells(ev.select("event_id", "value", "hour"), "value", "hour",
-                         0.0, 0.0, 10.0, 6.0, y_down=False)
-    return raster_cell_join(points, cells).select("event_id", "cell_row", "cell_col", "band")
+    # the raster's rows are months, the points' are hours: hours without a month miss
+    cells = (FX.records(spark, sf_dir)
+               .groupBy(F.col("y_cell").cast("long").alias("cell_row"),
+                        F.col("x_cell").cast("long").alias("cell_col"))
+               .agg(F.max(F.round(F.col("amount") * 100)).alias("band")))
+    ev = table(spark, sf_dir, "events").select("event_id", "value", F.hour("ts").alias("hour"))
+    points = point_cells(ev, "value", "hour", 0.0, 0.0, 10.0, 1.0, y_down=False)
+    hits = raster_cell_join(points, cells).select("event_id", "cell_row", "cell_col", "band")
+    return scale_columns(hits, ["band"], 10.0)
 
 
 def grid_lookup_join(spark, sf_dir):
-    from gapscan.operators.grid import grid_lookup
-    rec = FX.records(spark, sf_dir)
-    grid = (rec.where(F.col("record_class") == "F").groupBy("x_cell", "y_cell")
-               .agg(F.count(F.lit(1)).cast("double").alias("b1"),
-                    F.sum(F.round("amount").cast("long")).cast("double").alias("b2")))
-    return grid_lookup(rec.select(RECORD_ID, "x_cell", "y_cell"), grid, ["x_cell", "y_cell"])
+    return grid_lookup(FX.records(spark, sf_dir).select(RECORD_ID, *CELL), FX.surf(spark, sf_dir), CELL)
+
+
+def _raster(spark, sf_dir):
+    """The surface table as a raster of bands, one cell per location cell."""
+    return FX.surf(spark, sf_dir).select(F.col("y_cell").cast("long").alias("cell_row"),
+                                         F.col("x_cell").cast("long").alias("cell_col"), *SURFACES)
+
+
+def surface_build(spark, sf_dir):
+    grid = grid_over(FX.records(spark, sf_dir), x="x_cell", y="y_cell", step=0.5)
+    return surface_table(grid, _raster(spark, sf_dir), SURFACES, 0.0, 0.0, 1.0, 1.0, y_down=False)
+
+
+def q_raster_rows(spark, sf_dir):
+    return raster_rows(_raster(spark, sf_dir), SURFACES, 0.0, 0.0, 1.0, 1.0, y_down=False)
 
 
 # -- the product -------------------------------------------------------------------
 
 def q_surface_outliers(spark, sf_dir):
-    return FL.surface_outliers(FX.records(spark, sf_dir), FX.surfaces_by_record(spark, sf_dir),
-                               GROUP, FX.CELL, SURFACES)
+    return FL.surface_outliers(FX.records(spark, sf_dir), FX.surf(spark, sf_dir), GROUP, CELL, SURFACES)
 
 
 def flags_to_records(spark, sf_dir):
@@ -228,29 +245,32 @@ def q_semi_filter(spark, sf_dir):
 
 
 def label_dim_join(spark, sf_dir):
-    dim = spark.createDataFrame(SURFACE_NAMES, "surface string, long_name string")
-    return FL.label_join(FX.long(spark, sf_dir).select(RECORD_ID, "surface", "xx"), dim, "surface")
+    cells = FX.long(spark, sf_dir, stage=False).select(GROUP, *CELL, "surface", "xx")
+    return FL.label_join(cells, _surface_dim(spark), "surface")
 
 
 # -- profiles --------------------------------------------------------------------------
 
 def cumulative_frequency(spark, sf_dir):
-    return PR.cumfreq_profile(_long_loc(spark, sf_dir), [GROUP, "surface"], "xx",
-                              ["x_cell", "y_cell"])
+    marked, hits = _marked(spark, sf_dir)
+    return PR.labelled_profile(marked, GROUP, "xx", CELL, _surface_dim(spark), "s",
+                               weight="n_records", hits=hits)
 
 
 def q_location_flag_count(spark, sf_dir):
-    return PR.location_flag_count(_long_loc(spark, sf_dir), GROUP, ["x_cell", "y_cell"])
+    marked, hits = _marked(spark, sf_dir)
+    return PR.location_flag_count(marked, GROUP, CELL, hits=hits)
 
 
 def q_bbox_padded(spark, sf_dir):
-    return PR.bbox_padded(_long_loc(spark, sf_dir), [GROUP, "surface"], "x_cell", "y_cell", PAD)
+    marked, _ = _marked(spark, sf_dir)
+    return PR.bbox_padded(marked, [GROUP, "surface"], "x_cell", "y_cell", PAD)
 
 
 # -- reports ------------------------------------------------------------------------------
 
-def _flagged(spark, sf_dir):
-    return RP.flagged_records(FX.records(spark, sf_dir), FX.rf(spark, sf_dir), RECORD_ID)
+def _flagged(spark, sf_dir, k=1):
+    return RP.flagged_records(FX.records(spark, sf_dir), FX.rf(spark, sf_dir), RECORD_ID, k)
 
 
 def nth_group(spark, sf_dir):
@@ -262,15 +282,15 @@ def top_sources(spark, sf_dir):
 
 
 def report_by_class(spark, sf_dir):
-    return RP.count_by(_flagged(spark, sf_dir), ["record_class"], [GROUP, "x_cell", "y_cell"])
+    return RP.count_by(_flagged(spark, sf_dir, TRUSTED_K), ["record_class"], [GROUP, "x_cell", "y_cell"])
 
 
 def report_hot_locations(spark, sf_dir):
-    return RP.hot_locations(_flagged(spark, sf_dir), ["x_cell", "y_cell"], GROUP, HOT_LOCATION)
+    return RP.hot_locations(_flagged(spark, sf_dir, TRUSTED_K), ["x_cell", "y_cell"], GROUP, HOT_LOCATION)
 
 
 def report_by_taxon(spark, sf_dir):
-    return RP.count_by(_flagged(spark, sf_dir), [GROUP], [RECORD_ID])
+    return RP.count_by(_flagged(spark, sf_dir, TRUSTED_K), [GROUP], [RECORD_ID])
 
 
 def report_by_surface(spark, sf_dir):
@@ -278,7 +298,8 @@ def report_by_surface(spark, sf_dir):
 
 
 def report_source_share(spark, sf_dir):
-    return RP.source_share(FX.records(spark, sf_dir), FX.rf(spark, sf_dir), "source_key", RECORD_ID)
+    return RP.source_share(FX.records(spark, sf_dir), FX.rf(spark, sf_dir), "source_key", RECORD_ID,
+                           min_flagged=MIN_FLAGGED, k=TRUSTED_K)
 
 
 def report_uncertainty(spark, sf_dir):
@@ -287,14 +308,25 @@ def report_uncertainty(spark, sf_dir):
 
 
 def ids_json_per_source(spark, sf_dir):
-    return RP.ids_json_pages(_flagged(spark, sf_dir), "source_key", RECORD_ID, PAGE)
+    return RP.ids_json_pages(_flagged(spark, sf_dir, TRUSTED_K), "source_key", RECORD_ID)
+
+
+def _amount_outliers(rec):
+    """Records flagged by the second detector: gap outliers of the amount per group."""
+    amounts = gap_outliers(rec, [GROUP], "amount").select(GROUP, F.col("xx").alias("amount"))
+    return rec.join(amounts, [GROUP, "amount"], "left_semi")
 
 
 def q_detector_overlap(spark, sf_dir):
     rec = FX.records(spark, sf_dir)
-    amount_flags = gap_outliers(rec, [GROUP], "amount").withColumnRenamed("xx", "amount")
-    b_ids = rec.join(amount_flags.select(GROUP, "amount"), [GROUP, "amount"], "left_semi")
-    return RP.detector_overlap(rec, FX.rf(spark, sf_dir), b_ids, RECORD_ID)
+    return RP.detector_overlap(rec, FX.rf(spark, sf_dir), _amount_outliers(rec), RECORD_ID)
+
+
+def detector_labels(spark, sf_dir):
+    from gapscan.operators.reshape import pivot_wide as pw
+    rec = FX.records(spark, sf_dir)
+    wide = pw(FX.rf(spark, sf_dir), [RECORD_ID], "surface", "xx", SURFACES)
+    return RP.detector_labels(rec, wide, _amount_outliers(rec), RECORD_ID, SURFACES)
 
 
 QUERIES: dict[str, Query] = {
@@ -340,4 +372,7 @@ QUERIES: dict[str, Query] = {
     "report_uncertainty": report_uncertainty,
     "ids_json_per_source": ids_json_per_source,
     "detector_overlap": q_detector_overlap,
+    "detector_labels": detector_labels,
+    "surface_build": surface_build,
+    "raster_rows": q_raster_rows,
 }

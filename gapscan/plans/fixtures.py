@@ -1,10 +1,12 @@
 """Inputs of the driver queries, derived from the test tables with Spark.
 
-* ``records``: one record per order (id, group, class, source, amount, two
-  integer location cells);
-* ``surf``: a surface table keyed by ``cell_id`` (= order key) with four
-  integer-valued surfaces from the order's line items;
-* ``long``: records joined to ``surf`` on their cell, unpivoted;
+* ``records``: one record per order (id, class, source, amount, two integer
+  location cells); its group is a block of four customers, so a group has
+  enough cells to be scored and several records at some of them;
+* ``surf``: a surface table keyed by location cell with four integer-valued
+  surfaces from the line items of the orders there;
+* ``long``: distinct (group, cell) joined to ``surf``, unpivoted, with the
+  number of records at each;
 * ``flags``: gap outliers per (group, surface) of ``long``;
 * ``rf``: flagged (record, surface) rows.
 """
@@ -20,7 +22,7 @@ from gapscan.operators.gap import gap_outliers
 SURFACES = ["s1", "s2", "s3", "s4"]
 RECORD_ID = "record_id"
 GROUP = "group_key"
-CELL = ["record_id"]
+CELL = ["x_cell", "y_cell"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,7 +33,7 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     return o.select(
         F.col("o_orderkey").alias("record_id"),
-        F.col("o_custkey").alias("group_key"),
+        F.expr("o_custkey div 4").alias("group_key"),
         F.col("o_orderstatus").alias("record_class"),
         F.col("o_orderpriority").alias("source_key"),
         F.col("o_totalprice").alias("amount"),
@@ -42,7 +44,8 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def surf(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
-    return li.groupBy(F.col("l_orderkey").alias("cell_id")).agg(
+    cells = records(spark, sf_dir).select(F.col(RECORD_ID).alias("l_orderkey"), *CELL)
+    return li.join(cells, "l_orderkey").groupBy(*CELL).agg(
         F.sum(F.col("l_quantity").cast("long")).cast("double").alias("s1"),
         F.sum(F.round(F.col("l_extendedprice") * 100).cast("long")).cast("double").alias("s2"),
         F.sum(F.round(F.col("l_discount") * 100).cast("long")).cast("double").alias("s3"),
@@ -50,22 +53,16 @@ def surf(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def surfaces_by_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``surf`` keyed the way records name their cell."""
-    return surf(spark, sf_dir).withColumnRenamed("cell_id", "record_id")
-
-
-def long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(group_key, record_id, surface, xx): every record's surface values."""
-    return long_cells(records(spark, sf_dir), surfaces_by_record(spark, sf_dir),
-                      GROUP, CELL, SURFACES)
+def long(spark: SparkSession, sf_dir: str, stage: bool = True) -> DataFrame:
+    """(group_key, x_cell, y_cell, n_records, surface, xx): the surface values of every occupied cell."""
+    return long_cells(records(spark, sf_dir), surf(spark, sf_dir), GROUP, CELL, SURFACES,
+                      stage=stage, count="n_records")
 
 
 def flagged(spark: SparkSession, sf_dir: str):
     """(records, long, flags) built once, for queries that need several of them."""
-    rec = records(spark, sf_dir)
-    lg = long_cells(rec, surfaces_by_record(spark, sf_dir), GROUP, CELL, SURFACES)
-    return rec, lg, gap_outliers(lg, [GROUP, "surface"], "xx")
+    lg = long(spark, sf_dir)
+    return records(spark, sf_dir), lg, gap_outliers(lg, [GROUP, "surface"], "xx")
 
 
 def flags(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,29 +8,29 @@ grouped aggregates over the pre-registered test tables. Column names match
 from __future__ import annotations
 
 RECORDS = """records AS (
-  SELECT o_orderkey AS record_id, o_custkey AS group_key, o_orderstatus AS record_class,
+  SELECT o_orderkey AS record_id, CAST(o_custkey // 4 AS BIGINT) AS group_key, o_orderstatus AS record_class,
          o_orderpriority AS source_key, o_totalprice AS amount,
          CAST(round(o_totalprice / 10000) AS INTEGER) AS x_cell,
          CAST(month(o_orderdate) AS INTEGER) AS y_cell
   FROM orders)"""
 
 SURF = """surf AS (
-  SELECT l_orderkey AS cell_id,
+  SELECT x_cell, y_cell,
          CAST(sum(CAST(l_quantity AS BIGINT)) AS DOUBLE) AS s1,
          CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) AS s2,
          CAST(sum(CAST(round(l_discount * 100) AS BIGINT)) AS DOUBLE) AS s3,
          CAST(count(*) AS DOUBLE) AS s4
-  FROM lineitem GROUP BY l_orderkey)"""
+  FROM lineitem JOIN records ON l_orderkey = record_id GROUP BY x_cell, y_cell)"""
 
 SURF_LONG = """surf_long AS (
-  SELECT cell_id, 's1' AS surface, s1 AS xx FROM surf UNION ALL
-  SELECT cell_id, 's2', s2 FROM surf UNION ALL
-  SELECT cell_id, 's3', s3 FROM surf UNION ALL
-  SELECT cell_id, 's4', s4 FROM surf)"""
+  SELECT x_cell, y_cell, 's1' AS surface, s1 AS xx FROM surf UNION ALL
+  SELECT x_cell, y_cell, 's2', s2 FROM surf UNION ALL
+  SELECT x_cell, y_cell, 's3', s3 FROM surf UNION ALL
+  SELECT x_cell, y_cell, 's4', s4 FROM surf)"""
 
 LONG = """long AS (
-  SELECT r.group_key, r.record_id, u.surface, u.xx
-  FROM records r JOIN surf_long u ON r.record_id = u.cell_id
+  SELECT r.group_key, r.record_id, r.x_cell, r.y_cell, u.surface, u.xx
+  FROM records r JOIN surf_long u ON r.x_cell = u.x_cell AND r.y_cell = u.y_cell
   WHERE u.xx IS NOT NULL)"""
 
 
@@ -94,15 +94,20 @@ EXPORT = """export AS (
   SELECT r.record_id, r.group_key, r.record_class, r.source_key, r.amount, r.x_cell, r.y_cell,
          w.s1, w.s2, w.s3, w.s4, w.n_outliers
   FROM records r JOIN wide w ON r.record_id = w.record_id)"""
+TRUSTED = """trusted AS (
+  SELECT * FROM records WHERE record_id IN (
+    SELECT record_id FROM rf GROUP BY record_id HAVING count(DISTINCT surface) >= 2))"""
 FLAGGED = """flagged AS (SELECT * FROM records WHERE record_id IN (SELECT record_id FROM rf))"""
 LONG_LOC = """long_loc AS (
-  SELECT l.group_key, l.record_id, l.surface, l.xx, r.x_cell, r.y_cell,
-         EXISTS (SELECT 1 FROM rf WHERE rf.record_id = l.record_id AND rf.surface = l.surface) AS is_outlier
-  FROM long l JOIN records r ON l.record_id = r.record_id)"""
+  SELECT l.*, EXISTS (SELECT 1 FROM rf WHERE rf.record_id = l.record_id AND rf.surface = l.surface) AS is_outlier
+  FROM long l)"""
 KEPT = """kept AS (
   SELECT * FROM long_loc a
   WHERE EXISTS (SELECT 1 FROM long_loc b WHERE b.is_outlier AND b.group_key = a.group_key
                 AND b.surface = a.surface))"""
+DIM = """dim AS (
+  SELECT * FROM (VALUES ('s1', 'Quantity'), ('s2', 'Extended price in cents'),
+                        ('s3', 'Discount in percent'), ('s4', 'Line count')) t(surface, long_name))"""
 DOCS_LABELS = """dl AS (
   SELECT d.doc_id, d.lang, d.source, d.n_chars, l.quality, l.toxic
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
@@ -131,12 +136,11 @@ SQL: dict[str, str] = {
         SELECT doc_id, source, quality, toxic FROM dl
         WHERE doc_id IS NOT NULL AND source IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL"""),
     "normalise_label": "SELECT n_nationkey, replace(lower(n_name), '_', ' ') AS label FROM nation",
-    "composite_key": _with([SURF, SURF_LONG], """
-        SELECT concat_ws('_', cell_id, surface) AS key,
-               CAST(split_part(concat_ws('_', cell_id, surface), '_', 1) AS BIGINT) AS key_cell,
-               split_part(concat_ws('_', cell_id, surface), '_', 2) AS key_surface, xx
+    "composite_key": _with([RECORDS, SURF, SURF_LONG], """
+        SELECT concat_ws('_', x_cell, y_cell, surface) AS key, CAST(x_cell AS BIGINT) AS key_x,
+               CAST(y_cell AS BIGINT) AS key_y, surface AS key_surface, xx
         FROM surf_long"""),
-    "unpivot_surfaces": _with([SURF, SURF_LONG], "SELECT cell_id, surface, xx FROM surf_long"),
+    "unpivot_surfaces": _with([RECORDS, SURF, SURF_LONG], "SELECT x_cell, y_cell, surface, xx FROM surf_long"),
     "pivot_wide": _with([*BASE, WIDE], "SELECT record_id, s1, s2, s3, s4 FROM wide"),
     "distinct_group_values": "SELECT DISTINCT o_custkey AS group_key, o_totalprice AS xx FROM orders",
     "group_size_guard": """SELECT group_key, count(*) AS n FROM
@@ -174,20 +178,26 @@ SQL: dict[str, str] = {
                CAST(y0 AS DOUBLE) + CAST(i // (x1 - x0 + 1) AS DOUBLE) AS lat,
                CAST(x0 AS DOUBLE) + CAST(i % (x1 - x0 + 1) AS DOUBLE) AS lon
         FROM g"""),
-    "raster_cell_join": """
-        WITH p AS (SELECT event_id, event_type, value,
-                          CAST(floor(value / 10.0) AS BIGINT) AS cell_col,
-                          CAST(floor(hour(ts) / 6.0) AS BIGINT) AS cell_row FROM events),
-        c AS (SELECT cell_row, cell_col, max(value) / 10 AS band FROM p
-              WHERE event_type = 'error' GROUP BY cell_row, cell_col)
-        SELECT p.event_id, p.cell_row, p.cell_col, c.band
-        FROM p JOIN c ON p.cell_row = c.cell_row AND p.cell_col = c.cell_col""",
-    "grid_lookup_join": _with([RECORDS, """grid AS (
-        SELECT x_cell, y_cell, CAST(count(*) AS DOUBLE) AS b1,
-               CAST(sum(CAST(round(amount) AS BIGINT)) AS DOUBLE) AS b2
-        FROM records WHERE record_class = 'F' GROUP BY x_cell, y_cell)"""], """
-        SELECT r.record_id, r.x_cell, r.y_cell, g.b1, g.b2
-        FROM records r JOIN grid g ON r.x_cell = g.x_cell AND r.y_cell = g.y_cell"""),
+    "raster_cell_join": _with([RECORDS], """
+        SELECT p.event_id, p.cell_row, p.cell_col, c.band / 10 AS band
+        FROM (SELECT event_id, CAST(floor(value / 10.0) AS BIGINT) AS cell_col,
+                     CAST(hour(ts) AS BIGINT) AS cell_row FROM events) p
+        JOIN (SELECT y_cell, x_cell, max(round(amount * 100)) AS band
+              FROM records GROUP BY y_cell, x_cell) c
+          ON p.cell_row = c.y_cell AND p.cell_col = c.x_cell"""),
+    "grid_lookup_join": _with([RECORDS, SURF], """
+        SELECT r.record_id, r.x_cell, r.y_cell, s.s1, s.s2, s.s3, s.s4
+        FROM records r JOIN surf s ON r.x_cell = s.x_cell AND r.y_cell = s.y_cell"""),
+    "surface_build": _with([RECORDS, SURF, """b AS (SELECT min(x_cell) AS x0, max(x_cell) AS x1,
+                                                          min(y_cell) AS y0, max(y_cell) AS y1 FROM records)""",
+                            """g AS (SELECT unnest(range(CAST((2 * (y1 - y0) + 1) * (2 * (x1 - x0) + 1) AS BIGINT))) AS i,
+                                            2 * (x1 - x0) + 1 AS w, x0, y0 FROM b)""",
+                            "p AS (SELECT y0 + (i // w) * 0.5 AS lat, x0 + (i % w) * 0.5 AS lon FROM g)"], """
+        SELECT printf('%.1f', CAST(p.lat AS DOUBLE)) AS lat, printf('%.1f', CAST(p.lon AS DOUBLE)) AS lon,
+               s.s1 / 10 AS s1, s.s2 / 10 AS s2, s.s3 / 10 AS s3, s.s4 / 10 AS s4
+        FROM p JOIN surf s ON floor(p.lon) = s.x_cell AND floor(p.lat) = s.y_cell"""),
+    "raster_rows": _with([RECORDS, SURF, SURF_LONG], """
+        SELECT CAST(x_cell + 0.5 AS DOUBLE) AS x, CAST(y_cell + 0.5 AS DOUBLE) AS y, surface, xx FROM surf_long"""),
     "surface_outliers": _with(BASE, "SELECT * FROM flags"),
     "flags_to_records": _with(BASE, "SELECT * FROM rf"),
     "count_outlier_surfaces": _with(BASE, """
@@ -202,17 +212,24 @@ SQL: dict[str, str] = {
                record_id IN (SELECT record_id FROM rf) AS is_flagged
         FROM records WHERE record_class = 'F' AND y_cell >= 3"""),
     "semi_filter": _with(BASE, "SELECT * FROM records WHERE record_id IN (SELECT record_id FROM rf)"),
-    "label_dim_join": _with([RECORDS, SURF, SURF_LONG, LONG, """dim AS (
-        SELECT * FROM (VALUES ('s1', 'Quantity'), ('s2', 'Extended price in cents'),
-                              ('s3', 'Discount in percent'), ('s4', 'Line count')) t(surface, long_name))"""],
-        """SELECT l.record_id, l.surface, l.xx, d.long_name FROM long l JOIN dim d ON l.surface = d.surface"""),
-    "cumulative_frequency": _with([*BASE, LONG_LOC, KEPT], """
-        SELECT group_key, surface, xx, x_cell, y_cell, is_outlier, freq,
-               CAST(sum(freq) OVER (PARTITION BY group_key, surface
-                                    ORDER BY xx, x_cell, y_cell, is_outlier
-                                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum_freq
+    "label_dim_join": _with([RECORDS, SURF, SURF_LONG, LONG, DIM],
+        """SELECT DISTINCT l.group_key, l.x_cell, l.y_cell, l.surface, l.xx, d.long_name
+           FROM long l JOIN dim d ON l.surface = d.surface"""),
+    "cumulative_frequency": _with([*BASE, LONG_LOC, KEPT, DIM], """
+        SELECT f.group_key, f.surface, f.xx, f.x_cell, f.y_cell, f.is_outlier, f.freq,
+               CAST(sum(f.freq) OVER (PARTITION BY f.group_key, f.surface
+                                      ORDER BY f.xx, f.x_cell, f.y_cell, f.is_outlier
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cum_freq,
+               concat(f.surface, '-', d.long_name) AS long_name,
+               CAST(replace(f.surface, 's', '') AS INTEGER) AS surface_no, a.n_outliers,
+               CASE WHEN a.n_outliers = 0 THEN '' ELSE CAST(a.n_outliers AS VARCHAR) END AS n_label
         FROM (SELECT group_key, surface, xx, x_cell, y_cell, is_outlier, count(*) AS freq
-              FROM kept GROUP BY group_key, surface, xx, x_cell, y_cell, is_outlier)"""),
+              FROM kept GROUP BY group_key, surface, xx, x_cell, y_cell, is_outlier) f
+        JOIN dim d ON f.surface = d.surface
+        JOIN (SELECT group_key, x_cell, y_cell,
+                     CAST(count(DISTINCT CASE WHEN is_outlier THEN surface END) AS BIGINT) AS n_outliers
+              FROM kept GROUP BY group_key, x_cell, y_cell) a
+          ON f.group_key = a.group_key AND f.x_cell = a.x_cell AND f.y_cell = a.y_cell"""),
     "location_flag_count": _with([*BASE, LONG_LOC, KEPT], """
         SELECT group_key, x_cell, y_cell, CAST(sum(CAST(is_outlier AS INTEGER)) AS BIGINT) AS n_outliers
         FROM (SELECT DISTINCT group_key, surface, x_cell, y_cell, is_outlier FROM kept)
@@ -226,34 +243,34 @@ SQL: dict[str, str] = {
     "top_sources": _with([*BASE, FLAGGED], """
         SELECT source_key, count(*) AS n FROM flagged GROUP BY source_key
         ORDER BY n DESC, source_key LIMIT 100"""),
-    "report_by_class": _with([*BASE, FLAGGED], """
+    "report_by_class": _with([*BASE, TRUSTED], """
         SELECT record_class, count(*) AS n
-        FROM (SELECT DISTINCT group_key, record_class, x_cell, y_cell FROM flagged) GROUP BY record_class"""),
-    "report_hot_locations": _with([*BASE, FLAGGED], """
+        FROM (SELECT DISTINCT group_key, record_class, x_cell, y_cell FROM trusted) GROUP BY record_class"""),
+    "report_hot_locations": _with([*BASE, TRUSTED], """
         SELECT x_cell, y_cell, count(*) AS n
-        FROM (SELECT DISTINCT group_key, x_cell, y_cell FROM flagged)
-        GROUP BY x_cell, y_cell HAVING count(*) >= 3"""),
-    "report_by_taxon": _with([*BASE, FLAGGED], """
-        SELECT group_key, count(*) AS n FROM flagged GROUP BY group_key"""),
+        FROM (SELECT DISTINCT group_key, x_cell, y_cell FROM trusted)
+        GROUP BY x_cell, y_cell HAVING count(*) >= 2"""),
+    "report_by_taxon": _with([*BASE, TRUSTED], """
+        SELECT group_key, count(*) AS n FROM trusted GROUP BY group_key"""),
     "report_by_surface": _with(BASE, """
         SELECT surface, count(*) AS n FROM (SELECT DISTINCT record_id, surface FROM rf) GROUP BY surface"""),
-    "report_source_share": _with([*BASE, FLAGGED], """
+    "report_source_share": _with([*BASE, TRUSTED], """
         SELECT f.source_key, f.n_flagged, t.n_total, round(f.n_flagged / t.n_total, 6) AS share
-        FROM (SELECT source_key, count(*) AS n_flagged FROM flagged GROUP BY source_key) f
+        FROM (SELECT source_key, count(*) AS n_flagged FROM trusted GROUP BY source_key) f
         JOIN (SELECT source_key, count(*) AS n_total FROM records GROUP BY source_key) t
           ON f.source_key = t.source_key
-        WHERE f.n_flagged > 100"""),
+        WHERE f.n_flagged > 10"""),
     "report_uncertainty": _with([*BASE, WIDE, EXPORT], """
         SELECT n_outliers, round(avg(amount), 6) AS mean_value, count(*) AS n_records
         FROM (SELECT DISTINCT group_key, x_cell, y_cell, n_outliers, amount FROM export
               WHERE record_class = 'F' AND amount IS NOT NULL)
         GROUP BY n_outliers"""),
-    "ids_json_per_source": _with([*BASE, FLAGGED], """
+    "ids_json_per_source": _with([*BASE, TRUSTED], """
         SELECT source_key, page, count(*) AS n_ids,
                CAST(to_json(list(record_id ORDER BY record_id)) AS VARCHAR) AS ids_json
         FROM (SELECT source_key, record_id,
                      (row_number() OVER (PARTITION BY source_key ORDER BY record_id) - 1) // 100 AS page
-              FROM flagged)
+              FROM trusted)
         GROUP BY source_key, page"""),
     "detector_overlap": _with([*BASE, *gap_ctes("records", ["group_key"], "amount", "ag")], """
         SELECT in_a, in_b, count(*) AS n FROM (
@@ -262,4 +279,9 @@ SQL: dict[str, str] = {
                          AND ag.group_key = r.group_key AND ag.xx = r.amount) AS in_b
           FROM records r)
         GROUP BY in_a, in_b"""),
+    "detector_labels": _with([*BASE, WIDE, *gap_ctes("records", ["group_key"], "amount", "ag")], """
+        SELECT r.*, w.s1, w.s2, w.s3, w.s4, w.record_id IS NOT NULL AS in_a, ag.xx IS NOT NULL AS in_b,
+               w.record_id IS NOT NULL AND ag.xx IS NOT NULL AS in_both
+        FROM records r LEFT JOIN wide w ON r.record_id = w.record_id
+        LEFT JOIN ag ON ag.outlier_type IS NOT NULL AND ag.group_key = r.group_key AND ag.xx = r.amount"""),
 }
