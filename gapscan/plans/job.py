@@ -16,9 +16,11 @@ from pyspark.sql import functions as F
 from gapscan.functions import snap_cell
 from gapscan.operators.flags import export_flagged, long_cells
 from gapscan.operators.gap import gap_outliers
+from gapscan.operators.grid import make_grid, surface_table
 from gapscan.operators.prepare import prepare_records
-from gapscan.sources import (BIOCLIM_SURFACES, EXCLUDED_BASIS, KINGDOM_KEYS, read_surfaces,
-                             surface_schema, write_export)
+from gapscan.operators.segments import drop_staged
+from gapscan.sources import (BIOCLIM_SURFACES, EXCLUDED_BASIS, KINGDOM_KEYS, read_parquet,
+                             read_surfaces, surface_schema, write_export, write_tsv)
 
 # The columns of the occurrence table kept by the job, in the
 # order the export lists them (the first is the record id).
@@ -73,14 +75,36 @@ def run(spark: SparkSession, occurrence_table: str, surfaces_path: str, out_path
     """Read the catalog table and the surface TSV, run the job, write Parquet.
 
     Returns the number of exported rows, observed while writing (no second run).
+    Nothing that was staged on the way is left behind.
     """
     from pyspark.sql import Observation
     occ = spark.table(occurrence_table)
     surfaces = read_surfaces(spark, surfaces_path, surface_schema(list(surface_cols)))
     obs = Observation("export")
     export = outlier_job(occ, surfaces, surface_cols).observe(obs, F.count(F.lit(1)).alias("rows"))
-    write_export(export, out_path, mode=mode)
-    return int(obs.get["rows"])
+    try:
+        write_export(export, out_path, mode=mode)
+        return int(obs.get["rows"])
+    finally:
+        drop_staged(spark)
+
+
+def build_surface_file(spark: SparkSession, cells_path: str, out_path: str,
+                       bands: Sequence[str] = tuple(n for n, _ in BIOCLIM_SURFACES),
+                       cell: float = 1 / 6, step: float = 0.1, factor: float = 10.0,
+                       lat_min: float = -90.0, lat_max: float = 90.0,
+                       lon_min: float = -180.0, lon_max: float = 180.0) -> None:
+    """G2 as a job: the surface TSV that ``run`` reads, from a raster cell table.
+
+    ``cells_path`` holds Parquet with cell_row, cell_col (from the upper left
+    corner, cells of ``cell`` degrees) and the bands, stored times ``factor``.
+    Grid points at ``step`` degrees take the values of their cell; points
+    without a value (sea) are left out.
+    """
+    grid = make_grid(spark, step, lat_min, lat_max, lon_min, lon_max)
+    table = surface_table(grid, read_parquet(spark, cells_path), bands, lon_min, lat_max, cell, cell,
+                          factor=factor)
+    write_tsv(table.withColumnsRenamed({"lat": "decimallatitude", "lon": "decimallongitude"}), out_path)
 
 
 def main(argv: Sequence[str] | None = None) -> None:

@@ -58,3 +58,33 @@ def test_outlier_job_end_to_end(spark):
     J.main(["occurrence_test", tsv, cli_out, "--surfaces-list", "bio1,bio2"])
     assert spark.read.parquet(cli_out).count() == 6
     assert spark.read.parquet(path).where(F.col("n_bioclim_outliers") > 0).count() == 6
+
+
+def test_surface_file_from_raster_cells(spark):
+    d = tempfile.mkdtemp(prefix="gapscan-surfaces-", dir="/tmp")
+    cells = spark.createDataFrame([(0, 0, 125.0, -30.0), (0, 1, 60.0, None)],
+                                  "cell_row long, cell_col long, bio1 double, bio2 double")
+    cells.write.parquet(os.path.join(d, "cells"))
+    out = os.path.join(d, "bioclim.tsv")
+    J.build_surface_file(spark, os.path.join(d, "cells"), out, ["bio1", "bio2"], cell=0.25,
+                         lat_min=0.5, lat_max=1.0, lon_min=0.0, lon_max=0.5)
+    text = sorted(tuple(r) for r in spark.read.option("header", "true").option("sep", "\t").csv(out).collect())
+    # points at 0.0, 0.1, 0.2 (right) and 1.0, 0.9, 0.8 (down) lie in the only cell with both values
+    assert text == sorted((lat, lon, "12.5", "-3.0") for lat in ("1.0", "0.9", "0.8") for lon in ("0.0", "0.1", "0.2"))
+    read = J.read_surfaces(spark, out, surface_schema(["bio1", "bio2"]))
+    assert read.count() == 9
+
+
+def test_run_leaves_nothing_staged(spark):
+    from gapscan.operators.segments import STAGED_PREFIX
+    J.drop_staged(spark)
+    before = {t.name for t in spark.catalog.listTables() if t.name.startswith(STAGED_PREFIX)}
+    d = tempfile.mkdtemp(prefix="gapscan-job-", dir="/tmp")
+    surf = spark.createDataFrame([(round(k / 10, 1), 5.0, float(k)) for k in range(12)],
+                                 "decimallatitude double, decimallongitude double, bio1 double")
+    write_tsv(surf, os.path.join(d, "s.tsv"))
+    spark.createDataFrame([_occ_row(i, 7, i / 10, 5.0) for i in range(12)], OCC_SCHEMA) \
+        .createOrReplaceTempView("occurrence_small")
+    J.run(spark, "occurrence_small", os.path.join(d, "s.tsv"), os.path.join(d, "out"), ["bio1"])
+    assert {t.name for t in spark.catalog.listTables() if t.name.startswith(STAGED_PREFIX)} == before
+    assert J.drop_staged(spark) == 0

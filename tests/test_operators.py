@@ -10,7 +10,7 @@ from gapscan.operators import flags as FL
 from gapscan.operators import profile as PR
 from gapscan.operators import reports as RP
 from gapscan.operators.grid import (build_surfaces, grid_lookup, make_grid, point_cells,
-                                    raster_cell_join)
+                                    raster_cell_join, raster_rows)
 from gapscan.operators.prepare import (drop_null_rows, prepare_records, range_or_null,
                                        rename_by_index, rows_containing, scale_columns, select_like)
 from gapscan.operators.reshape import pivot_wide, unpivot_surfaces
@@ -240,3 +240,38 @@ def test_composite_key_with_null_and_separator(spark):
     got = [r[0] for r in df.select(composite_key("x", "y", sep=".")).collect()]
     assert got == [None, "a.b"]
     assert df.select(split_key(F.lit("a.b"), 1, sep=".").alias("p")).first().p == "b"
+
+
+def test_reports_from_k_flags(spark):
+    recs = spark.createDataFrame([(i, "s") for i in range(4)], "record_id long, source_key string")
+    rf = spark.createDataFrame([(0, "a"), (1, "a"), (1, "b"), (2, "a"), (2, "a")], "record_id long, surface string")
+    ids = lambda k: sorted(r.record_id for r in RP.flagged_records(recs, rf, "record_id", k).collect())
+    assert (ids(1), ids(2), ids(3)) == ([0, 1, 2], [1], [])
+    share = RP.source_share(recs, rf, "source_key", "record_id", min_flagged=0, k=2).first()
+    assert (share.n_flagged, share.n_total, share.share) == (1, 4, 0.25)
+
+
+def test_detector_labels(spark):
+    recs = spark.createDataFrame([(i,) for i in (1, 2, 3, 3, 4)], "record_id long")
+    a = spark.createDataFrame([(1, 5.0), (3, None)], "record_id long, s1 double")
+    b = spark.createDataFrame([(2,), (3,), (3,)], "record_id long")
+    got = sorted(tuple(r) for r in RP.detector_labels(recs, a, b, "record_id", ["s1"])
+                 .select("record_id", "in_a", "in_b", "in_both", F.coalesce("s1", F.lit(-1.0))).collect())
+    assert got == [(1, True, False, False, 5.0), (2, False, True, False, -1.0), (3, True, True, True, -1.0),
+                   (3, True, True, True, -1.0), (4, False, False, False, -1.0)]
+
+
+def test_raster_rows(spark):
+    cells = spark.createDataFrame([(0, 1, 7.0, None)], "cell_row long, cell_col long, b1 double, b2 double")
+    rows = raster_rows(cells, ["b1", "b2"], -180.0, 90.0, 10.0, 10.0).collect()
+    assert [tuple(r) for r in rows] == [(-165.0, 85.0, "b1", 7.0)]
+
+
+def test_labelled_profile(spark):
+    rows = [("g", 0, 0, "s1", 1.0, 2, False), ("g", 1, 0, "s1", 9.0, 1, True),
+            ("g", 0, 0, "s2", 4.0, 2, False), ("h", 0, 0, "s1", 3.0, 1, False)]
+    df = spark.createDataFrame(rows, "g string, x int, y int, surface string, xx double, n long, is_outlier boolean")
+    dim = spark.createDataFrame([("s1", "One"), ("s2", "Two")], "surface string, long_name string")
+    out = PR.labelled_profile(df, "g", "xx", ["x", "y"], dim, "s", weight="n").orderBy("xx").collect()
+    assert [(r.xx, r.freq, r.cum_freq, r.long_name, r.surface_no, r.n_outliers, r.n_label) for r in out] == [
+        (1.0, 2, 2, "s1-One", 1, 0, ""), (9.0, 1, 3, "s1-One", 1, 1, "1")]

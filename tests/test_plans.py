@@ -56,3 +56,43 @@ def test_queries_run_at_smoke_scale_with_scalable_plans(spark):
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert not [n for n in UNSCALABLE if n in plan], name
+
+
+def test_fixture_has_shared_flagged_cells(spark):
+    """Some flagged (group, cell) holds several records, so the fan-out from cells to records is tested."""
+    from conftest import SF01
+
+    from gapscan.plans import fixtures as FX
+    rf = FX.rf(spark, SF01).join(FX.records(spark, SF01).select(FX.RECORD_ID, *FX.CELL), FX.RECORD_ID)
+    shared = rf.groupBy(FX.GROUP, "surface", *FX.CELL).count().where("count > 1")
+    assert shared.count() > 0
+
+
+def test_profiles_run_one_gap_search_and_aggregate_first(spark, monkeypatch):
+    """The gap search is planned once a query, and rows meet the kept keys aggregated."""
+    from gapscan.plans import catalog as C
+    from gapscan.plans import fixtures as FX
+    calls = []
+    search = FX.gap_outliers
+    monkeypatch.setattr(FX, "gap_outliers", lambda *a, **k: calls.append(1) or search(*a, **k))
+    plans = []
+    for q in (C.cumulative_frequency, C.q_location_flag_count, C.q_bbox_padded):
+        plans.append(q(spark, SF001)._jdf.queryExecution().optimizedPlan().toString())
+    assert len(calls) == 3
+    assert all("Window" not in p for p in plans[1:])   # flags are read from their staged table
+    semi = plans[1].index("Join LeftSemi")
+    assert "Aggregate" in plans[1][semi:]               # below the semi join
+    assert "LeftSemi" not in plans[2]
+
+
+def test_hot_key_among_many_small_ones_is_split(spark):
+    """A key with a third of the values spans several segments of the staged rows."""
+    from pyspark.sql import functions as F
+
+    from gapscan.operators.segments import SEG, tag_segments
+    hot = spark.range(20000).select(F.lit(-1).cast("long").alias("k"), F.col("id").cast("double").alias("v"))
+    small = spark.range(40000).select((F.col("id") % 4000).alias("k"), F.col("id").cast("double").alias("v"))
+    rows = tag_segments(hot.unionByName(small), ["k"], ["v"], 8)
+    sizes = {r[SEG]: r["count"] for r in rows.groupBy(SEG).count().collect()}
+    assert rows.where("k = -1").select(SEG).distinct().count() >= 2
+    assert max(sizes.values()) < 2 * 60000 / 8
