@@ -68,7 +68,9 @@ def shared_lines(lines: DataFrame, min_words: int) -> DataFrame:
     shared = (lines.groupBy("h").agg(F.min(doc).alias("first"), F.max(doc).alias("last"),
                                      F.count(F.lit(1)).alias("n"))
               .where("first <> last").select("h", "first", "n"))
-    held = lines.join(shared, "h")
+    # staged, so that both sides of the join come from plain shuffles and a
+    # very common line can be split over tasks
+    held = lines.join(stage(shared, "common"), "h")
     in_doc = Window.partitionBy(*KEY)
     run = F.col("nth") - F.dense_rank().over(in_doc.orderBy("nth"))
     # rows equal in doc_id and text are one document
