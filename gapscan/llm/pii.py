@@ -35,7 +35,8 @@ class Kind:
     """``pattern`` never matches empty text. Where a run of characters could be
     tried from each of its positions, the pattern only starts at the run's
     first character or where the match before it ended (``\\G``): the matches
-    are the same and the scan stays linear on very long runs."""
+    are the same and the scan stays linear on very long runs. Repeated groups
+    are possessive, so the regex engine needs no stack for them."""
     name: str
     pattern: str
     hint: str          # a text without this substring has no match ("" for none)
@@ -49,7 +50,7 @@ KINDS = [
          "@", 0.6, r"(?i)e-?mail|contact|write to|correo|courriel", True),
     Kind("ip", r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}", ".", 0.5,
          r"(?i)\bip\b|address|host|server|adresse", True),
-    Kind("card", r"[0-9](?:[\x20-]?[0-9]){11,}", "", 0.6,
+    Kind("card", r"[0-9](?:[\x20-]?+[0-9]){11,}+", "", 0.6,
          r"(?i)card|visa|credit|debit|payment|karte|tarjeta|carte", True),
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]", "+", 0.5,
          r"(?i)phone|\btel|call|mobile|fax|telefon|tel[eé]fono", True),

@@ -111,6 +111,16 @@ def test_pii(spark, edge_docs, sf_docs, write_docs, which):
         assert "ssn" in by[13]
 
 
+def test_pii_very_long_runs(spark, write_docs):
+    """Runs that a backtracking engine would need a deep stack for."""
+    texts = ["1" * 100_000, "4 " * 50_000, "+1" * 20_000, "1." * 2_000, "a@" * 20_000, "a@b" + ".c" * 30_000,
+             "4111 1111 1111 1111, " * 50 + "9" * 50_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.op2_pii(spark, write_docs(df)).collect():
+        joined = ",".join(f"{k}:{s}:{e}" for s, _, k, e in base_spans(texts[r["doc_id"]]))
+        assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
+
+
 def stats(text):
     ws = WORD.findall(text or "")
     grams = [tuple(ws[i:i + 3]) for i in range(len(ws) - 2)]
