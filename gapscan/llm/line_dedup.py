@@ -9,17 +9,22 @@ that several documents hold is *shared*. A block can only lie in a run of
 consecutive shared lines of its document, so lines in runs of fewer than
 ``MIN_WORDS`` words are set aside first; this loses no block. A *rare* line
 (in at most ``RARE`` documents) links each of its documents to the one before
-it and to the first one; any other shared line links each document to the
-first one alone. A line of n documents thus makes fewer than 2n links, never
-all pairs, and no line is skipped for being frequent.
+it and to the first one. Blocks of more frequent lines are found through
+*windows*: the shortest stretch of consecutive lines from each line on that has
+``MIN_WORDS`` words. Every common block is covered by windows, and a window
+links each of its documents to the first one that holds it, so no block is
+missed. A line or window of n documents makes fewer than 2n links, never all
+pairs, and none is skipped for being frequent.
 
 Aligning. A pair needs only the viable shared lines of its two documents
 (hash, place, words), so texts do not move. Patience diff anchors on lines
 that occur once on either side (where there are none, on the k-th occurrence
 of each line), takes the longest increasing chain, grows it over equal
 neighbours, and repeats between anchors. Matched lines that are consecutive
-in both documents form blocks. The lines to delete are gathered per document
-and applied in one join with the texts.
+in both documents form blocks. What is left of the later document is aligned
+again, so that blocks in another order are found too, until no block is left.
+The lines to delete are gathered per document and applied in one join with the
+texts.
 
 Defined cases: a null, empty or blank text has no lines and stays as it is;
 rows without doc_id take no part and stay as they are; rows with equal doc_id
@@ -33,7 +38,9 @@ from __future__ import annotations
 
 from bisect import bisect_left
 
+import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -79,15 +86,58 @@ def shared_lines(lines: DataFrame, min_words: int) -> DataFrame:
     return held.withColumn("run_words", words).where(F.col("run_words") >= min_words).drop("run", "run_words")
 
 
-def document_pairs(viable: DataFrame, rare: int) -> DataFrame:
-    """(later, earlier) documents that a shared line links, once each."""
+def windows(lines: list[tuple], min_words: int) -> list[tuple[int, int, tuple]]:
+    """(from, to, hashes) of the shortest stretch of at least ``min_words``
+    words from each line on; lines are (nth, at, h, words), and a stretch has
+    no gap in nth."""
+    out, end, total = [], 0, 0
+    for i, line in enumerate(lines):
+        while total < min_words and end < len(lines) and (end == i or lines[end][0] == lines[end - 1][0] + 1):
+            total += lines[end][3]
+            end += 1
+        if total >= min_words:
+            out.append((i, end, tuple(x[2] for x in lines[i:end])))
+        total -= line[3]
+    return out
+
+
+def _unpack(xs: list[dict]) -> list[tuple]:
+    return [(x["nth"], x["at"], x["h"], x["words"]) for x in xs]
+
+
+def _window_hashes(min_words: int):
+    """Arrow task: a document a row -> (w, doc_id, tie), once for each of its windows."""
+    def run(batches):
+        for b in batches:
+            rows = []
+            for doc_id, tie, lines in zip(*(b.column(i).to_pylist() for i in range(3))):
+                found = {xxhash.xxh64_intdigest(np.array(hs, dtype="<i8").tobytes())
+                         for _, _, hs in windows(_unpack(lines), min_words)}
+                rows += [(w, doc_id, tie) for w in found]
+            hashes, ids, ties = zip(*rows) if rows else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.array(hashes, dtype=np.uint64).view(np.int64)), pa.array(ids, pa.int64()),
+                 pa.array(ties, pa.int64())], ["w", *KEY])
+    return run
+
+
+def document_pairs(viable: DataFrame, held: DataFrame, min_words: int, rare: int) -> DataFrame:
+    """(later, earlier) documents that a rare line or a window links, once each."""
     doc = F.struct(*KEY)
-    to_first = viable.where(doc != F.col("first")).select(doc.alias("later"), F.col("first").alias("earlier"))
     # occurrences bound the number of documents
-    few = viable.where(F.col("n") <= rare).select("h", doc.alias("doc")).distinct()
+    few = viable.where(F.col("n") <= rare)
+    to_first = few.where(doc != F.col("first")).select(doc.alias("later"), F.col("first").alias("earlier"))
     before = F.lag("doc").over(Window.partitionBy("h").orderBy("doc"))
-    to_previous = few.select(F.col("doc").alias("later"), before.alias("earlier")).where("earlier is not null")
-    return to_first.unionByName(to_previous).distinct()
+    to_previous = (few.select("h", doc.alias("doc")).distinct()
+                   .select(F.col("doc").alias("later"), before.alias("earlier")).where("earlier is not null"))
+    found = stage(held.select(*KEY, "lines").mapInArrow(
+        _window_hashes(min_words), "w bigint, doc_id bigint, tie bigint"), "windows")
+    # staged for the same reason as the shared lines
+    first = stage(found.groupBy("w").agg(F.min(doc).alias("first"), F.count(F.lit(1)).alias("n"))
+                  .where("n > 1").select("w", "first"), "first")
+    by_window = (found.join(first, "w").where(doc != F.col("first"))
+                 .select(doc.alias("later"), F.col("first").alias("earlier")))
+    return to_first.unionByName(to_previous).unionByName(by_window).distinct()
 
 
 def _chain(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -145,9 +195,9 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(matched)
 
 
-def common_blocks(a: list[tuple], b: list[tuple], min_words: int) -> list[int]:
-    """Places (``at``) of a's lines in common blocks of at least ``min_words``
-    words; a and b are (nth, at, h, words) in order."""
+def aligned_blocks(a: list[tuple], b: list[tuple], min_words: int) -> list[int]:
+    """Places (``at``) of a's lines in the blocks of at least ``min_words``
+    words of one alignment."""
     out, block = [], []
 
     def close():
@@ -162,14 +212,34 @@ def common_blocks(a: list[tuple], b: list[tuple], min_words: int) -> list[int]:
     return out
 
 
+def common_blocks(a: list[tuple], b: list[tuple], min_words: int) -> list[int]:
+    """Places (``at``) of a's lines in common blocks of at least ``min_words``
+    words; a and b are (nth, at, h, words) in order. Each round aligns the
+    lines of a, and those of b, that lie in a window both documents hold."""
+    def inside(lines, found, held):
+        keep = sorted({i for x, y, hs in found if hs in held for i in range(x, y)})
+        return [lines[i] for i in keep]
+    out, of_b = [], windows(b, min_words)
+    keys_b = {hs for _, _, hs in of_b}
+    while a:
+        of_a = windows(a, min_words)
+        keys_a = {hs for _, _, hs in of_a}
+        a = inside(a, of_a, keys_b)
+        gone = set(aligned_blocks(a, inside(b, of_b, keys_a), min_words))
+        if not gone:
+            break
+        out.extend(gone)
+        a = [x for x in a if x[1] not in gone]
+    return sorted(out)
+
+
 def _align(min_words: int):
     """Arrow task: a pair of documents a row -> (doc_id, tie, at) to delete."""
     def run(batches):
         for b in batches:
             rows = []
             for doc_id, tie, mine, theirs in zip(*(b.column(i).to_pylist() for i in range(4))):
-                unpack = lambda xs: [(x["nth"], x["at"], x["h"], x["words"]) for x in xs]
-                rows += [(doc_id, tie, at) for at in common_blocks(unpack(mine), unpack(theirs), min_words)]
+                rows += [(doc_id, tie, at) for at in common_blocks(_unpack(mine), _unpack(theirs), min_words)]
             ids, ties, ats = zip(*rows) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ties, pa.int64()),
                                               pa.array(ats, pa.int32())], [*KEY, "at"])
@@ -182,7 +252,7 @@ def lines_to_delete(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RAR
     viable = stage(shared_lines(lines, min_words), "shared")
     line = F.struct("nth", "at", "h", "words")
     held = stage(viable.groupBy(*KEY).agg(F.sort_array(F.collect_list(line)).alias("lines")), "held")
-    pairs = document_pairs(viable, rare)
+    pairs = document_pairs(viable, held, min_words, rare)
     side = lambda name: held.select(F.struct(*KEY).alias(name), F.col("lines").alias(f"{name}_lines"))
     both = pairs.join(side("later"), "later").join(side("earlier"), "earlier")
     gone = both.select("later.doc_id", "later.tie", "later_lines", "earlier_lines").mapInArrow(

@@ -238,6 +238,54 @@ def test_line_dedup_many_copies(spark):
     assert all(got[i] == f"own {i}" for i in range(1, 80) if i != 3)
 
 
+def test_line_dedup_moved_and_frequent_blocks(spark):
+    """Blocks in another order, and a block of frequent lines whose lines have
+    other first holders, above the rare bound."""
+    line = lambda k: " ".join(f"{k}_{i}" for i in range(16))
+    ps = [f"{line(f'p{k}')}\n{line(f'q{k}')}" for k in range(6)]      # 32 words each
+    rows = [(1, "\n".join(ps)), (2, "own\n" + "\n".join(f"{p}\nmine {k}" for k, p in enumerate(ps[::-1])))]
+    # x and y are frequent lines, each alone first; then together in 90 and 91
+    rows += [(10 + i, f"a{i}\n{line('x')}\nb{i}\n{line('y')}") for i in range(40)]
+    rows += [(90, f"left\n{line('x')}\n{line('y')}"), (91, f"right\n{line('x')}\n{line('y')}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.without_common_lines(df).collect()}
+    want = dict(rows)
+    want[2], want[91] = "own\n" + "\n".join(f"mine {k}" for k in range(6)), "right"
+    assert got == want
+
+
+def _first_windows(rows, min_words):
+    """Plain Python: the lines of each document in a window that an earlier one holds."""
+    seen, lost = set(), {}
+    for doc_id, text in sorted(rows):
+        lines = [(at, x.strip()) for at, x in enumerate(text.split("\n")) if x.strip()]
+        own = []
+        for i in range(len(lines)):
+            n, j = 0, i
+            while n < min_words and j < len(lines):
+                n, j = n + len(lines[j][1].split()), j + 1
+            if n >= min_words:
+                own.append((tuple(x for _, x in lines[i:j]), [at for at, _ in lines[i:j]]))
+        lost[doc_id] = {at for w, ats in own if w in seen for at in ats}
+        seen |= {w for w, _ in own}
+    return lost
+
+
+def test_line_dedup_random_passages(spark):
+    rng = random.Random(5)
+    line = lambda k: " ".join(f"{k}_{i}" for i in range(9))
+    passages = [[line(f"p{k}.{i}") for i in range(rng.randint(4, 7))] for k in range(12)]
+    rows = []
+    for d in range(120):
+        parts = []
+        for k in rng.sample(range(12), rng.randint(0, 4)):
+            parts += [*passages[k], f"own {d} {k}"]
+        rows.append((d, "\n".join([f"start {d}", *parts])))
+    out = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r["row"]["doc_id"]: set(r["deleted"] or []) for r in out.select("row", "deleted").collect()}
+    assert got == _first_windows(rows, line_dedup.MIN_WORDS)
+
+
 # ---- WARC
 
 def test_warc(spark, tmp_path):
