@@ -12,14 +12,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapscan.functions import composite_key, normalise_label, snap_cell, snap_value, split_key
+from gapscan.functions import (blank_zero, composite_key, fixed_decimal, normalise_label, snap_cell, snap_value,
+                               split_key, surface_number)
 from gapscan.operators import flags as FL
 from gapscan.operators import profile as PR
 from gapscan.operators import reports as RP
 from gapscan.operators.gap import gap_outliers, gap_scores
 from gapscan.operators.grid import (grid_lookup, grid_over, point_cells, raster_cell_join,
                                     raster_rows, surface_table)
-from gapscan.operators.prepare import drop_null_rows, prepare_records, range_or_null, scale_columns
+from gapscan.operators.prepare import (drop_null_rows, prepare_records, range_or_null, rename_by_index,
+                                       rows_containing, scale_columns, select_like)
 from gapscan.operators.reshape import unpivot_surfaces
 from gapscan.operators.segments import materialize, quantiles_disc, with_next
 from gapscan.plans import fixtures as FX
@@ -99,6 +101,52 @@ def q_normalise_label(spark, sf_dir):
     return n.select("n_nationkey", normalise_label("n_name").alias("label"))
 
 
+def boolean_filter(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", (F.col("l_discount") > 0.05).alias("is_cut"))
+    return prepare_records(lines, false_flags=["is_cut"], columns=["l_orderkey", "l_linenumber", "l_quantity"])
+
+
+def q_rows_containing(spark, sf_dir):
+    return rows_containing(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", "ring")
+
+
+def q_select_like(spark, sf_dir):
+    return select_like(table(spark, sf_dir, "lineitem"), contains=["price"], startswith=["l_return"],
+                       keep=["l_orderkey", "l_linenumber"])
+
+
+def q_rename_by_index(spark, sf_dir):
+    return rename_by_index(FX.surf(spark, sf_dir), "s", "layer", len(SURFACES))
+
+
+def q_scale_columns(spark, sf_dir):
+    return scale_columns(FX.surf(spark, sf_dir), SURFACES, 10.0)
+
+
+def fixed_decimal_key(spark, sf_dir):
+    cells = FX.surf(spark, sf_dir)
+    return cells.select(*CELL, *[fixed_decimal(F.col(c) / 10).alias(f"{c}_text") for c in CELL])
+
+
+def q_surface_number(spark, sf_dir):
+    long = unpivot_surfaces(FX.surf(spark, sf_dir), CELL, SURFACES)
+    return long.select(*CELL, surface_number("surface", "s").alias("number"), "xx")
+
+
+def q_blank_zero(spark, sf_dir):
+    lines = table(spark, sf_dir, "lineitem")
+    return lines.select("l_orderkey", "l_linenumber", blank_zero(F.col("l_linenumber") - 1).alias("lines_before"))
+
+
+def row_count(spark, sf_dir):
+    return table(spark, sf_dir, "orders").agg(F.count(F.lit(1)).alias("n"))
+
+
+def q_random_group(spark, sf_dir):
+    return RP.random_group(FX.rf(spark, sf_dir), GROUP)
+
+
 def q_composite_key(spark, sf_dir):
     long = unpivot_surfaces(FX.surf(spark, sf_dir), CELL, SURFACES)
     keyed = long.select(composite_key(*CELL, "surface").alias("key"), "xx")
@@ -335,6 +383,16 @@ QUERIES: dict[str, Query] = {
     "filter_range_or_null": filter_range_or_null,
     "drop_null_rows": q_drop_null_rows,
     "normalise_label": q_normalise_label,
+    "boolean_filter": boolean_filter,
+    "rows_containing": q_rows_containing,
+    "select_like": q_select_like,
+    "rename_by_index": q_rename_by_index,
+    "scale_columns": q_scale_columns,
+    "fixed_decimal_key": fixed_decimal_key,
+    "surface_number": q_surface_number,
+    "blank_zero": q_blank_zero,
+    "row_count": row_count,
+    "random_group": q_random_group,
     "composite_key": q_composite_key,
     "unpivot_surfaces": q_unpivot_surfaces,
     "pivot_wide": pivot_wide,

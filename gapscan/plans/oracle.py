@@ -136,6 +136,22 @@ SQL: dict[str, str] = {
         SELECT doc_id, source, quality, toxic FROM dl
         WHERE doc_id IS NOT NULL AND source IS NOT NULL AND quality IS NOT NULL AND toxic IS NOT NULL"""),
     "normalise_label": "SELECT n_nationkey, replace(lower(n_name), '_', ' ') AS label FROM nation",
+    "boolean_filter": "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE NOT (l_discount > 0.05)",
+    "rows_containing": "SELECT p_partkey, p_name FROM part WHERE contains(p_name, 'ring')",
+    "select_like": "SELECT l_orderkey, l_linenumber, l_extendedprice, l_returnflag FROM lineitem",
+    "rename_by_index": _with([RECORDS, SURF], """
+        SELECT x_cell, y_cell, s1 AS layer1, s2 AS layer2, s3 AS layer3, s4 AS layer4 FROM surf"""),
+    "scale_columns": _with([RECORDS, SURF], """
+        SELECT x_cell, y_cell, s1 / 10.0::DOUBLE AS s1, s2 / 10.0::DOUBLE AS s2,
+               s3 / 10.0::DOUBLE AS s3, s4 / 10.0::DOUBLE AS s4 FROM surf"""),
+    "fixed_decimal_key": _with([RECORDS, SURF], """
+        SELECT x_cell, y_cell, printf('%.1f', x_cell / 10.0::DOUBLE) AS x_cell_text,
+               printf('%.1f', y_cell / 10.0::DOUBLE) AS y_cell_text FROM surf"""),
+    "surface_number": _with([RECORDS, SURF, SURF_LONG], """
+        SELECT x_cell, y_cell, CAST(substr(surface, 2) AS INTEGER) AS number, xx FROM surf_long"""),
+    "blank_zero": """SELECT l_orderkey, l_linenumber,
+        CASE WHEN l_linenumber = 1 THEN '' ELSE CAST(l_linenumber - 1 AS VARCHAR) END AS lines_before FROM lineitem""",
+    "row_count": "SELECT count(*) AS n FROM orders",
     "composite_key": _with([RECORDS, SURF, SURF_LONG], """
         SELECT concat_ws('_', x_cell, y_cell, surface) AS key, CAST(x_cell AS BIGINT) AS key_x,
                CAST(y_cell AS BIGINT) AS key_y, surface AS key_surface, xx
