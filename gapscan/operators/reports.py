@@ -98,7 +98,7 @@ def top_by_count(df: DataFrame, key: str, record_id: str, n: int, name: str = "n
 def random_group(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     """One group picked at random but reproducibly (hash of key and seed)."""
     return (df.select(key).distinct()
-              .orderBy(F.xxhash64(F.col(key), F.lit(seed)), F.col(key)).limit(1))
+              .orderBy(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))), F.col(key)).limit(1))
 
 
 def label_group(records: DataFrame, flagged: DataFrame, record_id: str,

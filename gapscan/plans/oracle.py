@@ -152,6 +152,9 @@ SQL: dict[str, str] = {
     "blank_zero": """SELECT l_orderkey, l_linenumber,
         CASE WHEN l_linenumber = 1 THEN '' ELSE CAST(l_linenumber - 1 AS VARCHAR) END AS lines_before FROM lineitem""",
     "row_count": "SELECT count(*) AS n FROM orders",
+    "random_group": _with(BASE, """
+        SELECT group_key FROM (SELECT DISTINCT group_key FROM rf)
+        ORDER BY md5(concat_ws(':', CAST(group_key AS VARCHAR), '42')), group_key LIMIT 1"""),
     "composite_key": _with([RECORDS, SURF, SURF_LONG], """
         SELECT concat_ws('_', x_cell, y_cell, surface) AS key, CAST(x_cell AS BIGINT) AS key_x,
                CAST(y_cell AS BIGINT) AS key_y, surface AS key_surface, xx
