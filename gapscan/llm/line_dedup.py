@@ -10,8 +10,10 @@ consecutive shared lines of its document, so lines in runs of fewer than
 ``MIN_WORDS`` words are set aside first; this loses no block. A *rare* line
 (in at most ``RARE`` documents) links each of its documents to the one before
 it and to the first one. Blocks of more frequent lines are found through
-*windows*: the shortest stretch of consecutive lines from each line on that has
-``MIN_WORDS`` words. Every common block is covered by windows, and a window
+*windows*: the shortest stretches of consecutive lines from each line on, and up
+to each line, that have ``MIN_WORDS`` words. Every common block is covered by
+windows that lie in it: those from its lines on reach the last place where a
+window can start, and the one up to its last line starts there. A window
 links each of its documents to the first one that holds it, so no block is
 missed. A line or window of n documents makes fewer than 2n links, never all
 pairs, and none is skipped for being frequent.
@@ -21,8 +23,11 @@ Aligning. A pair needs only the viable shared lines of its two documents
 that occur once on either side (where there are none, on the k-th occurrence
 of each line), takes the longest increasing chain, grows it over equal
 neighbours, and repeats between anchors. Matched lines that are consecutive
-in both documents form blocks. What is left of the later document is aligned
-again, so that blocks in another order are found too, until no block is left.
+in both documents form blocks. The windows of the later document that the
+earlier one holds and that are not yet gone are aligned again, so that blocks in
+another order are found too; where an alignment finds nothing new (overlapping
+blocks, lines repeated many times), they go as they are. So what goes are the
+lines of all maximal common runs of at least ``MIN_WORDS`` words.
 The lines to delete are gathered per document and applied in one join with the
 texts.
 
@@ -86,21 +91,30 @@ def shared_lines(lines: DataFrame, min_words: int) -> DataFrame:
     return held.withColumn("run_words", words).where(F.col("run_words") >= min_words).drop("run", "run_words")
 
 
-def windows(lines: list[tuple], min_words: int) -> list[tuple[int, int, tuple]]:
-    """(from, to, hashes) of the shortest stretch of at least ``min_words``
-    words from each line on; lines are (nth, at, h, words), and a stretch has
-    no gap in nth."""
+def _spans(lines: list[tuple], min_words: int) -> list[tuple[int, int]]:
+    """(from, to) of the shortest stretch of at least ``min_words`` words from
+    each line on; a stretch has no gap in nth, which may also descend."""
     out, end, total = [], 0, 0
     for i, line in enumerate(lines):
-        while total < min_words and end < len(lines) and (end == i or lines[end][0] == lines[end - 1][0] + 1):
+        while total < min_words and end < len(lines) and (end == i or abs(lines[end][0] - lines[end - 1][0]) == 1):
             total += lines[end][3]
             end += 1
         if total >= min_words:
-            out.append((i, end, tuple(x[2] for x in lines[i:end])))
+            out.append((i, end))
         total -= line[3]
     return out
 
 
+def windows(lines: list[tuple], min_words: int) -> list[tuple[int, int, tuple]]:
+    """(from, to, hashes) of the shortest stretches of at least ``min_words``
+    words from each line on and up to each line, once each; lines are
+    (nth, at, h, words), and a stretch has no gap in nth."""
+    n = len(lines)
+    up_to = {(n - end, n - i) for i, end in _spans(lines[::-1], min_words)}
+    return [(i, end, tuple(x[2] for x in lines[i:end]))
+            for i, end in sorted(up_to.union(_spans(lines, min_words)))]
+
+
 def _unpack(xs: list[dict]) -> list[tuple]:
     return [(x["nth"], x["at"], x["h"], x["words"]) for x in xs]
 
@@ -215,21 +229,19 @@ def aligned_blocks(a: list[tuple], b: list[tuple], min_words: int) -> list[int]:
 def common_blocks(a: list[tuple], b: list[tuple], min_words: int) -> list[int]:
     """Places (``at``) of a's lines in common blocks of at least ``min_words``
     words; a and b are (nth, at, h, words) in order. Each round aligns the
-    lines of a, and those of b, that lie in a window both documents hold."""
-    def inside(lines, found, held):
-        keep = sorted({i for x, y, hs in found if hs in held for i in range(x, y)})
-        return [lines[i] for i in keep]
-    out, of_b = [], windows(b, min_words)
+    lines of a, and those of b, that lie in a window both documents hold and
+    that has not gone from a."""
+    def inside(lines, found):
+        return [lines[i] for i in sorted({i for x, y, _ in found for i in range(x, y)})]
+    out, of_b = set(), windows(b, min_words)
     keys_b = {hs for _, _, hs in of_b}
-    while a:
-        of_a = windows(a, min_words)
-        keys_a = {hs for _, _, hs in of_a}
-        a = inside(a, of_a, keys_b)
-        gone = set(aligned_blocks(a, inside(b, of_b, keys_a), min_words))
-        if not gone:
-            break
-        out.extend(gone)
-        a = [x for x in a if x[1] not in gone]
+    left = [w for w in windows(a, min_words) if w[2] in keys_b]
+    while left:
+        keys = {hs for _, _, hs in left}
+        mine = inside(a, left)
+        new = set(aligned_blocks(mine, inside(b, [w for w in of_b if w[2] in keys]), min_words)) - out
+        out |= new or {x[1] for x in mine}
+        left = [w for w in left if any(a[i][1] not in out for i in range(w[0], w[1]))]
     return sorted(out)
 
 

@@ -286,6 +286,55 @@ def test_line_dedup_random_passages(spark):
     assert got == _first_windows(rows, line_dedup.MIN_WORDS)
 
 
+def _maximal_runs(a, b, min_words):
+    """Plain Python: indexes of a in maximal common runs of a and b of at least
+    ``min_words`` words; a and b are lists of lines."""
+    lost = set()
+    for i in range(len(a)):
+        for j in range(len(b)):
+            if a[i] == b[j] and not (i and j and a[i - 1] == b[j - 1]):
+                n = 0
+                while i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n]:
+                    n += 1
+                if sum(len(x.split()) for x in a[i:i + n]) >= min_words:
+                    lost |= set(range(i, i + n))
+    return lost
+
+
+def test_common_blocks_are_maximal_runs():
+    rng = random.Random(11)
+    size = [1, 2, 5, 9, 14, 20, 29, 30, 40]
+    line = [" ".join(f"{k}_{i}" for i in range(n)) for k, n in enumerate(size)]
+    as_lines = lambda ks: [(i, i, k, size[k]) for i, k in enumerate(ks)]
+    cases = [([8, 5], [8, 5]), ([5, 8], [5, 8]), ([8, 5, 0], [8, 5, 1]),  # 40 + 20 words and the like
+             ([5, 4, 6], [5, 4, 0, 4, 6])]                                 # overlapping blocks
+    for _ in range(2000):
+        a, b = ([rng.randrange(len(size)) for _ in range(rng.randint(0, 14))] for _ in range(2))
+        at = rng.randint(0, len(b))
+        cases.append((a, b[:at] + a[rng.randint(0, 5):rng.randint(3, 14)] + b[at:]))
+    for a, b in cases:
+        want = _maximal_runs([line[k] for k in a], [line[k] for k in b], 30)
+        assert line_dedup.common_blocks(as_lines(a), as_lines(b), 30) == sorted(want), (a, b)
+
+
+def test_line_dedup_keeps_no_end_of_a_block(spark):
+    """Blocks whose last lines are short, exact copies, and blocks that only a
+    later holder than the first one of their longest line has in full."""
+    line = lambda k, n: " ".join(f"{k}_{i}" for i in range(n))
+    rng = random.Random(12)
+    block, copy = [line("x", 40), line("y", 20)], [line("c0", 35), line("c1", 8), line("c2", 3)]
+    texts = [["a", line("x", 40), "b"], ["c", *block, "d"], ["e", *block, "f"], copy, copy]
+    # frequent lines in any order, above the rare bound
+    pool = [line(f"p{k}", n) for k, n in enumerate((3, 8, 12, 20, 27, 33, 45))]
+    texts += [[f"own {d}", *rng.choices(pool, k=rng.randint(1, 6))] for d in range(60)]
+    df = spark.createDataFrame([(d, "\n".join(t)) for d, t in enumerate(texts)], "doc_id long, text string")
+    got = {r["row"]["doc_id"]: r for r in line_dedup.dedup_lines(df).collect()}
+    for d, t in enumerate(texts):
+        want = set().union(*(_maximal_runs(t, e, line_dedup.MIN_WORDS) for e in texts[:d]))
+        assert set(got[d]["deleted"] or []) == want, d
+    assert got[2]["text"] == "e\nf" and got[4]["text"] == ""
+
+
 # ---- WARC
 
 def test_warc(spark, tmp_path):
