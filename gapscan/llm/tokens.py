@@ -4,7 +4,8 @@ The ids are those of the ``tokenizers`` library for the whole text. Most
 pieces of text occur again and again, so each batch is cut into chunks at
 places that are pre-token borders in any context, chunks are looked up by a
 64-bit hash in a bounded table of known chunks, and only chunks not seen
-before go through the tokenizer.
+before go through the tokenizer. Texts that hold the string of an added token
+(such as "<|endoftext|>", which the library makes one id) go through it whole.
 
 Where a border is certain for the byte-level pattern (contractions, letters,
 digits, other characters, white space; one space joins what follows it):
@@ -59,7 +60,7 @@ class Encoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.visible = {b: ord(c) for b, c in enumerate(_visible_bytes())}
         rng = np.random.default_rng(7)
@@ -87,6 +88,24 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts, offsets): text i has ids[offsets[i]:offsets[i + 1]]."""
+        whole = [i for i, t in enumerate(texts) if any(a in t for a in self.added)]
+        if not whole:
+            return self._encode(texts)
+        rest = list(texts)
+        for i in whole:
+            rest[i] = ""
+        ids, offsets = self._encode(rest)
+        n = np.diff(offsets)
+        parts, done = [], 0
+        for i in whole:  # one after the other: a text may be long
+            own = self.plain([texts[i].encode("utf-8", "replace").decode()])[0]
+            n[i] = len(own)
+            parts += [ids[done:offsets[i]], np.array(own, dtype=np.uint32)]
+            done = offsets[i]
+        return np.concatenate([*parts, ids[done:]]), np.concatenate([[0], np.cumsum(n)])
+
+    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts without added tokens."""
         raw = [t.encode("utf-8", "replace") for t in texts]
         sizes = np.array([len(r) for r in raw], dtype=np.int64)
         data = np.frombuffer(b"".join(raw), dtype=np.uint8)

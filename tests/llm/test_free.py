@@ -43,6 +43,46 @@ def test_encoder_equals_tokenizer():
     assert all(list(ids[a:z]) == w[:-1] for a, z, w in zip(at, at[1:], want))
 
 
+def plain_ids(texts, end):
+    """Ids by the tokenizer file as loaded."""
+    from tokenizers import Tokenizer
+    t = Tokenizer.from_file(TOK)
+    return [t.encode(x or "", add_special_tokens=False).ids + [end] for x in texts]
+
+
+def test_encoder_equals_tokenizer_with_added_tokens():
+    from tokenizers import Tokenizer
+    added = [t.content for t in Tokenizer.from_file(TOK).get_added_tokens_decoder().values()]
+    assert "<|endoftext|>" in added
+    random.seed(6)
+    parts = [*added, "<|", "|>", "endoftext", "<|endoftext |>", " ", "\n", "  ", "a", "don't", "é", "中", "5", "."]
+    texts = ["".join(random.choices(parts, k=random.randint(0, 12))) for _ in range(2000)]
+    texts += ["end <|endoftext|> of page", "", "<|endoftext|>" * 3, "ab " * 400_000 + "<|endoftext|>" + " cd" * 400_000]
+    enc = tokens.Encoder(TOK)
+    for _ in range(2):  # again with chunks known
+        ids, at = enc.encode(texts)
+        assert ids.dtype == np.uint32
+        assert all(list(ids[a:z]) == w[:-1] for a, z, w in zip(at, at[1:], plain_ids(texts, 0)))
+
+
+def test_added_tokens_in_files_and_pieces(spark, write_docs):
+    texts = ["end <|endoftext|> of page", "plain text", "<|endoftext|>", None, "x <|endoftext|>\n" * 900]
+    d = write_docs(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    got = sorted(token_files.op8_token_files(spark, d).collect(), key=lambda r: r["start"])
+    want, at = [], 0
+    for i, ids in enumerate(plain_ids(texts, 2)):
+        want.append((i, at, len(ids), crc(ids)))
+        at += len(ids)
+    assert [(r["doc_id"], r["start"], r["n_tokens"], r["ids_crc32"]) for r in got] == want
+    pieces = Counter((r["doc_id"], r["start"], r["length"], r["ids_crc32"])
+                     for r in packing.op10_pack(spark, d).collect())
+    want = Counter()
+    for i, ids in enumerate(plain_ids(texts, 0)):
+        bounds = [0, *range((len(ids) - 1) % 2048 + 1, len(ids) + 1, 2048)]
+        want.update((i, a, z - a, crc(ids[a:z])) for a, z in zip(bounds, bounds[1:]))
+    assert pieces == want
+
+
 def test_huffman_round_trip():
     rng = np.random.default_rng(1)
     for n, symbols in ((0, 5), (1, 1), (700, 1), (5000, 3), (70_000, 50_000)):
