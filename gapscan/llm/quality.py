@@ -44,24 +44,19 @@ MEASURES = {
 def repeated_words(ws: Column) -> Column:
     """Number of words inside a 3-word window that occurs at least twice.
 
-    Windows are compared by the upper bits of their 64-bit hash; the lower
-    bits (as many as the number of words needs) carry the position, so one
-    sort of plain longs brings equal windows side by side.
+    Windows are compared by their whole 64-bit hash; one sort of (hash,
+    position) brings equal windows side by side.
     """
     def count(hashes: Column) -> Column:
-        bits = F.length(F.bin(F.size(hashes).cast("long")))
-        high = lambda c: F.call_function("shiftright", c, bits)
-        packed = F.transform(hashes, lambda h, i: F.call_function("shiftleft", h, bits).bitwiseOR(i.cast("long")))
+        placed = F.transform(hashes, lambda h, i: F.struct(h.alias("h"), i.alias("i")))
 
         def places(s: Column) -> Column:
-            # the sign of a shifted value does not matter: equal stays equal
-            same = lambda a, b: F.coalesce(high(a) == high(b), F.lit(False))
+            same = lambda a, b: F.coalesce(a["h"] == b["h"], F.lit(False))
             hit = F.filter(F.sequence(F.lit(0), F.size(s) - 1),
                            lambda j: same(F.get(s, j), F.get(s, j - 1)) | same(F.get(s, j), F.get(s, j + 1)))
-            mask = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
             return F.flatten(F.transform(hit, lambda j: let(
-                F.get(s, j).bitwiseAND(mask), lambda p: F.array(*[p + k for k in range(GRAM)]))))
-        covered = F.size(F.array_distinct(let(F.sort_array(packed), places)))
+                F.get(s, j)["i"], lambda p: F.array(*[p + k for k in range(GRAM)]))))
+        covered = F.size(F.array_distinct(let(F.sort_array(placed), places)))
         return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), covered).otherwise(F.lit(0))
     grams = F.transform(F.sequence(F.lit(0), F.size(ws) - GRAM),
                         lambda i: F.xxhash64(*[F.get(ws, i + k) for k in range(GRAM)]))

@@ -179,6 +179,18 @@ def water_fill(sizes, share=1.5, cap=2.0):
     return t
 
 
+def test_repeated_words_by_the_whole_hash(spark):
+    """Two windows whose hashes share their lower 47 bits, all that a text of
+    70,000 words once compared, are no repeat; one true repeat is."""
+    filler = [f"u{k}" for k in range(70_000)]
+    ws = ["left left 1f212f7", *filler[:100], "left left f5cd2d", *filler[100:], "r1 r2 r3 between r1 r2 r3"]
+    df = spark.createDataFrame([(" ".join(ws),)], "text string")
+    lower = [r[0] & (1 << 47) - 1 for r in spark.sql(
+        "select xxhash64('left', 'left', x) from values ('1f212f7'), ('f5cd2d') t(x)").collect()]
+    assert lower[0] == lower[1]
+    assert quality.text_stats(df).first()["n_repeat_words"] == 6
+
+
 @pytest.mark.parametrize("which", ["edge", "sf"])
 def test_mix(spark, edge_docs, sf_docs, write_docs, which, monkeypatch):
     monkeypatch.setattr(mixing, "ROWS_PER_CELL", 7)
