@@ -64,13 +64,14 @@ def fingerprint(text: str | None, width: int = WIDTH) -> int:
     return int.from_bytes(bits.tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, width: int = WIDTH, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """(keys..., fp): the long columns ``keys`` and the fingerprint as a signed long."""
     def run(batches):
         for b in batches:
-            fps = np.array([fingerprint(t, width) for t in b.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id bigint, fp bigint")
+            fps = np.array([fingerprint(t, width) for t in b.column(len(keys)).to_pylist()], dtype=np.uint64)
+            yield pa.RecordBatch.from_arrays([*b.columns[:len(keys)], pa.array(fps.view(np.int64))], [*keys, "fp"])
+    return docs.select(*[F.col(k).cast("long").alias(k) for k in keys], "text").mapInArrow(
+        run, ", ".join(f"{k} bigint" for k in [*keys, "fp"]))
 
 
 def block_masks(free: int, blocks: int, distance: int) -> list[tuple[int, int]]:
@@ -186,30 +187,38 @@ def components(links: DataFrame) -> DataFrame:
         edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
 
 
-def near_duplicates(docs: DataFrame, width: int = WIDTH, distance: int = DISTANCE) -> DataFrame:
-    """(doc_id, fp, component_id) for every row of ``docs``."""
-    own = stage(fingerprints(docs, width), "fingerprints")
-    distinct = own.groupBy("fp").agg(F.min("doc_id").alias("least"))
+def near_duplicates(docs: DataFrame, width: int = WIDTH, distance: int = DISTANCE,
+                    keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """(keys..., fp, component_id) for every row of ``docs``; component_id is the
+    least key of the component, a struct when ``keys`` are several."""
+    own = stage(fingerprints(docs, width, keys), "fingerprints")
+    key = F.col(keys[0]) if len(keys) == 1 else F.struct(*keys)
+    distinct = own.groupBy("fp").agg(F.min(key).alias("least"))
     group = components(near_links(distinct.select("fp"), distance))
     labelled = distinct.join(group, F.col("fp") == F.col("node"), "left").select(
         "fp", "least", F.coalesce("component", "fp").alias("component"))
     labelled = stage(labelled, "labelled")
     ids = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
     by_fp = labelled.join(ids, "component").select(F.col("fp").alias("l_fp"), "component_id")
-    return own.join(by_fp, F.col("fp") == F.col("l_fp")).select("doc_id", "fp", "component_id")
+    return own.join(by_fp, F.col("fp") == F.col("l_fp")).select(*keys, "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, width: int = WIDTH, distance: int = DISTANCE) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the row with the least
-    doc_id, and of rows that share that doc_id the one whose text hash is
-    least. Rows without doc_id rank after all others, by their text hash."""
+    doc_id and, among rows that share it, the least text hash. Unlike texts
+    with one doc_id stand for their own components. Rows without doc_id rank
+    after all others, by their text hash."""
     tie = F.xxhash64("text")
     rank = F.coalesce(F.col("doc_id").cast("long"), F.lit(1 << 62) + F.shiftrightunsigned(tie, 2))
     row = docs.select(F.struct("*").alias("row"), rank.alias("id"), tie.alias("tie"))
-    groups = near_duplicates(docs.select(rank.alias("doc_id"), "text"), width, distance)
-    named = groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
-    first = Window.partitionBy("id").orderBy("tie")
-    return (row.join(named, F.col("id") == F.col("kept_id"), "left_semi")
+    groups = near_duplicates(docs.select(rank.alias("doc_id"), tie.alias("tie"), "text"), width, distance,
+                             ("doc_id", "tie"))
+    named = (groups.where(F.struct("doc_id", "tie") == F.col("component_id"))
+                   .select(F.col("doc_id").alias("kept_id"), F.col("tie").alias("kept_tie")).distinct())
+    # rows equal in both are copies of one text
+    first = Window.partitionBy("id", "tie").orderBy("tie")
+    kept = (F.col("id") == F.col("kept_id")) & (F.col("tie") == F.col("kept_tie"))
+    return (row.join(named, kept, "left_semi")
                .withColumn("nth", F.row_number().over(first)).where("nth = 1").select("row.*"))
 
 

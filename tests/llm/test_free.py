@@ -198,6 +198,19 @@ def test_simhash(spark, edge_docs, sf_docs, write_docs, which):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter(least.values())
 
 
+def test_keep_one_with_unlike_texts_of_one_doc_id(spark):
+    """Every group keeps one row, also where its least doc_id names rows of other groups."""
+    text = lambda k: " ".join(f"{k}w{i}" for i in range(200))
+    rows = []
+    for k in range(12):
+        rows += [(100 * k + 3, text(f"a{k}")), (100 * k + 5, text(f"a{k}")), (100 * k + 5, text(f"b{k}"))]
+    rows += [rows[2], rows[0], (None, text("c")), (None, text("c")), (None, text("d"))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = {(100 * k + 3, text(f"a{k}")) for k in range(12)} | {(100 * k + 5, text(f"b{k}")) for k in range(12)}
+    want |= {(None, text("c")), (None, text("d"))}
+    assert Counter(map(tuple, simhash.keep_one(df).collect())) == Counter(want)
+
+
 @pytest.mark.parametrize("group", [2, 2048])
 def test_simhash_links(spark, group):
     """A ball of near fingerprints and random ones, also when groups must be split again."""
