@@ -37,7 +37,7 @@ START = "WARC/1.1\r\n"
 ROWS_PER_FILE = 100_000
 DATE = "2024-01-01T00:00:00Z"
 
-RECORD = ("record_id string, type string, concurrent_to string, refers_to string, url string, page_id bigint, "
+RECORD = ("record_id string, type string, concurrent_to array<string>, refers_to string, url string, page_id bigint, "
           "payload_bytes bigint, payload_digest string, head string, payload string")
 
 
@@ -132,13 +132,20 @@ def _fields(head: str) -> dict[str, str]:
     return dict(line.split(": ", 1) for line in head.split("\r\n") if ": " in line)
 
 
+def _values(head: str, name: str) -> list[str]:
+    """Every value of a header that may be repeated, once each."""
+    pairs = (line.split(": ", 1) for line in head.split("\r\n") if ": " in line)
+    return list(dict.fromkeys(v for k, v in pairs if k == name))
+
+
 def _parse(keep_payload: bool):
     """Arrow task: (file, piece of text) in file order -> records. The reader
     cuts where a "WARC/1.1" line follows two line ends; where records begin and
     end is decided by Content-Length alone."""
     end, between = BREAK.encode(), (BREAK + START).encode()
     names = [f.split()[0] for f in RECORD.split(", ")]
-    types = [pa.int64() if f.endswith("bigint") else pa.string() for f in RECORD.split(", ")]
+    kinds = {"bigint": pa.int64(), "string": pa.string(), "array<string>": pa.list_(pa.string())}
+    types = [kinds[f.split()[1]] for f in RECORD.split(", ")]
 
     def record(head: str, body: bytes):
         f = _fields(head)
@@ -155,7 +162,7 @@ def _parse(keep_payload: bool):
         else:
             http_head = body.decode()
         page = f.get("WARC-Page-ID")
-        return (f["WARC-Record-ID"], f["WARC-Type"], f.get("WARC-Concurrent-To"), f.get("WARC-Refers-To-Page-ID"),
+        return (f["WARC-Record-ID"], f["WARC-Type"], _values(head, "WARC-Concurrent-To"), f.get("WARC-Refers-To-Page-ID"),
                 f.get("WARC-Target-URI"), int(page) if page else None, size, digest, http_head, payload)
 
     def complete(buffer: bytes) -> int:
@@ -196,22 +203,24 @@ def read_records(spark, path: str, keep_payload: bool = True) -> DataFrame:
 
 
 def assemble(records: DataFrame) -> DataFrame:
-    """One nested row per capture: its response or revisit, joined with the
-    request and the metadata that name it in WARC-Concurrent-To.
+    """One nested row per capture: its response or revisit, with the requests
+    and the metadata that name it in WARC-Concurrent-To, as arrays (``request``,
+    ``metadata``) ordered by record id.
 
     The three sides meet in one grouping by the response's record id, so the
-    records are read and moved once. Requests or metadata without a response
+    records are read and moved once; a record that names several responses
+    belongs to each of their captures. Requests or metadata without a response
     are dropped: they belong to no capture.
     """
-    capture = F.coalesce("concurrent_to", "record_id")
-    fields = F.struct("record_id", "type", "head", "refers_to", "payload_bytes", "payload_digest", "payload")
-    side = lambda *kinds: F.first(F.when(F.col("type").isin(*kinds), fields), ignorenulls=True)
     main = F.col("type").isin("response", "revisit")
-    return (records.groupBy(capture.alias("capture_id"))
-            .agg(F.first(F.when(main, F.col("page_id")), ignorenulls=True).alias("page_id"),
-                 F.first(F.when(main, F.col("url")), ignorenulls=True).alias("url"),
-                 side("response", "revisit").alias("response"),
-                 side("request").alias("request"), side("metadata").alias("metadata"))
+    fields = F.struct("record_id", "type", "head", "refers_to", "payload_bytes", "payload_digest", "payload")
+    capture = F.explode(F.when(main, F.array("record_id")).otherwise(F.col("concurrent_to")))
+    first = lambda c: F.first(F.when(main, c), ignorenulls=True)
+    every = lambda kind: F.sort_array(F.collect_list(F.when(F.col("type") == kind, fields)))
+    return (records.withColumn("capture_id", capture).groupBy("capture_id")
+            .agg(first(F.col("page_id")).alias("page_id"), first(F.col("url")).alias("url"),
+                 first(fields).alias("response"), every("request").alias("request"),
+                 every("metadata").alias("metadata"))
             .where("response is not null"))
 
 
@@ -224,5 +233,5 @@ def op9_warc(spark, sf_dir: str) -> DataFrame:
     return captures.select("page_id", "response.payload_bytes", "response.payload_digest",
                            F.col("response.type").alias("record_type"),
                            F.col("response.refers_to").cast("long").alias("refers_to"),
-                           F.col("request").isNotNull().alias("has_request"),
-                           F.col("metadata").isNotNull().alias("has_metadata"))
+                           (F.size("request") > 0).alias("has_request"),
+                           (F.size("metadata") > 0).alias("has_metadata"))

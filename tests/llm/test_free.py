@@ -438,6 +438,24 @@ def test_warc_payload_round_trip(spark, tmp_path):
     assert back == {r["page_id"]: r["html"] for r in pages.collect()}
 
 
+def test_warc_several_records_of_a_capture(spark, tmp_path):
+    """All requests and metadata of a capture, and every response that a record names."""
+    def record(kind, rid, *concurrent):
+        body = "HTTP/1.1 200 OK\r\n\r\n" + rid if kind == "response" else f"about {rid}\r\n"
+        heads = "".join(f"WARC-Concurrent-To: <{c}>\r\n" for c in concurrent)
+        return (f"WARC/1.1\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <{rid}>\r\n{heads}"
+                f"Content-Length: {len(body)}\r\n\r\n{body}\r\n\r\n")
+    (tmp_path / "a.warc").write_bytes("".join([
+        record("metadata", "m3", "r1"), record("response", "r1", "q1"), record("request", "q1", "r1", "r2"),
+        record("metadata", "m1", "r1"), record("metadata", "m2", "r2", "r1"), record("response", "r2"),
+        record("response", "r3"), record("metadata", "m4", "gone"), record("request", "q2")]).encode())
+    got = warc.assemble(warc.read_records(spark, str(tmp_path))).collect()
+    ids = {r["capture_id"]: ([x["record_id"] for x in r["request"]], [x["record_id"] for x in r["metadata"]])
+           for r in got}
+    assert ids == {"<r1>": (["<q1>"], ["<m1>", "<m2>", "<m3>"]), "<r2>": (["<q1>"], ["<m2>"]), "<r3>": ([], [])}
+    assert {r["response"]["payload"] for r in got} == {"r1", "r2", "r3"}
+
+
 # ---- toxicity
 
 def test_toxicity_held_out(spark):
