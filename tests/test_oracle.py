@@ -3,7 +3,7 @@
 ``python tests/oracle_check.py`` runs all 42 at sf0.01, like the driver.
 """
 
-from conftest import SF001
+from paths import SF001
 from oracle_check import compare
 
 QUERIES = ["prepare_records", "composite_key", "group_quartiles", "lead_gap", "gap_scores",

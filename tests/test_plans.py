@@ -1,6 +1,6 @@
 """Plan checks and the driver contract."""
 
-from conftest import SF001
+from paths import SF001
 
 from gapscan.operators.gap import gap_outliers
 
@@ -60,7 +60,7 @@ def test_queries_run_at_smoke_scale_with_scalable_plans(spark):
 
 def test_fixture_has_shared_flagged_cells(spark):
     """Some flagged (group, cell) holds several records, so the fan-out from cells to records is tested."""
-    from conftest import SF01
+    from paths import SF01
 
     from gapscan.plans import fixtures as FX
     rf = FX.rf(spark, SF01).join(FX.records(spark, SF01).select(FX.RECORD_ID, *FX.CELL), FX.RECORD_ID)
