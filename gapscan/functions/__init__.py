@@ -71,3 +71,18 @@ def safe_ratio(num: str | Column, den: str | Column) -> Column:
 def scaled(x: str | Column, factor: float) -> Column:
     """x / factor (stored tenths to units and similar)."""
     return _c(x) / F.lit(factor)
+
+
+def _spread_bits(x: Column) -> Column:
+    """The low 31 bits of a non-negative number, moved to the even places of 62."""
+    for shift, mask in ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F),
+                        (2, 0x3333333333333333), (1, 0x5555555555555555)):
+        x = x.bitwiseOR(F.shiftleft(x, shift)).bitwiseAND(F.lit(mask))
+    return x
+
+
+def morton(x: str | Column, y: str | Column, offset: int = 1 << 30) -> Column:
+    """Morton key of an integer cell: the bits of x and y in turn, so that cells
+    near each other get keys near each other. Cells from -2^30 to 2^30 - 1."""
+    return _spread_bits(_c(x).cast("long") + offset).bitwiseOR(
+        F.shiftleft(_spread_bits(_c(y).cast("long") + offset), 1))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gapscan.operators.gap import gap_outliers
+from gapscan.operators.keyfilter import filter_bits, key_filter, passing
 from gapscan.operators.reshape import count_present, pivot_wide, unpivot_surfaces
 from gapscan.operators.segments import materialize
 
@@ -78,15 +79,27 @@ def export_flagged(records: DataFrame, long: DataFrame, flags: DataFrame, record
     """X3 + X4: every flagged record, wide.
 
     The flagged cells are few; their wide form (one row per group and cell,
-    one column per surface, and the count) is built first and the records
-    (every column) are joined to it once, in one scan. Each row of ``records``
+    one column per surface, and the count) is staged first and the records
+    (every column) are joined to it once, in one scan. A Bloom filter of the
+    flagged cells is applied in that scan, so only records that (almost
+    certainly) are flagged reach the join's shuffle. Each row of ``records``
     is kept, so repeated record ids stay. Same result as
     ``outlier_export(records, outlier_records(...))``.
     """
     cell = [group, *cell_keys]
     wide = pivot_wide(flagged_cells(long, flags, group).select(*cell, "surface", "xx"),
                       cell, "surface", "xx", surface_values).withColumn(name, count_present(surface_values))
-    return records.join(wide, cell).select(*records.columns, *surface_values, name)
+    return join_few(records, materialize(wide), cell).select(*records.columns, *surface_values, name)
+
+
+def join_few(rows: DataFrame, few: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Inner join of ``rows`` to the few keys of ``few`` (staged, so that it
+    is computed once), with a Bloom filter of those keys in the scan of ``rows``.
+    Keys of unlike types hash differently, so they are joined without it."""
+    if all(rows.schema[c].dataType == few.schema[c].dataType for c in cols):
+        bits = filter_bits(few.count())
+        rows = passing(rows, key_filter(few, cols, bits), cols, bits)
+    return rows.join(few, list(cols))
 
 
 def count_outlier_surfaces(rf: DataFrame, record_id: str, name: str = "n_outliers") -> DataFrame:
@@ -132,8 +145,39 @@ def membership(df: DataFrame, ids: DataFrame, id_col: str | Sequence[str], out:
 
 
 def semi_filter(df: DataFrame, ids: DataFrame, id_col: str) -> DataFrame:
-    """Rows whose id is in ``ids`` (left semi join)."""
-    return df.join(ids.select(id_col), id_col, "left_semi")
+    """Rows whose id is in ``ids``. The distinct ids are staged, and a Bloom
+    filter of them is applied in the scan of ``df``. (An inner join: the
+    optimizer would move a semi join below the filter.)"""
+    return join_few(df, materialize(ids.select(id_col).distinct()), [id_col]).select(*df.columns)
+
+
+def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
+    """Merge on every column name that both sides have, in ``left``'s order.
+
+    Two missing keys are the same key. The result has the shared columns once,
+    then the other columns of ``left`` and of ``right``; a row of ``right`` that
+    an outer merge keeps alone shows its own keys. A name that one side has
+    twice, or no shared name at all, is an error (a merge without keys would be
+    a cross product).
+    """
+    for side, df in (("left", left), ("right", right)):
+        twice = sorted({c for c in df.columns if df.columns.count(c) > 1})
+        if twice:
+            raise ValueError(f"the {side} side has several columns named {', '.join(twice)}")
+    shared = [c for c in left.columns if c in right.columns]
+    if not shared:
+        raise ValueError("the two sides share no column name")
+    if how not in ("inner", "left", "right", "full"):
+        raise ValueError(f"unknown kind of merge: {how}")
+    other = right.withColumnsRenamed({c: f"_right_{c}" for c in shared})
+    same = F.lit(True)
+    for c in shared:
+        same = same & F.col(c).eqNullSafe(F.col(f"_right_{c}"))
+    first = {"right": lambda c: F.col(f"_right_{c}"), "full": lambda c: F.coalesce(F.col(c), F.col(f"_right_{c}"))}
+    key = first.get(how, F.col)
+    return left.join(other, same, how).select(
+        *[key(c).alias(c) for c in shared], *[c for c in left.columns if c not in shared],
+        *[c for c in right.columns if c not in shared])
 
 
 def label_join(df: DataFrame, dim: DataFrame, on: str) -> DataFrame:

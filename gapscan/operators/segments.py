@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,10 +26,6 @@ SEG = "_seg"
 
 STAGED_PREFIX = "gapscan_staged_"
 
-# Bucketed tables staged by this process, by Spark application.
-_TABLES: dict[str, list[str]] = {}
-
-
 def materialize(df: DataFrame, bucket_by: Sequence[str] | None = None,
                 buckets: int | None = None) -> DataFrame:
     """Compute ``df`` once, for every later use: a Parquet table in the shared folder.
@@ -49,22 +46,22 @@ def materialize(df: DataFrame, bucket_by: Sequence[str] | None = None,
     if not bucket_by:
         return stage(df, "segments")
     spark = df.sparkSession
-    name = STAGED_PREFIX + uuid.uuid4().hex
+    name, path = staged_table(spark, "bucketed")
     n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (df.write.format("parquet").bucketBy(n, *bucket_by)
-       .option("path", staging_path(spark, "bucketed")).saveAsTable(name))
-    _TABLES.setdefault(spark.sparkContext.applicationId, []).append(name)
+    df.write.format("parquet").bucketBy(n, *bucket_by).option("path", path).saveAsTable(name)
     return spark.table(name)
 
 
-def drop_staged(spark) -> int:
-    """Drop the bucketed tables this process staged in this application (no
-    other session's) and delete all files it staged. Returns how many tables."""
-    names = _TABLES.pop(spark.sparkContext.applicationId, [])
-    for t in names:
-        spark.sql(f"DROP TABLE IF EXISTS {t}")
-    release(spark)
-    return len(names)
+def staged_table(spark, label: str) -> tuple[str, str]:
+    """Name and path of a new staged catalog table."""
+    name = STAGED_PREFIX + uuid.uuid4().hex
+    return name, staging_path(spark, label, name)
+
+
+def drop_staged(spark, since: int = 0) -> int:
+    """Delete all that this process staged in this application (no other
+    session's), from the place ``since`` on (``staging.mark``). Returns how many folders."""
+    return release(spark, since)
 
 
 def tag_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str],
@@ -154,6 +151,10 @@ def quantiles_disc(df: DataFrame, keys: Sequence[str], value: str,
     """
     keys = list(keys)
     ranked = with_positions(df.select(*keys, value), keys, [value], "_p", "_n", partitions)
-    aggs = [F.max(F.when(F.col("_p") == F.ceil(F.col("_n") * F.lit(p)), F.col(value))).alias(name)
-            for name, p in probs.items()]
+
+    def place(p: float) -> Column:
+        """ceil(p * n) in integers: p as it is written, not its nearest double."""
+        share = Fraction(str(p))
+        return F.expr(f"(_n * {share.numerator}L + {share.denominator - 1}L) div {share.denominator}L")
+    aggs = [F.max(F.when(F.col("_p") == place(p), F.col(value))).alias(name) for name, p in probs.items()]
     return ranked.groupBy(*keys).agg(F.max("_n").alias("n"), *aggs)

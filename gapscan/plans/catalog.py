@@ -22,10 +22,17 @@ from gapscan.operators.grid import (grid_lookup, grid_over, point_cells, raster_
                                     raster_rows, surface_table)
 from gapscan.operators.prepare import (drop_null_rows, prepare_records, range_or_null, rename_by_index,
                                        rows_containing, scale_columns, select_like)
+from gapscan.operators.quantiles import approx_quantiles
 from gapscan.operators.reshape import unpivot_surfaces
-from gapscan.operators.segments import materialize, quantiles_disc, with_next
+from gapscan.operators.segments import materialize, quantiles_disc, staged_table, with_next
 from gapscan.plans import fixtures as FX
+from gapscan.plans import job
 from gapscan.plans.fixtures import CELL, GROUP, RECORD_ID, SURFACES, table
+from gapscan.sources import read_parquet, read_records_csv, surface_dim, write_tsv
+from gapscan.sources.layout import in_box, read_ordered, write_bucketed, write_by_cell, write_ordered
+from gapscan.sources.quarantine import read_split
+from gapscan.sources.runs import read_counters, read_run, write_run
+from gapscan.staging import staging_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -41,6 +48,9 @@ PAD = 10
 NTH = 15
 HOT_LOCATION = 2
 MIN_FLAGGED = 10
+THIN_CELL = 20         # line items below which a cell is taken off the surface
+LEAST_SHARE = 0.1      # of all records, for a class to be exported by itself
+RANK_ERROR = 0.005
 
 
 def _orders_values(spark, sf_dir):
@@ -61,7 +71,7 @@ def _marked(spark, sf_dir):
 
 
 def _surface_dim(spark):
-    return spark.createDataFrame(SURFACE_NAMES, "surface string, long_name string")
+    return surface_dim(spark, SURFACE_NAMES).select("surface", "long_name")
 
 
 def _docs_labels(spark, sf_dir):
@@ -140,12 +150,152 @@ def q_blank_zero(spark, sf_dir):
 
 
 def row_count(spark, sf_dir):
-    # A10 is an action: one number comes to the driver
-    return spark.createDataFrame([(table(spark, sf_dir, "orders").count(),)], "n bigint")
+    # counted while the table is written; the counter is read from the commit record
+    path = staging_path(spark, "run")
+    write_run(table(spark, sf_dir, "orders"), path, ["o_orderstatus"], "orders", {"n": F.count(F.lit(1))})
+    return read_counters(spark, path, ["n"])
+
+
+def write_counters(spark, sf_dir):
+    """Three counters of one write: records, those off the surface, those flagged."""
+    cells = FX.surf(spark, sf_dir).where(F.col("s4") >= THIN_CELL).select(*CELL)
+    rec = FL.membership(FX.records(spark, sf_dir), cells, CELL, "on_surface")
+    rec = FL.membership(rec, FX.rf(spark, sf_dir), RECORD_ID, "flagged")
+    path = staging_path(spark, "run")
+    write_run(rec, path, ["record_class"], "records", {
+        "n_records": F.count(F.lit(1)), "n_off_surface": F.count_if(~F.col("on_surface")),
+        "n_flagged": F.count_if("flagged")})
+    return read_counters(spark, path, ["n_records", "n_off_surface", "n_flagged"])
+
+
+def restarted_write(spark, sf_dir):
+    """A first run writes all classes; a second one replaces those it has rows for."""
+    rec = FX.records(spark, sf_dir).select(RECORD_ID, "record_class", "amount")
+    path = staging_path(spark, "run")
+    write_run(rec, path, ["record_class"], "all")
+    again = rec.where(F.col("record_class") == "F").withColumn("amount", F.round("amount"))
+    write_run(again, path, ["record_class"], "class F", mode="replace")
+    return read_run(spark, path).select(RECORD_ID, "record_class", "amount")
+
+
+def quarantine_rows(spark, sf_dir):
+    """All orders as tab-separated lines, some broken, read back as good rows and set-aside lines."""
+    key = F.col("o_orderkey")
+    fields = [key.cast("string"), F.col("o_custkey").cast("string"), F.col("o_totalprice").cast("string")]
+    line = (F.when(key % 40 == 1, F.concat_ws("\t", *fields[:2], F.lit("n/a")))
+             .when(key % 40 == 2, F.concat_ws("\t", *fields[:2]))
+             .when(key % 40 == 3, F.concat_ws("\t", *fields, F.lit("more")))
+             .otherwise(F.concat_ws("\t", *fields)))
+    path = staging_path(spark, "lines")
+    table(spark, sf_dir, "orders").select(line.alias("value")).write.text(path)
+    split = read_split(spark, path, "o_orderkey bigint, o_custkey bigint, price double", header=False)
+    bad = split.bad.select(split_key("line", 0, "\t").cast("bigint").alias("o_orderkey"), F.lit(None).cast("double").alias("price"),
+                           F.lit(True).alias("is_bad"))
+    return split.good.select("o_orderkey", "price", F.lit(False).alias("is_bad")).unionByName(bad)
+
+
+def csv_id_list(spark, sf_dir):
+    """Records on an outside list of ids: a CSV file with a header, read with a declared schema."""
+    listed = table(spark, sf_dir, "orders").where(F.col("o_orderpriority") == "1-URGENT")
+    path = staging_path(spark, "csv")
+    listed.select("o_orderkey", "o_orderpriority").write.option("header", "true").csv(path)
+    ids = read_records_csv(spark, path, "gbif_id bigint, note string").select(F.col("gbif_id").alias(RECORD_ID))
+    return FL.semi_filter(FX.records(spark, sf_dir).select(RECORD_ID, GROUP, "amount"), ids, RECORD_ID)
+
+
+def ordered_labels(spark, sf_dir):
+    """All orders by the number in their label (bio2 before bio10), written as
+    sorted files and read back with their place in the whole order."""
+    label = F.concat(F.lit("bio"), F.month("o_orderdate").cast("string"))
+    rows = table(spark, sf_dir, "orders").select(label.alias("label"), "o_orderkey")
+    path = staging_path(spark, "ordered")
+    write_ordered(rows, path, [surface_number("label", "bio"), "o_orderkey"])
+    return read_ordered(spark, path)
+
+
+def approx_quartiles(spark, sf_dir):
+    """Approximate quartiles of the amounts of each class, checked against the
+    ranks that they really have: ``ok`` when within three times the rank error."""
+    values = FX.records(spark, sf_dir).select("record_class", "amount")
+    probs = {"q1": 0.25, "median": 0.5, "q3": 0.75}
+    q = materialize(approx_quantiles(values, ["record_class"], "amount", probs, RANK_ERROR))
+    ranks = [f(F.when(c, 1)).alias(f"{name}_{side}") for name in probs
+             for f, side, c in ((F.count, "below", F.col("amount") < F.col(name)),
+                                (F.count, "upto", F.col("amount") <= F.col(name)))]
+    checked = values.join(q, "record_class").groupBy("record_class").agg(F.max("n").alias("n"), *ranks)
+    slack = 3 * RANK_ERROR * F.col("n") + 1
+    return checked.select("record_class", "n", *[
+        ((F.col(f"{name}_below") <= p * F.col("n") + slack) & (F.col(f"{name}_upto") >= p * F.col("n") - slack))
+        .alias(f"{name}_ok") for name, p in probs.items()])
+
+
+def bucketed_export(spark, sf_dir):
+    """The wide export from a bucketed record table, for the classes that hold a
+    good share of all records (their folders are found at run time)."""
+    name, path = staged_table(spark, "records")
+    rec = write_bucketed(FX.records(spark, sf_dir), name, path, [GROUP, *CELL], ["record_class"])
+    counts = rec.groupBy("record_class").agg(F.count(F.lit(1)).alias("n"))
+    classes = materialize(counts)
+    total = classes.agg(F.sum("n")).first()[0] or 0
+    lg = FL.long_cells(rec, FX.surf(spark, sf_dir), GROUP, CELL, SURFACES)
+    fl = gap_outliers(lg, [GROUP, "surface"], "xx")
+    kept = rec.join(F.broadcast(classes.where(F.col("n") >= LEAST_SHARE * total).select("record_class")), "record_class")
+    return FL.export_flagged(kept.select(*FX.records(spark, sf_dir).columns), lg, fl, RECORD_ID, GROUP, CELL, SURFACES)
+
+
+def box_lookup(spark, sf_dir):
+    """The surface rows in the padded box around the flagged cells of one group,
+    from a surface table in Morton order."""
+    rec, lg, fl = FX.flagged(spark, sf_dir)
+    cells = materialize(FL.flagged_cells(lg, fl, GROUP))
+    group = RP.nth_key(cells, GROUP, NTH)
+    here = cells.join(group, GROUP, "left_semi").withColumn("is_outlier", F.lit(True))
+    box = PR.bbox_padded(here, [], *CELL, PAD).first()
+    path = staging_path(spark, "surface")
+    write_by_cell(FX.surf(spark, sf_dir), path, *CELL)
+    surface = read_parquet(spark, path)
+    if box is None:      # fewer groups than NTH
+        return surface.limit(0)
+    return in_box(surface, *CELL, box["x_min"], box["x_max"], box["y_min"], box["y_max"])
+
+
+def natural_merge(spark, sf_dir):
+    """Records with what their group and class hold in all, by the column names
+    that both tables have; missing classes are one class."""
+    rec = FX.records(spark, sf_dir).select(
+        RECORD_ID, GROUP, F.nullif("record_class", F.lit("P")).alias("record_class"), "amount")
+    held = rec.groupBy(GROUP, "record_class").agg(F.count(F.lit(1)).alias("n_held")).where(F.col("n_held") >= 3)
+    return FL.natural_join(rec, held, "left")
+
+
+def job_export(spark, sf_dir):
+    """The whole job through its own doors: a catalog table of occurrences and a
+    surface TSV in, Parquet out. Cells are tenths of a degree here."""
+    one = F.lit(1)
+    occ = table(spark, sf_dir, "orders").join(
+        FX.records(spark, sf_dir).select(F.col(RECORD_ID).alias("o_orderkey"), GROUP, *CELL), "o_orderkey").select(
+        F.col("o_orderkey").alias("gbifid"), F.col("o_orderpriority").alias("datasetkey"),
+        F.when(F.col("o_orderstatus") == "P", "FOSSIL_SPECIMEN").otherwise("HUMAN_OBSERVATION").alias("basisofrecord"),
+        F.col(GROUP).cast("int").alias("specieskey"),
+        *[one.alias(c) for c in ("genuskey", "familykey", "orderkey", "phylumkey", "classkey")],
+        F.when(F.col("o_orderkey") % 7 == 0, 2).otherwise(1).alias("kingdomkey"),
+        *[F.lit(c[0]).alias(c) for c in ("species", "genus", "family", "phylum", "order_", "class", "kingdom")],
+        (F.col("x_cell") / 10).alias("decimallatitude"), (F.col("y_cell") / 10).alias("decimallongitude"),
+        F.col("o_totalprice").alias("coordinateuncertaintyinmeters"),
+        (F.col("o_orderkey") % 97 == 0).alias("hasgeospatialissues"))
+    name, path = staged_table(spark, "occurrence")
+    occ.write.format("parquet").option("path", path).saveAsTable(name)
+    tsv, out = staging_path(spark, "tsv"), staging_path(spark, "export")
+    write_tsv(FX.surf(spark, sf_dir).select((F.col("x_cell") / 10).alias("decimallatitude"),
+                                            (F.col("y_cell") / 10).alias("decimallongitude"), *SURFACES), tsv)
+    job.run(spark, name, tsv, out, SURFACES)
+    return read_parquet(spark, out).select(
+        "gbifid", "specieskey", "basisofrecord", "rounded_decimallatitude", "rounded_decimallongitude",
+        *SURFACES, "n_bioclim_outliers")
 
 
 def q_random_group(spark, sf_dir):
-    return RP.random_group(FX.rf(spark, sf_dir), GROUP)
+    return RP.random_group(FX.flags(spark, sf_dir), GROUP)
 
 
 def q_composite_key(spark, sf_dir):
@@ -323,7 +473,7 @@ def _flagged(spark, sf_dir, k=1):
 
 
 def nth_group(spark, sf_dir):
-    return RP.nth_key(FX.rf(spark, sf_dir), GROUP, NTH)
+    return RP.nth_key(FX.flags(spark, sf_dir), GROUP, NTH)
 
 
 def top_sources(spark, sf_dir):
@@ -393,6 +543,16 @@ QUERIES: dict[str, Query] = {
     "surface_number": q_surface_number,
     "blank_zero": q_blank_zero,
     "row_count": row_count,
+    "write_counters": write_counters,
+    "restarted_write": restarted_write,
+    "quarantine_rows": quarantine_rows,
+    "csv_id_list": csv_id_list,
+    "ordered_labels": ordered_labels,
+    "approx_quartiles": approx_quartiles,
+    "bucketed_export": bucketed_export,
+    "box_lookup": box_lookup,
+    "natural_merge": natural_merge,
+    "job_export": job_export,
     "random_group": q_random_group,
     "composite_key": q_composite_key,
     "unpivot_surfaces": q_unpivot_surfaces,

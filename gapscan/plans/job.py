@@ -19,8 +19,9 @@ from gapscan.operators.gap import gap_outliers
 from gapscan.operators.grid import make_grid, surface_table
 from gapscan.operators.prepare import prepare_records
 from gapscan.operators.segments import drop_staged
-from gapscan.sources import (BIOCLIM_SURFACES, EXCLUDED_BASIS, KINGDOM_KEYS, read_parquet,
+from gapscan.sources import (BIOCLIM_SURFACES, EXCLUDED_BASIS, KINGDOM_KEYS, read_parquet, read_records,
                              read_surfaces, surface_schema, write_export, write_tsv)
+from gapscan.staging import mark
 
 # The columns of the occurrence table kept by the job, in the
 # order the export lists them (the first is the record id).
@@ -75,10 +76,12 @@ def run(spark: SparkSession, occurrence_table: str, surfaces_path: str, out_path
     """Read the catalog table and the surface TSV, run the job, write Parquet.
 
     Returns the number of exported rows, observed while writing (no second run).
-    Nothing that was staged on the way is left behind.
+    Nothing that was staged on the way is left behind; what the session had
+    staged before stays.
     """
     from pyspark.sql import Observation
-    occ = spark.table(occurrence_table)
+    before = mark(spark)
+    occ = read_records(spark, occurrence_table)
     surfaces = read_surfaces(spark, surfaces_path, surface_schema(list(surface_cols)))
     obs = Observation("export")
     export = outlier_job(occ, surfaces, surface_cols).observe(obs, F.count(F.lit(1)).alias("rows"))
@@ -86,7 +89,7 @@ def run(spark: SparkSession, occurrence_table: str, surfaces_path: str, out_path
         write_export(export, out_path, mode=mode)
         return int(obs.get["rows"])
     finally:
-        drop_staged(spark)
+        drop_staged(spark, before)
 
 
 def build_surface_file(spark: SparkSession, cells_path: str, out_path: str,

@@ -152,6 +152,49 @@ SQL: dict[str, str] = {
     "blank_zero": """SELECT l_orderkey, l_linenumber,
         CASE WHEN l_linenumber = 1 THEN '' ELSE CAST(l_linenumber - 1 AS VARCHAR) END AS lines_before FROM lineitem""",
     "row_count": "SELECT count(*) AS n FROM orders",
+    "write_counters": _with(BASE, """
+        SELECT count(*) AS n_records,
+               count(*) FILTER (NOT EXISTS (SELECT 1 FROM surf s WHERE s.s4 >= 20 AND s.x_cell = r.x_cell
+                                            AND s.y_cell = r.y_cell)) AS n_off_surface,
+               count(*) FILTER (r.record_id IN (SELECT record_id FROM rf)) AS n_flagged
+        FROM records r"""),
+    "restarted_write": _with([RECORDS], """
+        SELECT record_id, record_class, CASE WHEN record_class = 'F' THEN round(amount) ELSE amount END AS amount
+        FROM records"""),
+    "quarantine_rows": """SELECT o_orderkey, CASE WHEN o_orderkey % 40 NOT IN (1, 2, 3) THEN o_totalprice END AS price,
+                                 o_orderkey % 40 IN (1, 2, 3) AS is_bad FROM orders""",
+    "csv_id_list": _with([RECORDS], "SELECT record_id, group_key, amount FROM records WHERE source_key = '1-URGENT'"),
+    "ordered_labels": """SELECT concat('bio', month(o_orderdate)) AS label, o_orderkey,
+        row_number() OVER (ORDER BY month(o_orderdate), o_orderkey) AS position FROM orders""",
+    "approx_quartiles": _with([RECORDS], """
+        SELECT record_class, count(*) AS n, true AS q1_ok, true AS median_ok, true AS q3_ok
+        FROM records GROUP BY record_class"""),
+    "bucketed_export": _with([*BASE, WIDE, EXPORT], """
+        SELECT * FROM export WHERE record_class IN (
+          SELECT record_class FROM records GROUP BY record_class
+          HAVING count(*) >= 0.1 * (SELECT count(*) FROM records))"""),
+    "box_lookup": _with(BASE, """
+        SELECT s.* FROM surf s, (
+          SELECT min(x_cell) - 10 AS x0, max(x_cell) + 10 AS x1, min(y_cell) - 10 AS y0, max(y_cell) + 10 AS y1
+          FROM records WHERE record_id IN (
+            SELECT record_id FROM rf WHERE group_key = (
+              SELECT DISTINCT group_key FROM rf ORDER BY group_key LIMIT 1 OFFSET 14))) b
+        WHERE s.x_cell BETWEEN b.x0 AND b.x1 AND s.y_cell BETWEEN b.y0 AND b.y1"""),
+    "natural_merge": _with([RECORDS], """
+        SELECT r.group_key, nullif(r.record_class, 'P') AS record_class, r.record_id, r.amount, h.n_held
+        FROM records r LEFT JOIN (
+          SELECT group_key, nullif(record_class, 'P') AS record_class, count(*) AS n_held FROM records
+          GROUP BY ALL HAVING count(*) >= 3) h
+          ON r.group_key = h.group_key AND nullif(r.record_class, 'P') IS NOT DISTINCT FROM h.record_class"""),
+    "job_export": _with([
+        RECORDS, SURF, SURF_LONG,
+        """kept AS (SELECT * FROM records WHERE record_class <> 'P' AND record_id % 7 <> 0 AND record_id % 97 <> 0)""",
+        LONG.replace("FROM records r", "FROM kept r"), *FLAGS, RF, WIDE], """
+        SELECT k.record_id AS gbifid, CAST(k.group_key AS INTEGER) AS specieskey, 'HUMAN_OBSERVATION' AS basisofrecord,
+               CAST(k.x_cell AS DOUBLE) * 10 / 100 AS rounded_decimallatitude,
+               CAST(k.y_cell AS DOUBLE) * 10 / 100 AS rounded_decimallongitude,
+               w.s1, w.s2, w.s3, w.s4, w.n_outliers AS n_bioclim_outliers
+        FROM kept k JOIN wide w ON k.record_id = w.record_id"""),
     "random_group": _with(BASE, """
         SELECT group_key FROM (SELECT DISTINCT group_key FROM rf)
         ORDER BY md5(concat_ws(':', CAST(group_key AS VARCHAR), '42')), group_key LIMIT 1"""),

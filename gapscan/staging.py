@@ -2,8 +2,9 @@
 
 A staged table cuts lineage: it is computed once, later branches read columnar
 files, and a lost executor costs only the tasks that were running on it. The
-folder is the one the cluster names in ``spark.checkpoint.dir``; nothing is
-registered in the user's catalog.
+folder is the one the cluster names in ``spark.checkpoint.dir``. Tables staged
+here are plain files; bucketed ones (``operators.segments.materialize``) need a
+catalog entry, which ``segments.drop_staged`` removes with the files.
 """
 
 from __future__ import annotations
@@ -16,14 +17,20 @@ from gapscan.session import ensure_checkpoint_dir
 
 PREFIX = "gapscan-staged-"
 
-# Paths staged by this process, by Spark application.
-_PATHS: dict[str, list[str]] = {}
+# What this process staged, in order, by Spark application: paths and bucketed
+# tables (with their catalog names).
+_STAGED: dict[str, list[tuple[str, str | None]]] = {}
 
 
-def staging_path(spark: SparkSession, label: str = "table") -> str:
-    """A new path below the shared folder; ``release`` deletes what is written there."""
+def _entries(spark: SparkSession) -> list[tuple[str, str | None]]:
+    return _STAGED.setdefault(spark.sparkContext.applicationId, [])
+
+
+def staging_path(spark: SparkSession, label: str = "table", table: str | None = None) -> str:
+    """A new path below the shared folder; ``release`` deletes what is written
+    there, and drops the catalog table ``table`` if one is named."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{PREFIX}{label}-{uuid.uuid4().hex}"
-    _PATHS.setdefault(spark.sparkContext.applicationId, []).append(path)
+    _entries(spark).append((path, table))
     return path
 
 
@@ -45,11 +52,23 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True))
 
 
-def release(spark: SparkSession) -> int:
-    """Delete every table this process staged in this application (only those).
+def mark(spark: SparkSession) -> int:
+    """The present place in the list of staged tables, for ``release``."""
+    return len(_entries(spark))
+
+
+def release(spark: SparkSession, since: int = 0, keep_last: bool = False) -> int:
+    """Delete the tables this process staged in this application (only those),
+    from the place ``since`` on; with ``keep_last`` all but the newest.
 
     Call it after the results that read them have been written. Returns how
     many folders were deleted.
     """
-    paths = _PATHS.pop(spark.sparkContext.applicationId, [])
-    return sum(delete_path(spark, p) for p in paths)
+    entries = _entries(spark)
+    end = len(entries) - keep_last
+    spent = entries[since:end]
+    del entries[since:end]
+    for _, table in spent:
+        if table:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+    return sum(delete_path(spark, path) for path, _ in spent)

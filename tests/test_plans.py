@@ -40,7 +40,7 @@ def test_entry_and_registry(spark):
     assert "n_outliers" in df.columns
     from gapscan.plans.catalog import QUERIES
     qs, sql = E.queries(), E.oracle_sql()
-    assert len(QUERIES) == 55 and set(QUERIES) <= set(qs) and set(QUERIES) <= set(sql) <= set(qs)
+    assert len(QUERIES) == 65 and set(QUERIES) <= set(qs) and set(QUERIES) <= set(sql) <= set(qs)
 
 
 UNSCALABLE = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
