@@ -420,11 +420,13 @@ def test_warc_reader_cuts_anywhere():
                               f"Content-Length: {len(body)}\r\n\r\n{body}\r\n\r\n")
     bodies = ["HTTP/1.1 200 OK\r\n\r\n" + b for b in ("a", "\r\n", "x\r\n\r\nWARC/1.1\r\ny", "", "z\r\n\r\n")]
     text = "".join(record(i, b) for i, b in enumerate(bodies))
-    sep = "\r\n\r\nWARC/1.1\r\n"
+    sep = "\r\n\r\nWARC/1."
     cuts = text.split(sep)
     joined = [cuts[0], cuts[1] + sep + cuts[2], *cuts[3:]]  # the reader missed a separator
     for pieces in (cuts, joined, [text]):
-        batch = pa.RecordBatch.from_arrays([pa.array(["f"] * len(pieces)), pa.array(pieces)], ["file", "value"])
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array(["f"] * len(pieces)), pa.array([p.encode() for p in pieces]), pa.array([0] * len(pieces))],
+            ["file", "value", "split"])
         out = list(warc._parse(True)(iter([batch])))
         got = [p for b in out for p in b.column(9).to_pylist()]
         assert got == [b.split("\r\n\r\n", 1)[1] for b in bodies]
