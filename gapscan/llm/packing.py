@@ -4,13 +4,18 @@ A document is its ids and an end id; a longer one is cut into pieces of the
 sequence length, its first piece being the shorter one. Full pieces are
 sequences already. The others are dealt evenly over partitions by a hash of
 their row, and each partition packs its own by best fit (largest first, into
-the fullest bin with room). Nearly full bins are final. The emptiest
-``CARRIED`` underfull bins of a partition go on as items: partitions merge
-``FAN`` by ``FAN`` in a tree and pack again by best fit until one is left. In
-a best-fit packing no two bins of a partition fit together and at most one is
-half empty, so few bins can still gain; the bins that are not carried are
-final, every piece stays placed. No task ever holds more than about
-``PIECES`` pieces or ``FAN * CARRIED`` bins, whatever the table's size.
+the fullest bin with room). Nearly full bins are final. The underfull bins of a
+partition go on as items: partitions merge ``FAN`` by ``FAN`` in a tree and
+pack again by best fit until one is left.
+
+Which bins go on. In a best-fit packing no two bins fit together, so at most one
+of a partition is half empty or emptier. Bins over half full never fit each
+other: a round of ``FAN`` partitions can only place their ``FAN`` small bins, and
+so fills at most ``FAN`` of the others. Bins of equal fill are alike. So of each
+fill ``FAN`` bins for every round still to come are carried, and the rest,
+which no later round could use, are final: the result is that of carrying
+all. A task holds at most ``PIECES`` pieces, or ``FAN`` times as many bins as
+there are fills times bins carried of each, whatever the table's size.
 
 Defined cases: a null text is one piece with the end id alone; rows repeated
 or with equal doc_id are packed as documents of their own; an empty table
@@ -35,7 +40,6 @@ LENGTH = 2048
 END_ID = 0
 PIECES = 8192        # pieces packed together in the first round
 FAN = 16             # partitions merged in a later round
-CARRIED = 256        # underfull bins a partition hands on
 NEARLY_FULL = 0.98
 
 PIECE = "uid bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -103,42 +107,50 @@ def best_fit(sizes: list[int], capacity: int) -> tuple[list[int], list[int], lis
     return bins, offsets, fill
 
 
-def _pack(capacity: int, carried: int, nearly_full: float):
+def _pack(capacity: int, of_each_fill: int | None, nearly_full: float):
+    """Grouped task: the items of a part -> their bins. ``of_each_fill``: how many
+    underfull bins of the same fill go on (None: all)."""
     def run(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["length", "uid"], ascending=[False, True], kind="stable")
         bins, offsets, fill = best_fit(group["length"].tolist(), capacity)
-        under = [b for b in range(len(fill)) if fill[b] < nearly_full * capacity]
-        under = set(sorted(under, key=lambda b: (fill[b], b))[:carried])
         first = group["uid"].to_numpy()[np.unique(bins, return_index=True)[1]]  # a bin is named by its first item
-        bins = np.array(bins)
+        bins, fill = np.array(bins), np.array(fill)
+        by_fill = np.argsort(fill, kind="stable")
+        place = np.arange(len(fill)) - np.searchsorted(fill[by_fill], fill[by_fill])
+        goes_on = np.zeros(len(fill), dtype=bool)
+        goes_on[by_fill] = place < (len(fill) if of_each_fill is None else of_each_fill)
+        goes_on &= fill < nearly_full * capacity
         return pd.DataFrame({"part": group["part"].to_numpy(), "uid": group["uid"].to_numpy(), "bin": first[bins],
-                             "place": offsets, "fill": np.array(fill)[bins],
-                             "goes_on": np.isin(bins, list(under))})
+                             "place": offsets, "fill": fill[bins], "goes_on": goes_on[bins]})
     return run
 
 
 PACKED = "part bigint, uid bigint, bin bigint, place bigint, fill bigint, goes_on boolean"
 
 
-def pack(items: DataFrame, capacity: int = LENGTH) -> DataFrame:
-    """(uid, sequence_id, offset) for items (uid, length), uid unique, length 1 to ``capacity``."""
-    size = F.col("length")
+def pack(items: DataFrame, capacity: int = LENGTH, pieces_a_part: int | None = None,
+         fan: int | None = None, carry_all: bool = False) -> DataFrame:
+    """(uid, sequence_id, offset) for items (uid, length), uid unique, length 1 to
+    ``capacity``. ``carry_all`` carries every underfull bin to the end, for comparison."""
+    size, fan = F.col("length"), fan or FAN
     alone = items.where(size == capacity).select("uid", F.col("uid").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     rest = items.where(size < capacity).select("uid", size.cast("long").alias("length"))
-    parts = max(1, -(-rest.count() // PIECES))
+    parts = max(1, -(-rest.count() // (pieces_a_part or PIECES)))
+    to_come = 0      # rounds after the first
+    while fan ** to_come < parts:
+        to_come += 1
     level = rest.withColumn("part", F.pmod(F.xxhash64("uid"), F.lit(parts)).cast("long"))
     rounds = []
     while True:
-        last = parts == 1
-        packed = stage(level.groupBy("part").applyInPandas(
-            _pack(capacity, 0 if last else CARRIED, NEARLY_FULL), PACKED), "round")
+        carried = None if carry_all and to_come else fan * to_come
+        packed = stage(level.groupBy("part").applyInPandas(_pack(capacity, carried, NEARLY_FULL), PACKED), "round")
         rounds.append(packed)
-        if last:
+        if not to_come:
             break
-        parts = -(-parts // FAN)
+        to_come -= 1
         level = (packed.where("goes_on").select("bin", "fill", "part").distinct()
                  .select(F.col("bin").alias("uid"), F.col("fill").alias("length"),
-                         F.expr(f"part div {FAN}").alias("part")))
+                         F.expr(f"part div {fan}").alias("part")))
     # from the last round down: where each bin of the round before lies
     final = rounds[-1].select("uid", F.col("bin").alias("sequence_id"), F.col("place").alias("offset"))
     for r in reversed(rounds[:-1]):
