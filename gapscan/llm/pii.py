@@ -8,7 +8,8 @@ raise it. Kinds marked ``base`` stay whatever their score; the others need
 ``MIN_SCORE``.
 
 Positions are code points, end exclusive. They come from the lengths of the
-matches and of the text between them (``split`` by the same pattern).
+matches and of the text between them (``split`` by the same pattern). Time is
+in proportion to a text and its spans (times the logarithm of their number).
 
 Defined cases: a null or empty text has no spans (an empty array); spans of
 different kinds may overlap; equal texts give equal spans. Only the text
@@ -27,7 +28,6 @@ from gapscan.llm.common import documents, let
 NEAR = 48
 MIN_SCORE = 0.5
 CONTEXT_BONUS = 0.3
-SPAN = "array<struct<start:bigint,end:bigint,value:string>>"
 
 
 @dataclass(frozen=True)
@@ -102,39 +102,67 @@ def valid(kind: str, value: Column) -> Column:
     return F.lit(True)
 
 
-def proposed(text: Column, pattern: str) -> Column:
-    """Spans (start, end, value) of all matches of ``pattern``."""
-    def place(ms: Column) -> Column:
-        gaps = F.slice(F.split(text, pattern, -1), F.lit(1), F.size(ms))
-        start = F.struct(F.lit(0).cast("long").alias("at"), F.expr(f"cast(array() as {SPAN})").alias("out"))
-        def step(acc: Column, x: Column) -> Column:
-            begin = acc["at"] + F.length(x["gap"])
-            end = begin + F.length(x["value"])
-            span = F.struct(begin.alias("start"), end.alias("end"), x["value"].alias("value"))
-            return F.struct(end.alias("at"), F.concat(acc["out"], F.array(span)).alias("out"))
-        pairs = F.zip_with(gaps, ms, lambda g, m: F.struct(g.alias("gap"), m.alias("value")))
-        return F.aggregate(pairs, start, step, lambda acc: acc["out"])
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    return let(found, lambda ms: F.when(F.size(ms) > 0, place(ms))
-               .otherwise(F.expr(f"cast(array() as {SPAN})")))
+def running_totals(numbers: Column) -> Column:
+    """Totals up to each element of an array, by doubling: after the step of 2^k
+    an element holds the sum of the last 2^(k + 1). The work is n log n."""
+    def total(ns: Column) -> Column:
+        def added(s: Column, k: Column) -> Column:
+            step = F.pow(F.lit(2), k).cast("int")
+            return F.transform(s, lambda x, i: x + F.when(i >= step, F.get(s, i - step)).otherwise(0))
+        rounds = F.sequence(F.lit(0), F.ceil(F.log2(F.size(ns))).cast("int") - 1)
+        return F.when(F.size(ns) > 1, F.aggregate(rounds, ns, added)).otherwise(ns)
+    return let(numbers, total)
+
+
+# The least length of a match of any pattern: so many matches fill NEAR characters.
+LEAST_MATCH = 4
+NEIGHBOURS = NEAR // LEAST_MATCH
 
 
 def spans_of(text: Column, kind: Kind, rank: int) -> Column:
-    """Confirmed and scored spans of one kind: (start, rank, kind, end, value, score)."""
-    def scored(s: Column) -> Column:
-        before = F.greatest(s["start"] - NEAR, F.lit(0))
-        left = F.substring(text, (before + 1).cast("int"), (s["start"] - before).cast("int"))
-        right = F.substring(text, (s["end"] + 1).cast("int"), F.lit(NEAR))
-        bonus = F.when(left.rlike(kind.context) | right.rlike(kind.context), CONTEXT_BONUS).otherwise(0.0)
-        return F.struct(s["start"].alias("start"), F.lit(rank).alias("rank"), F.lit(kind.name).alias("kind"),
-                        s["end"].alias("end"), s["value"].alias("value"),
-                        (F.lit(kind.score) + bonus).alias("score"))
-    spans = F.filter(proposed(text, kind.pattern), lambda s: valid(kind.name, s["value"]))
-    spans = F.transform(spans, scored)
-    if not kind.base:
-        spans = F.filter(spans, lambda s: s["score"] >= MIN_SCORE)
+    """Confirmed and scored spans of one kind: (start, rank, kind, end, value, score).
+
+    The text falls into gaps and matches in turn. Places are running totals of
+    their lengths. The NEAR characters on either side of a span are the ends of
+    the gaps and matches beside it, at most ``NEIGHBOURS`` of each, so no span
+    looks at the whole text and the time follows the number of spans.
+    """
     none = F.expr("cast(array() as array<struct<start:bigint,rank:int,kind:string,"
                   "end:bigint,value:string,score:double>>)")
+    tail = lambda c: F.right(c, F.lit(NEAR))
+    head = lambda c: F.left(c, F.lit(NEAR))
+
+    def place(parts: Column) -> Column:
+        ms, gaps = parts["matches"], parts["gaps"]
+        # gap, match, gap, match, ...: as they end, and as they begin after a match
+        ending = F.flatten(F.zip_with(F.slice(gaps, F.lit(1), F.size(ms)), ms, lambda g, m: F.array(tail(g), tail(m))))
+        beginning = F.flatten(F.zip_with(
+            F.slice(gaps, F.lit(2), F.size(ms)), F.concat(F.slice(ms, F.lit(2), F.size(ms)), F.array(F.lit(""))),
+            lambda g, m: F.array(head(g), head(m))))
+        lengths = F.zip_with(F.slice(gaps, F.lit(1), F.size(ms)), ms,
+                             lambda g, m: (F.length(g) + F.length(m)).cast("long"))
+        known = F.struct(ms.alias("matches"), running_totals(lengths).alias("ends"),
+                         ending.alias("ending"), beginning.alias("beginning"))
+        return let(known, confirmed)
+
+    def confirmed(k: Column) -> Column:
+        def scored(value: Column, i: Column) -> Column:
+            # up to the gap before span i, and from the gap after it
+            first = F.greatest(2 * i - 2 * NEIGHBOURS, F.lit(0))
+            left = tail(F.array_join(F.slice(k["ending"], first + 1, 2 * i + 1 - first), ""))
+            right = head(F.array_join(F.slice(k["beginning"], 2 * i + 1, F.lit(2 * NEIGHBOURS + 1)), ""))
+            bonus = F.when(left.rlike(kind.context) | right.rlike(kind.context), CONTEXT_BONUS).otherwise(0.0)
+            end = F.get(k["ends"], i)
+            return F.struct((end - F.length(value)).alias("start"), F.lit(rank).alias("rank"),
+                            F.lit(kind.name).alias("kind"), end.alias("end"), value.alias("value"),
+                            (F.lit(kind.score) + bonus).alias("score"))
+        spans = F.transform(k["matches"], lambda m, i: F.when(valid(kind.name, m), scored(m, i)))
+        least = 0.0 if kind.base else MIN_SCORE
+        return F.filter(spans, lambda s: s.isNotNull() & (s["score"] >= least))
+
+    found = F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0))
+    spans = let(found, lambda ms: F.when(F.size(ms) > 0, let(
+        F.struct(ms.alias("matches"), F.split(text, kind.pattern, -1).alias("gaps")), place)).otherwise(none))
     return F.when(F.contains(text, F.lit(kind.hint)), spans).otherwise(none) if kind.hint else spans
 
 

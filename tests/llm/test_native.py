@@ -6,6 +6,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from gapscan.llm import fingerprints, mixing, pii, quality
 
@@ -121,6 +122,38 @@ def test_pii_very_long_runs(spark, write_docs):
         assert r["base_sha256"] == hashlib.sha256(joined.encode()).hexdigest()
 
 
+def test_pii_scores_from_the_neighbourhood(spark):
+    """Scores by context words within reach, however many spans stand between."""
+    import random
+    rnd = random.Random(8)
+    parts = ["1.2.3.4", "10.0.0.255", "300.1.1.1", "a@b.c", "x.y@host.example", "+1 555 123 4567", "+1234567890", " ", " ",
+             ", ", "host", " server ", "call", "mail to ", " e-mail", "lorem ipsum dolor sit amet ", "é" * 47, "ip",
+             "4111 1111 1111 1111", "4111111111111112", "card", "\n", "DE89370400440532013000", "123-45-6789", "SSN"]
+    texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 60))) for _ in range(300)] + [None, ""]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.find_pii(df).collect():
+        text = r["text"] or ""
+        for kind in pii.KINDS:
+            got = [(s["start"], s["end"], round(s["score"], 2)) for s in r["pii"] if s["kind"] == kind.name]
+            for start, end, score in got:
+                near = text[max(start - 48, 0):start], text[end:end + 48]
+                more = any(re.search(kind.context, x) for x in near)
+                assert score == round(kind.score + 0.3 * more, 2), (kind.name, start, text)
+
+
+def test_pii_time_follows_the_spans(spark):
+    """Ten times the spans of a text take about ten times as long."""
+    import time
+    took = {}
+    for n in (1000, 10_000, 100_000):
+        df = spark.createDataFrame([(0, "10.1.2.3 at a@b.cd, " * (n // 2))], "doc_id long, text string")
+        t = time.perf_counter()
+        row = pii.find_pii(df).select(F.size("pii"), F.element_at("pii", -1)).first()
+        took[n] = time.perf_counter() - t
+        assert row[0] == n and row[1]["end"] == 10 * n - 2
+    assert took[100_000] < 30 * max(took[10_000], 0.5)
+
+
 def stats(text):
     ws = WORD.findall(text or "")
     grams = [tuple(ws[i:i + 3]) for i in range(len(ws) - 2)]
