@@ -7,27 +7,29 @@ are deleted from the later document (the one with the larger doc_id).
 Finding pairs. Lines are compared trimmed, blank lines do not count. A line
 that several documents hold is *shared*. A block can only lie in a run of
 consecutive shared lines of its document, so lines in runs of fewer than
-``MIN_WORDS`` words are set aside first; this loses no block. A *rare* line
-(in at most ``RARE`` documents) links each of its documents to the one before
-it and to the first one. Blocks of more frequent lines are found through
-*windows*: the shortest stretches of consecutive lines from each line on, and up
-to each line, that have ``MIN_WORDS`` words. Every common block is covered by
+``MIN_WORDS`` words are set aside first; this loses no block. What is left is cut
+into *windows*: the shortest stretches of consecutive lines from each line on, and
+up to each line, that have ``MIN_WORDS`` words. Every common block is covered by
 windows that lie in it: those from its lines on reach the last place where a
-window can start, and the one up to its last line starts there. A window
-links each of its documents to the first one that holds it, so no block is
-missed. A line or window of n documents makes fewer than 2n links, never all
-pairs, and none is skipped for being frequent.
-
-Aligning. A pair needs only the viable shared lines of its two documents
-(hash, place, words), so texts do not move. Patience diff anchors on lines
-that occur once on either side (where there are none, on the k-th occurrence
-of each line), takes the longest increasing chain, grows it over equal
-neighbours, and repeats between anchors. Matched lines that are consecutive
-in both documents form blocks. The windows of the later document that the
-earlier one holds and that are not yet gone are aligned again, so that blocks in
-another order are found too; where an alignment finds nothing new (overlapping
-blocks, lines repeated many times), they go as they are. So what goes are the
-lines of all maximal common runs of at least ``MIN_WORDS`` words.
+window can start, and the one up to its last line starts there. Documents meet
+at the rarest line of each window, where those that hold the whole window are
+linked to the first of them. A window of n documents makes n - 1 links, never
+all pairs, none is skipped for being frequent, and no block is missed.
+
+Aligning. A pair needs only the windows that it shares, their places in the
+later document and where they begin in the earlier one; an earlier document that
+many others link to is not copied beyond that, and texts do not move. Patience
+diff over the windows in order anchors on those that occur once on either side
+(where there are none, on the k-th occurrence of each), takes the longest
+increasing chain, grows it over equal neighbours, and repeats between anchors.
+Lines of matched windows are common blocks in order; lines of the windows that
+are left stand in another order or are repeated (*moved*). Both are deleted, so
+what goes is all lines of all maximal common runs of at least ``MIN_WORDS``
+words.
+
+Lines are told apart by a 64-bit hash. Two unlike lines of n distinct ones agree
+with a chance of about n^2 / 2^65; a deletion needs all lines of a window to
+agree, for windows of two lines a chance of the square of that.
 The lines to delete are gathered per document and applied in one join with the
 texts.
 
@@ -53,7 +55,6 @@ from gapscan.llm.common import SPACE_RUN, SPACES, documents
 from gapscan.staging import stage
 
 MIN_WORDS = 30
-RARE = 32
 
 KEY = ["doc_id", "tie"]
 
@@ -115,43 +116,47 @@ def windows(lines: list[tuple], min_words: int) -> list[tuple[int, int, tuple]]:
             for i, end in sorted(up_to.union(_spans(lines, min_words)))]
 
 
-def _unpack(xs: list[dict]) -> list[tuple]:
-    return [(x["nth"], x["at"], x["h"], x["words"]) for x in xs]
-
-
-def _window_hashes(min_words: int):
-    """Arrow task: a document a row -> (w, doc_id, tie), once for each of its windows."""
+def _places(min_words: int):
+    """Arrow task: a document a row -> a row for each of its windows: its rarest
+    line, its hash, where it begins each time, and the places of its lines."""
     def run(batches):
         for b in batches:
             rows = []
             for doc_id, tie, lines in zip(*(b.column(i).to_pylist() for i in range(3))):
-                found = {xxhash.xxh64_intdigest(np.array(hs, dtype="<i8").tobytes())
-                         for _, _, hs in windows(_unpack(lines), min_words)}
-                rows += [(w, doc_id, tie) for w in found]
-            hashes, ids, ties = zip(*rows) if rows else ((), (), ())
+                lines = [(x["nth"], x["at"], x["h"], x["words"], x["n"]) for x in lines]
+                own: dict[int, tuple] = {}
+                for i, end, hs in windows(lines, min_words):
+                    w = xxhash.xxh64_intdigest(np.array(hs, dtype="<i8").tobytes())
+                    if w not in own:
+                        own[w] = (min((x[4], x[2]) for x in lines[i:end])[1], [], [])
+                    own[w][1].append(lines[i][0])
+                    own[w][2].append([x[1] for x in lines[i:end]])
+                rows += [(rare, w, doc_id, tie, froms, ats) for w, (rare, froms, ats) in own.items()]
+            if not rows:
+                continue
+            rare, ws, ids, ties, froms, ats = zip(*rows)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.array(hashes, dtype=np.uint64).view(np.int64)), pa.array(ids, pa.int64()),
-                 pa.array(ties, pa.int64())], ["w", *KEY])
+                [pa.array(rare, pa.int64()), pa.array(np.array(ws, dtype=np.uint64).view(np.int64)),
+                 pa.array(ids, pa.int64()), pa.array(ties, pa.int64()), pa.array(froms, pa.list_(pa.int32())),
+                 pa.array(ats, pa.list_(pa.list_(pa.int32())))], ["rare", "w", *KEY, "froms", "ats"])
     return run
 
 
-def document_pairs(viable: DataFrame, held: DataFrame, min_words: int, rare: int) -> DataFrame:
-    """(later, earlier) documents that a rare line or a window links, once each."""
-    doc = F.struct(*KEY)
-    # occurrences bound the number of documents
-    few = viable.where(F.col("n") <= rare)
-    to_first = few.where(doc != F.col("first")).select(doc.alias("later"), F.col("first").alias("earlier"))
-    before = F.lag("doc").over(Window.partitionBy("h").orderBy("doc"))
-    to_previous = (few.select("h", doc.alias("doc")).distinct()
-                   .select(F.col("doc").alias("later"), before.alias("earlier")).where("earlier is not null"))
+def shared_windows(viable: DataFrame, min_words: int) -> DataFrame:
+    """(doc_id, tie, earlier, windows): for each document and each first holder of
+    any of its windows, those windows (w, froms, ats, begins)."""
+    line = F.struct("nth", "at", "h", "words", "n")
+    held = viable.groupBy(*KEY).agg(F.sort_array(F.collect_list(line)).alias("lines"))
     found = stage(held.select(*KEY, "lines").mapInArrow(
-        _window_hashes(min_words), "w bigint, doc_id bigint, tie bigint"), "windows")
-    # staged for the same reason as the shared lines
-    first = stage(found.groupBy("w").agg(F.min(doc).alias("first"), F.count(F.lit(1)).alias("n"))
-                  .where("n > 1").select("w", "first"), "first")
-    by_window = (found.join(first, "w").where(doc != F.col("first"))
-                 .select(doc.alias("later"), F.col("first").alias("earlier")))
-    return to_first.unionByName(to_previous).unionByName(by_window).distinct()
+        _places(min_words), "rare bigint, w bigint, doc_id bigint, tie bigint, froms array<int>, ats array<array<int>>"),
+        "windows")
+    doc = F.struct(*KEY)
+    # staged, so that a very common window can be split over tasks
+    first = stage(found.groupBy("rare", "w").agg(F.min(F.struct(*KEY, "froms")).alias("first"), F.count(F.lit(1)).alias("n"))
+                  .where("n > 1").select("rare", "w", F.struct("first.doc_id", "first.tie").alias("earlier"),
+                                         F.col("first.froms").alias("begins")), "first")
+    later = found.join(first, ["rare", "w"]).where(doc != F.col("earlier"))
+    return later.groupBy(*KEY, "earlier").agg(F.collect_list(F.struct("w", "froms", "ats", "begins")).alias("windows"))
 
 
 def _chain(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -209,74 +214,63 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(matched)
 
 
-def aligned_blocks(a: list[tuple], b: list[tuple], min_words: int) -> list[int]:
-    """Places (``at``) of a's lines in the blocks of at least ``min_words``
-    words of one alignment."""
-    out, block = [], []
-
-    def close():
-        if sum(a[i][3] for i, _ in block) >= min_words:
-            out.extend(a[i][1] for i, _ in block)
-        block.clear()
-    for i, j in patience([x[2] for x in a], [x[2] for x in b]):
-        if block and not (a[i][0] == a[block[-1][0]][0] + 1 and b[j][0] == b[block[-1][1]][0] + 1):
-            close()
-        block.append((i, j))
-    close()
-    return out
-
-
-def common_blocks(a: list[tuple], b: list[tuple], min_words: int) -> list[int]:
-    """Places (``at``) of a's lines in common blocks of at least ``min_words``
-    words; a and b are (nth, at, h, words) in order. Each round aligns the
-    lines of a, and those of b, that lie in a window both documents hold and
-    that has not gone from a."""
-    def inside(lines, found):
-        return [lines[i] for i in sorted({i for x, y, _ in found for i in range(x, y)})]
-    out, of_b = set(), windows(b, min_words)
-    keys_b = {hs for _, _, hs in of_b}
-    left = [w for w in windows(a, min_words) if w[2] in keys_b]
-    while left:
-        keys = {hs for _, _, hs in left}
-        mine = inside(a, left)
-        new = set(aligned_blocks(mine, inside(b, [w for w in of_b if w[2] in keys]), min_words)) - out
-        out |= new or {x[1] for x in mine}
-        left = [w for w in left if any(a[i][1] not in out for i in range(w[0], w[1]))]
-    return sorted(out)
-
-
-def _align(min_words: int):
-    """Arrow task: a pair of documents a row -> (doc_id, tie, at) to delete."""
-    def run(batches):
-        for b in batches:
-            rows = []
-            for doc_id, tie, mine, theirs in zip(*(b.column(i).to_pylist() for i in range(4))):
-                rows += [(doc_id, tie, at) for at in common_blocks(_unpack(mine), _unpack(theirs), min_words)]
-            ids, ties, ats = zip(*rows) if rows else ((), (), ())
+def aligned(shared: list[tuple[int, list, list, list]]) -> tuple[set[int], set[int]]:
+    """Places of the later document's lines in common blocks: those of windows
+    that the alignment matches, and the others. ``shared`` holds (window, where it
+    begins in the later document, the places of its lines each time, where it
+    begins in the earlier document)."""
+    mine = sorted((begin, w, ats) for w, froms, lines, _ in shared for begin, ats in zip(froms, lines))
+    theirs = sorted((begin, w) for w, _, _, begins in shared for begin in begins)
+    matched = {i for i, _ in patience([w for _, w, _ in mine], [w for _, w in theirs])}
+    in_order = {at for i in matched for at in mine[i][2]}
+    return in_order, {at for _, _, ats in mine for at in ats} - in_order
+
+
+def common_blocks(a: list[tuple], b: list[tuple], min_words: int) -> tuple[set[int], set[int]]:
+    """``aligned`` for two documents given by their lines (nth, at, hash, words)."""
+    begins: dict[tuple, list[int]] = {}
+    for i, _, hs in windows(b, min_words):
+        begins.setdefault(hs, []).append(b[i][0])
+    own: dict[tuple, tuple[list, list]] = {}
+    for i, end, hs in windows(a, min_words):
+        if hs in begins:
+            froms, ats = own.setdefault(hs, ([], []))
+            froms.append(a[i][0])
+            ats.append([x[1] for x in a[i:end]])
+    number = {hs: k for k, hs in enumerate(own)}
+    return aligned([(number[hs], froms, ats, begins[hs]) for hs, (froms, ats) in own.items()])
+
+
+def _align(batches):
+    """Arrow task: a pair of documents a row -> (doc_id, tie, at, moved) to delete."""
+    for b in batches:
+        rows = []
+        for doc_id, tie, shared in zip(*(b.column(i).to_pylist() for i in range(3))):
+            found = aligned([(x["w"], x["froms"], x["ats"], x["begins"]) for x in shared])
+            rows += [(doc_id, tie, at, moved) for ats, moved in zip(found, (False, True)) for at in ats]
+        if rows:
+            ids, ties, ats, moved = zip(*rows)
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(ties, pa.int64()),
-                                              pa.array(ats, pa.int32())], [*KEY, "at"])
-    return run
+                                              pa.array(ats, pa.int32()), pa.array(moved)], [*KEY, "at", "moved"])
 
 
-def lines_to_delete(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE) -> DataFrame:
-    """(doc_id, tie, deleted): the places of the lines that go, for each document that loses any."""
+def lines_to_delete(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, tie, deleted, n_moved): the places of the lines that go, for each
+    document that loses any, and how many of them no alignment has in order."""
     lines = stage(lines_of(docs), "lines")
-    viable = stage(shared_lines(lines, min_words), "shared")
-    line = F.struct("nth", "at", "h", "words")
-    held = stage(viable.groupBy(*KEY).agg(F.sort_array(F.collect_list(line)).alias("lines")), "held")
-    pairs = document_pairs(viable, held, min_words, rare)
-    side = lambda name: held.select(F.struct(*KEY).alias(name), F.col("lines").alias(f"{name}_lines"))
-    both = pairs.join(side("later"), "later").join(side("earlier"), "earlier")
-    gone = both.select("later.doc_id", "later.tie", "later_lines", "earlier_lines").mapInArrow(
-        _align(min_words), "doc_id bigint, tie bigint, at int")
-    return gone.distinct().groupBy(*KEY).agg(F.sort_array(F.collect_list("at")).alias("deleted"))
-
-
-def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE) -> DataFrame:
-    """(row, text, deleted, n_words): every input row as a struct, its text
-    without the deleted lines, their places (null: none) and their words."""
-    gone = lines_to_delete(docs, min_words, rare).select(
-        F.col("doc_id").alias("g_id"), F.col("tie").alias("g_tie"), "deleted")
+    pairs = shared_windows(shared_lines(lines, min_words), min_words)
+    gone = pairs.select(*KEY, "windows").mapInArrow(_align, "doc_id bigint, tie bigint, at int, moved boolean")
+    lost = gone.groupBy(*KEY, "at").agg(F.min("moved").alias("moved"))
+    return lost.groupBy(*KEY).agg(F.sort_array(F.collect_list("at")).alias("deleted"),
+                                  F.count_if("moved").alias("n_moved"))
+
+
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(row, text, deleted, n_moved, n_words): every input row as a struct, its
+    text without the deleted lines, their places (null: none), how many of them
+    moved, and their words."""
+    gone = lines_to_delete(docs, min_words).select(
+        F.col("doc_id").alias("g_id"), F.col("tie").alias("g_tie"), "deleted", "n_moved")
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("id"),
                        F.xxhash64("text").alias("tie"))
     rows = rows.join(gone, (F.col("id") == F.col("g_id")) & (F.col("tie") == F.col("g_tie")), "left")
@@ -288,7 +282,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, rare: int = RARE) -
     rows = rows.withColumn("parts", F.when(F.col("deleted").isNotNull(), F.split(text, "\n")))
     return rows.select(
         "row", F.when(F.col("deleted").isNull(), text).otherwise(F.array_join(left, "\n")).alias("text"),
-        "deleted", F.coalesce(F.regexp_count(F.array_join(lost, "\n"), F.lit(r"[^\x20\x09-\x0D]+")),
+        "deleted", F.coalesce("n_moved", F.lit(0).cast("long")).alias("n_moved"), F.coalesce(F.regexp_count(F.array_join(lost, "\n"), F.lit(r"[^\x20\x09-\x0D]+")),
                               F.lit(0)).cast("long").alias("n_words"))
 
 
@@ -303,6 +297,6 @@ def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
     """Every row of ``documents`` with its remaining text and what it lost."""
     out = dedup_lines(documents(spark, sf_dir))
     return out.select("row.doc_id", F.when(F.col("deleted").isNull(), 0).otherwise(F.size("deleted")).cast("long").alias("n_deleted_lines"),
-                      F.col("n_words").alias("n_deleted_words"),
+                      F.col("n_words").alias("n_deleted_words"), F.col("n_moved").alias("n_moved_lines"),
                       F.coalesce(F.array_join(F.col("deleted").cast("array<string>"), ","), F.lit("")).alias("deleted_lines"),
                       "text")
