@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gapscan.llm.common import (default_pieces, documents, let, order_bounds, segment_of, words)
+from gapscan.llm.common import Segments, default_pieces, documents, let, order_key, segment_starts, words
 
 WIDTH = 5
 SIZE = 256
@@ -96,32 +96,25 @@ def beside_next(docs: DataFrame, pieces: int | None = None) -> DataFrame:
     """(segment, sentinel, doc_id, text, tie, next_text): every document beside its
     successor in ascending doc_id order, the first one following the last.
 
-    The table is cut into segments of the doc_id order, moved once by segment
-    and read with ``lead``. The first document of each segment is also sent to
-    the segment before it as a sentinel row, so no segment needs another.
-    Rows with equal doc_id are ordered by a hash of their text, rows without
-    doc_id come last; when no row has a doc_id the last row's next text is
-    empty. Sentinel rows remain (later windows need them); drop them in the end.
+    The table is cut into segments of the order of doc_id and a hash of the text,
+    moved once by segment and read with ``lead``. The first document of each
+    segment is also sent to the segment before it (of the first one, to the
+    last) as a sentinel row, so no segment needs another. Documents with equal
+    doc_id are spread by the hash; only rows equal in both share a segment.
+    Rows without doc_id come last. Sentinel rows remain (later windows need
+    them); drop them in the end.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.coalesce("text", F.lit("")).alias("text"))
-    bounds = order_bounds(docs, "doc_id", pieces or default_pieces(docs))
-    seg = segment_of(F.col("doc_id"), bounds)
-    per_segment = docs.groupBy(seg.alias("segment")).agg(F.min("doc_id").alias("first")).collect()
-    per_segment = sorted(r for r in per_segment)  # as many rows as there are segments
-    before = {r["first"]: per_segment[i - 1]["segment"]
-              for i, r in enumerate(per_segment) if r["first"] is not None}
-    here = F.struct(seg.alias("segment"), F.lit(False).alias("sentinel"))
-    places = F.array(here)
-    if before:
-        ids = F.col("doc_id").isin(list(before))
-        lookup = F.create_map(*[F.lit(x) for kv in before.items() for x in kv])
-        there = F.struct(F.element_at(lookup, F.col("doc_id")).alias("segment"),
-                         F.lit(True).alias("sentinel"))
-        places = F.when(ids, F.array(here, there)).otherwise(places)
-    rows = (docs.withColumn("place", F.explode(places))
-                .select("place.segment", "place.sentinel", "doc_id", "text",
-                        F.xxhash64("text").alias("tie")))
+    docs = docs.withColumns({"place": order_key(F.col("doc_id")), "tie": F.xxhash64("text")})
+    starts = segment_starts(docs, "place", "tie", pieces or default_pieces(docs))
+    cut = Segments(starts)
+    rows = docs.withColumn("segment", cut.of(F.col("place"), F.col("tie")))
+    here = F.struct(F.col("segment"), F.lit(False).alias("sentinel"))
+    there = F.struct(F.pmod(F.col("segment") - 1, F.lit(max(cut.n, 1))).alias("segment"), F.lit(True).alias("sentinel"))
+    is_start = cut.start_is(F.col("segment"), F.col("place"), F.col("tie"))
+    rows = (rows.withColumn("at", F.explode(F.when(is_start, F.array(here, there)).otherwise(F.array(here))))
+                .select("at.segment", "at.sentinel", "doc_id", "text", "tie"))
     return rows.withColumn("next_text", F.coalesce(F.lead("text").over(in_order()), F.lit("")))
 
 

@@ -8,14 +8,17 @@ all documents before the block), doc_id array<long>, n_tokens array<long>,
 checkpoints array<long> (bit offset of every 256th id), payload binary. Every
 block decodes by itself.
 
-Writing. The document order is cut into segments; texts move once, to their
-segment's task, are tokenized there in order and staged in blocks. Counts are
-summed by id (at most one row per id of the vocabulary reaches the driver,
-which builds the code), then every staged block is encoded where it lies.
-Spark's writers commit the files, so a lost executor costs its own tasks.
+Writing. Texts move once, range-partitioned by document order into segments,
+are tokenized there in order and staged in blocks. Counts are summed by id (at
+most one row per id of the vocabulary reaches the driver, which builds the
+code), then every staged block is encoded where it lies, and the encoded blocks
+are range-partitioned by their place, so that the files in name order are in
+document order. Spark's writers commit the files, so a lost executor costs its
+own tasks.
 
 Defined cases: a null text has only the end id; rows with equal doc_id keep
-the order of a hash of their text, rows without doc_id come last; an empty
+the order of a hash of their text (many of them, or many equal rows, are spread
+over segments), rows without doc_id come last; an empty
 table gives an empty codebook and no blocks; a text longer than a block gets
 a block of its own.
 """
@@ -27,11 +30,11 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gapscan.llm import huffman
-from gapscan.llm.common import default_pieces, documents, order_bounds, segment_of
+from gapscan.llm.common import documents
 from gapscan.llm.tokens import default_tokenizer, encoder, groups_by_bytes
 from gapscan.staging import stage, staging_path
 
@@ -126,33 +129,34 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
                       pieces: int | None = None) -> None:
     """Write the ids of all texts as a dataset at ``path`` (which must not exist)."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    seg = segment_of(F.col("doc_id"), order_bounds(docs, "doc_id", pieces or default_pieces(docs)))
-    ordered = (docs.select(seg.alias("segment"), "doc_id", "text")
-               .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "segment")
-               .sortWithinPartitions("segment", F.col("doc_id").asc_nulls_last(), F.xxhash64("text")))
+    order = [F.col("doc_id").asc_nulls_last(), F.col("tie").asc(), F.col("uid").asc()]
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"),
+                       F.monotonically_increasing_id().alias("uid"))
+    ordered = ((rows.repartitionByRange(pieces, *order) if pieces else rows.repartitionByRange(*order))
+               .sortWithinPartitions(*order)
+               .select(F.spark_partition_id().alias("segment"), "doc_id", "text"))
     blocks = stage(ordered.mapInArrow(_tokenize(tokenizer, end_id), BLOCK), "ids")
     lengths = codebook(blocks.select("ids").mapInArrow(_count, "id int, n bigint"))
     used = [(int(i), int(n)) for i, n in enumerate(lengths) if n]
     spark.createDataFrame(used, "id int, length int").coalesce(1).write.parquet(f"{path}/codebook")
     shared = spark.sparkContext.broadcast(lengths)  # one byte per id of the vocabulary
     coded = blocks.mapInArrow(_encode(shared), FILE)
-    # ids of all segments before each: as many rows as there are segments
+    # ids of all segments before each: a table of as many rows as there are segments
     sizes = (blocks.select("segment", F.aggregate("n_tokens", F.lit(0).cast("long"), lambda a, x: a + x).alias("n"))
-             .groupBy("segment").agg(F.sum("n").alias("n")).collect())
-    total, first = 0, {}
-    for r in sorted(sizes):
-        first[r["segment"]] = total
-        total += r["n"]
-    place = F.element_at(F.create_map(*[F.lit(x) for kv in first.items() for x in kv]), F.col("segment")) \
-        if first else F.lit(0)
-    (coded.select("segment", "block", (F.col("before") + place.cast("long")).alias("start"),
-                  "doc_id", "n_tokens", "checkpoints", "payload").write.parquet(f"{path}/blocks"))
+             .groupBy("segment").agg(F.sum("n").alias("n")))
+    before = F.sum("n").over(Window.orderBy("segment").rowsBetween(Window.unboundedPreceding, -1))
+    first = sizes.select("segment", F.coalesce(before, F.lit(0)).alias("first"))
+    # the staged blocks are read in any order; files are written in that of the documents
+    (coded.join(F.broadcast(first), "segment")
+          .select("segment", "block", (F.col("before") + F.col("first")).alias("start"), "doc_id", "n_tokens",
+                  "checkpoints", "payload")
+          .repartitionByRange("segment", "block").sortWithinPartitions("segment", "block")
+          .write.parquet(f"{path}/blocks"))
 
 
 def _decode(shared):
     names = ["doc_id", "start", "n_tokens", "ids"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.uint32())]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
 
     def run(batches, digest):
         table = huffman.decode_table(shared.value)
@@ -164,7 +168,7 @@ def _decode(shared):
                 if digest:
                     last = [zlib.crc32(memoryview(raw)[4 * a:4 * z]) for a, z in zip(at, at[1:])]
                 else:
-                    last = [ids[a:z] for a, z in zip(at, at[1:])]
+                    last = [ids[a:z].astype(np.int64) for a, z in zip(at, at[1:])]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(docs, types[0]), pa.array(start + at[:-1], types[1]), pa.array(sizes, types[2]),
                      pa.array(last, pa.int64() if digest else types[3])], [*names[:3], "ids_crc32" if digest else "ids"])
