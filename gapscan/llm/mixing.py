@@ -5,7 +5,7 @@ a source's target stops at ``CAP`` times its size, and the excess is shared
 again by weight until no target is above its cap.
 
 Curriculum. A source is read pass after pass in a fixed random order (a hash
-of the document). Its demand over training time t in [0, 1] is the integral of
+of doc_id and text). Its demand over training time t in [0, 1] is the integral of
 a linear weight schedule from ``START`` to ``END`` per weight; a document whose
 words begin after c words of its source gets the position t at which the
 cumulative demand reaches c (the quadratic is inverted in closed form).
@@ -15,7 +15,8 @@ demand is taken in part, so the words taken meet the target.
 Scale. Running totals per source never gather a source in one task: the hash
 order is cut into cells, totals run inside (source, cell), and the cells'
 offsets come from a table of sums. The number of cells follows the number of
-documents.
+shuffle partitions and of documents; rows with equal doc_id are spread by their
+texts.
 
 Defined cases: a null text has size 0 and takes nothing; the null source is a
 source of its own and comes last; repeated rows are documents of their own;
@@ -28,7 +29,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gapscan.llm.common import SPACE_RUN, SPACES, WORD, documents
+from gapscan.llm.common import SPACE_RUN, SPACES, WORD, default_pieces, documents
 from gapscan.staging import stage
 
 SHARE = 1.5
@@ -107,10 +108,12 @@ def plan(docs: DataFrame) -> DataFrame:
     before it in a pass, ``taken`` the words taken over all passes, ``position``
     the time of its first words (null when nothing is taken).
     """
+    tie = F.xxhash64("text")
     base = stage(docs.select("doc_id", "source", size_of(F.col("text")).alias("size"),
-                             F.shiftrightunsigned(F.xxhash64(F.lit("mix"), "doc_id"), 64 - HASH_BITS).alias("h"),
-                             F.xxhash64("text").alias("tie")), "sizes")
-    cells = max(1, -(-base.count() // ROWS_PER_CELL))
+                             F.shiftrightunsigned(F.xxhash64(F.lit("mix"), "doc_id", tie), 64 - HASH_BITS).alias("h"),
+                             tie.alias("tie")), "sizes")
+    # a few cells for every task, so that a hot source keeps all of them busy
+    cells = max(default_pieces(docs), -(-base.count() // ROWS_PER_CELL))
     base = base.withColumn("cell", F.expr(f"cast((h * {cells}L) div {1 << HASH_BITS}L as int)"))
     per_cell = base.groupBy("source", "cell").agg(F.sum("size").alias("cell_size"))
     offset = F.sum("cell_size").over(Window.partitionBy("source").orderBy("cell")
@@ -155,7 +158,8 @@ def mix(docs: DataFrame) -> DataFrame:
     """The mix itself: the input's columns, one row per taken copy of a
     document, range-sorted by training position. A copy taken in part keeps
     its first words, with the white space between them."""
-    key = ["doc_id", "tie"]
+    # rows equal in all three have the same plan, so they may be told apart in any order
+    key = ["doc_id", "tie", "source"]
     nth = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(1)))
     info = plan(docs).withColumn("nth", nth)
     passes = F.array(*[F.struct(F.lit(p).alias("p"), taken_in_pass(
@@ -166,10 +170,10 @@ def mix(docs: DataFrame) -> DataFrame:
                                             F.col("first_at") + F.col("c.p") * F.col("source_size")))
               .select(*[F.col(k).alias(f"k_{k}") for k in key], F.col("nth").alias("k_nth"), "at",
                       F.col("c.n").alias("n"), "size"))
-    left = (docs.select(F.struct("*").alias("row"), F.col("doc_id"), F.xxhash64("text").alias("tie"))
+    left = (docs.select(F.struct("*").alias("row"), "doc_id", F.xxhash64("text").alias("tie"), "source")
                 .withColumn("nth", nth))
-    same = (F.col("doc_id").eqNullSafe(F.col("k_doc_id")) & (F.col("tie") == F.col("k_tie"))
-            & (F.col("nth") == F.col("k_nth")))
+    same = (F.col("doc_id").eqNullSafe(F.col("k_doc_id")) & F.col("source").eqNullSafe(F.col("k_source"))
+            & (F.col("tie") == F.col("k_tie")) & (F.col("nth") == F.col("k_nth")))
     text = F.col("row.text")
     out = left.join(copies, same).select(
         "row", "doc_id", "at",
