@@ -9,6 +9,13 @@ it kept; its result is written as Parquet and read again as the next stage's
 3. simhash: of each group of near duplicates one document stays.
 4. mixing: sources are mixed to their target weights, in training order.
 5. packing: token pieces are packed into sequences.
+
+Defined cases, for any stage as the first one: a null or empty text is a
+document (never toxic by its words, near a copy of any other empty text, of no
+size in the mix); rows without doc_id or source are documents; repeated rows are
+documents of which the third stage keeps one; columns other than doc_id, text,
+source and n_chars pass through whatever their names; an empty table gives empty
+results with the same columns.
 """
 
 from __future__ import annotations
@@ -20,7 +27,7 @@ from gapscan.llm.mixing import mix
 from gapscan.llm.packing import pack_documents
 from gapscan.llm.simhash import keep_one
 from gapscan.llm.toxicity import reject_toxic
-from gapscan.staging import stage
+from gapscan.staging import mark, release, stage
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,8 +64,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, staged in between."""
+    """All stages over ``documents``, staged in between. What a stage had staged,
+    and the documents it read, are deleted once its result is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = mark(spark)
     for name, function in STAGES[:-1]:
         docs = stage(function(spark, docs, sf_dir), name)
+        release(spark, before, keep_last=True)
     return STAGES[-1][1](spark, docs, sf_dir)
