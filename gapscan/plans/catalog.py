@@ -8,6 +8,7 @@ derives from them). Computed columns carry the same names as in
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -516,16 +517,24 @@ def _amount_outliers(rec):
     return rec.join(amounts, [GROUP, "amount"], "left_semi")
 
 
+def _both_detectors(spark, sf_dir, rec):
+    """Rows flagged by each of the two detectors; their staging jobs run side by side."""
+    with ThreadPoolExecutor(2) as pool:
+        surfaces, amounts = pool.submit(FX.rf, spark, sf_dir), pool.submit(_amount_outliers, rec)
+        return surfaces.result(), amounts.result()
+
+
 def q_detector_overlap(spark, sf_dir):
     rec = FX.records(spark, sf_dir)
-    return RP.detector_overlap(rec, FX.rf(spark, sf_dir), _amount_outliers(rec), RECORD_ID)
+    return RP.detector_overlap(rec, *_both_detectors(spark, sf_dir, rec), RECORD_ID)
 
 
 def detector_labels(spark, sf_dir):
     from gapscan.operators.reshape import pivot_wide as pw
     rec = FX.records(spark, sf_dir)
-    wide = pw(FX.rf(spark, sf_dir), [RECORD_ID], "surface", "xx", SURFACES)
-    return RP.detector_labels(rec, wide, _amount_outliers(rec), RECORD_ID, SURFACES)
+    by_surface, by_amount = _both_detectors(spark, sf_dir, rec)
+    wide = pw(by_surface, [RECORD_ID], "surface", "xx", SURFACES)
+    return RP.detector_labels(rec, wide, by_amount, RECORD_ID, SURFACES)
 
 
 QUERIES: dict[str, Query] = {

@@ -47,15 +47,19 @@ UNSCALABLE = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython",
                "FlatMapGroupsInPandas", "SinglePartition")
 
 
+# What is small whatever the tables: the rows before each file, from one row a file.
+ALLOWED = {"ordered_labels": {"SinglePartition"}}
+
+
 def test_queries_run_at_smoke_scale_with_scalable_plans(spark):
     """Every registered query runs; none uses a cross product, a nested-loop
-    join, a Python worker, or a single-partition exchange."""
+    join, a Python worker, or a single-partition exchange (but for ``ALLOWED``)."""
     from gapscan.plans.catalog import QUERIES
     for name, q in QUERIES.items():
         df = q(spark, SF001)
         df.write.format("noop").mode("overwrite").save()
         plan = df._jdf.queryExecution().executedPlan().toString()
-        assert not [n for n in UNSCALABLE if n in plan], name
+        assert not [n for n in UNSCALABLE if n in plan and n not in ALLOWED.get(name, ())], name
 
 
 def test_fixture_has_shared_flagged_cells(spark):
