@@ -2,8 +2,8 @@
 
 Format. A dataset is a folder with two Parquet tables.
 ``codebook``: (id int, length int), one row for each id in use; the lengths
-define the canonical code. ``blocks``: one row per block, written in ascending
-document order: segment int, block int (in the segment), start long (ids of
+define the canonical code. ``blocks``: one row per block, in ascending document
+order, in folders by segment: block int (in the segment), start long (ids of
 all documents before the block), doc_id array<long>, n_tokens array<long>,
 checkpoints array<long> (bit offset of every 256th id), payload binary. Every
 block decodes by itself.
@@ -11,10 +11,11 @@ block decodes by itself.
 Writing. Texts move once, range-partitioned by document order into segments,
 are tokenized there in order and staged in blocks. Counts are summed by id (at
 most one row per id of the vocabulary reaches the driver, which builds the
-code), then every staged block is encoded where it lies, and the encoded blocks
-are range-partitioned by their place, so that the files in name order are in
-document order. Spark's writers commit the files, so a lost executor costs its
-own tasks.
+code), then every staged block is encoded where it lies and written to the
+folder of its segment. Folders in name order are in document order, and so are
+the blocks of each (a staged file of several row groups may give its folder
+several files, which ``block`` orders). Spark's writers commit the files, so a
+lost executor costs its own tasks.
 
 Defined cases: a null text has only the end id; rows with equal doc_id keep
 the order of a hash of their text (many of them, or many equal rows, are spread
@@ -146,12 +147,11 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
              .groupBy("segment").agg(F.sum("n").alias("n")))
     before = F.sum("n").over(Window.orderBy("segment").rowsBetween(Window.unboundedPreceding, -1))
     first = sizes.select("segment", F.coalesce(before, F.lit(0)).alias("first"))
-    # the staged blocks are read in any order; files are written in that of the documents
+    # the staged blocks are read in any order; folders are named in that of the documents
     (coded.join(F.broadcast(first), "segment")
-          .select("segment", "block", (F.col("before") + F.col("first")).alias("start"), "doc_id", "n_tokens",
-                  "checkpoints", "payload")
-          .repartitionByRange("segment", "block").sortWithinPartitions("segment", "block")
-          .write.parquet(f"{path}/blocks"))
+          .select(F.format_string("%06d", "segment").alias("segment"), "block",
+                  (F.col("before") + F.col("first")).alias("start"), "doc_id", "n_tokens", "checkpoints", "payload")
+          .sortWithinPartitions("segment", "block").write.partitionBy("segment").parquet(f"{path}/blocks"))
 
 
 def _decode(shared):
