@@ -58,9 +58,10 @@ def staged_table(spark, label: str) -> tuple[str, str]:
     return name, staging_path(spark, label, name)
 
 
-def drop_staged(spark, since: int = 0) -> int:
+def drop_staged(spark, since: int | None = None) -> int:
     """Delete all that this process staged in this application (no other
-    session's), from the place ``since`` on (``staging.mark``). Returns how many folders."""
+    session's), or with ``since`` (``staging.mark``) what this thread staged
+    after it. Returns how many folders."""
     return release(spark, since)
 
 

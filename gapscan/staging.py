@@ -9,7 +9,10 @@ catalog entry, which ``segments.drop_staged`` removes with the files.
 
 from __future__ import annotations
 
+import itertools
+import threading
 import uuid
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,12 +20,21 @@ from gapscan.session import ensure_checkpoint_dir
 
 PREFIX = "gapscan-staged-"
 
-# What this process staged, in order, by Spark application: paths and bucketed
-# tables (with their catalog names).
-_STAGED: dict[str, list[tuple[str, str | None]]] = {}
+_NUMBERS = itertools.count(1)
 
 
-def _entries(spark: SparkSession) -> list[tuple[str, str | None]]:
+class _Entry(NamedTuple):
+    number: int          # in the order of staging
+    thread: int
+    path: str
+    table: str | None    # of a bucketed table
+
+
+# What this process staged, by Spark application.
+_STAGED: dict[str, list[_Entry]] = {}
+
+
+def _entries(spark: SparkSession) -> list[_Entry]:
     return _STAGED.setdefault(spark.sparkContext.applicationId, [])
 
 
@@ -30,7 +42,7 @@ def staging_path(spark: SparkSession, label: str = "table", table: str | None =
     """A new path below the shared folder; ``release`` deletes what is written
     there, and drops the catalog table ``table`` if one is named."""
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{PREFIX}{label}-{uuid.uuid4().hex}"
-    _entries(spark).append((path, table))
+    _entries(spark).append(_Entry(next(_NUMBERS), threading.get_ident(), path, table))
     return path
 
 
@@ -53,22 +65,31 @@ def delete_path(spark: SparkSession, path: str) -> bool:
 
 
 def mark(spark: SparkSession) -> int:
-    """The present place in the list of staged tables, for ``release``."""
-    return len(_entries(spark))
+    """A point in time: ``release`` deletes what is staged after it."""
+    return next(_NUMBERS)
+
+
+def staged_paths(spark: SparkSession) -> list[str]:
+    """Paths of the tables staged in this application that are not released yet."""
+    return [e.path for e in _entries(spark)]
 
 
-def release(spark: SparkSession, since: int = 0, keep_last: bool = False) -> int:
-    """Delete the tables this process staged in this application (only those),
-    from the place ``since`` on; with ``keep_last`` all but the newest.
+def release(spark: SparkSession, since: int | None = None, keep_last: bool = False) -> int:
+    """Delete tables that this process staged in this application (only those).
 
+    With ``since`` (a ``mark``) only those that this thread staged after it, so
+    that queries side by side keep theirs; with ``keep_last`` all but the newest.
     Call it after the results that read them have been written. Returns how
     many folders were deleted.
     """
     entries = _entries(spark)
-    end = len(entries) - keep_last
-    spent = entries[since:end]
-    del entries[since:end]
-    for _, table in spent:
-        if table:
-            spark.sql(f"DROP TABLE IF EXISTS {table}")
-    return sum(delete_path(spark, path) for path, _ in spent)
+    spent = [e for e in list(entries) if since is None or (e.number > since and e.thread == threading.get_ident())]
+    if keep_last:
+        spent = spent[:-1]
+    deleted = 0
+    for e in spent:
+        entries.remove(e)
+        if e.table:
+            spark.sql(f"DROP TABLE IF EXISTS {e.table}")
+        deleted += delete_path(spark, e.path)
+    return deleted

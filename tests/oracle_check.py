@@ -2,7 +2,8 @@
 
     python tests/oracle_check.py [sf_dir] [name ...]
 
-Compares column names, row count and the sorted rows (exact values).
+Compares column names, row count and the sorted rows (exact values). A few
+queries run side by side, as small jobs leave most cores idle.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ import math
 import os
 import sys
 import time
+from concurrent.futures import ThreadPoolExecutor
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
@@ -46,20 +48,25 @@ def rows_of(pdf):
     return cols, sorted(out, key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r))
 
 
-def compare(spark, sf_dir, names=None):
+def compare(spark, sf_dir, names=None, threads=4):
     import __spark_entry__ as E
     qs, sql = E.queries(), E.oracle_sql()
     con = duck(sf_dir)
     bad = []
-    for name in names or list(qs):
+
+    def ran(name):
         t = time.time()
         try:
-            sdf = qs[name](spark, sf_dir).toPandas()
+            return qs[name](spark, sf_dir).toPandas(), time.time() - t
         except Exception as e:  # noqa: BLE001
-            print(f"{name:28s} SPARK ERROR {e!r}"[:400])
+            return e, 0.0
+    names = list(names or qs)
+    pool = ThreadPoolExecutor(threads)
+    for name, (sdf, ts) in zip(names, pool.map(ran, names)):
+        if isinstance(sdf, Exception):
+            print(f"{name:28s} SPARK ERROR {sdf!r}"[:400])
             bad.append(name)
             continue
-        ts = time.time() - t
         if name not in sql:
             print(f"{name:28s} rows={len(sdf)} (no oracle) {ts:.1f}s")
             continue

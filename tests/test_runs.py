@@ -124,3 +124,21 @@ def test_positions_of_decimal_shares(spark):
     ten = spark.range(1, 11).select(F.lit(0).alias("k"), F.col("id").cast("double").alias("v"))
     got = quantiles_disc(ten, ["k"], "v", {"a": 0.7, "b": 0.1, "c": 0.55, "d": 1.0}).first()
     assert (got.a, got.b, got.c, got.d) == (7.0, 1.0, 6.0, 10.0)
+
+
+def test_release_is_by_thread_and_time(spark):
+    """A release since a mark leaves what was staged before, and by other threads."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    from gapscan import staging as S
+    S.release(spark)
+    early = S.stage(spark.range(3), "early")
+    before = S.mark(spark)
+    with ThreadPoolExecutor(1) as pool:
+        other = pool.submit(S.stage, spark.range(4), "other").result()
+    S.stage(spark.range(5), "mine")
+    newest = S.stage(spark.range(6), "newest")
+    assert S.release(spark, before, keep_last=True) == 1
+    assert (early.count(), other.count(), newest.count()) == (3, 4, 6)
+    assert S.release(spark, before) == 1 and len(S.staged_paths(spark)) == 2
+    assert S.release(spark) == 2 and S.staged_paths(spark) == []
