@@ -6,7 +6,9 @@ of documents per value of each measure: an equi-width quantile sketch with at
 most ``TOP + 1`` cells, merged by adding counts, the same on every rerun and
 independent of the order of rows. The quartiles of each group give its upper
 fence ``q3 + SPREAD * max(q3 - q1, slack)``; a document beyond a fence of its
-own group fails. A fixed base rule (too few words, mostly repeated words)
+own group fails. Fences are upper ones: a document far below its group (words
+shorter than usual) passes. The slack is a fixed floor of the spread, so in a
+group of very even documents it acts like a fixed cutoff. A fixed base rule (too few words, mostly repeated words)
 fails documents before they enter a sketch, so junk does not widen a fence.
 
 Defined cases: a null or blank text has no words and fails the base rule;
