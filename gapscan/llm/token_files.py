@@ -44,6 +44,8 @@ BLOCK_IDS = 1 << 16
 BLOCK = ("segment int, block int, before bigint, doc_id array<bigint>, n_tokens array<bigint>, ids binary")
 FILE = ("segment int, block int, before bigint, doc_id array<bigint>, n_tokens array<bigint>, "
         "checkpoints array<bigint>, payload binary")
+# What is read of a written block.
+BLOCKS = ("start bigint, doc_id array<bigint>, n_tokens array<bigint>, checkpoints array<bigint>, payload binary")
 
 
 def _batch(rows: list[tuple], names: list[str], types: list[pa.DataType]) -> pa.RecordBatch:
@@ -184,7 +186,8 @@ def read_token_files(spark, path: str, digest: bool = False) -> DataFrame:
         lengths[r["id"]] = r["length"]
     shared = spark.sparkContext.broadcast(lengths)
     run = _decode(shared)
-    blocks = spark.read.parquet(f"{path}/blocks").select("start", "doc_id", "n_tokens", "checkpoints", "payload")
+    # with its schema, as an empty table has no file
+    blocks = spark.read.schema(BLOCKS).parquet(f"{path}/blocks")
     last = "ids_crc32 bigint" if digest else "ids array<bigint>"
     return blocks.mapInArrow(lambda it: run(it, digest), f"doc_id bigint, start bigint, n_tokens bigint, {last}")
 
