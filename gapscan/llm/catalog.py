@@ -7,7 +7,7 @@ from gapscan.llm.conversations import op13_repair
 from gapscan.llm.fingerprints import op1_fingerprints
 from gapscan.llm.line_dedup import op4_line_dedup
 from gapscan.llm.mixing import op5_mix
-from gapscan.llm.oracle import OP3_SQL, OP9_SQL, OP11_SQL
+from gapscan.llm.oracle import OP3_SQL, OP9_SQL, OP11_SQL, OP13_SQL
 from gapscan.llm.packing import op10_pack
 from gapscan.llm.pii import op2_pii
 from gapscan.llm.quality import op3_quality
@@ -25,6 +25,6 @@ QUERIES["pipeline"] = corpus_pipeline.run
 
 # DuckDB SQL for the queries that it can express.
 SQL: dict[str, str] = {"op3_quality": OP3_SQL, "op9_warc": OP9_SQL, "op11_spelling": OP11_SQL,
-                       "op12_topk": OP12_SQL}
+                       "op12_topk": OP12_SQL, "op13_repair": OP13_SQL}
 if corpus_pipeline.ORACLE_SQL:
     SQL["pipeline"] = corpus_pipeline.ORACLE_SQL

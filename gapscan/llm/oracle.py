@@ -7,6 +7,7 @@ deleting each code point in turn, and checksums are computed byte by byte.
 
 from __future__ import annotations
 
+from gapscan.llm.conversations import DELETE, INSERT, REROLE, TRUNCATED
 from gapscan.llm.quality import GRAM, MAX_REPEAT_PERCENT, MEASURES, MIN_WORDS, SPREAD, SYMBOLS, TOP
 from gapscan.llm.spelling import ALTERED, LOWER, MIN_COUNT, MIN_LENGTH, RATIO, UPPER
 
@@ -103,4 +104,81 @@ ways(word, here, step) AS (
 roots AS (SELECT word, arg_max(here, step) AS root FROM ways GROUP BY word)
 SELECT f.word, form, root, n, n_near, form_n FROM forms f JOIN roots r ON r.word = f.word"""
 
+
+def _op13() -> str:
+    """Least (cost, audit) from each place to the end, turn by turn from the
+    last: nine digits of cost before the letters, so that the least string is
+    the answer. States 0 to 3: nothing yet, after system, user, assistant."""
+    new = [2, 2, 3, 2]
+    keeps = [{"s": 1, "u": 2}, {"u": 2}, {"a": 3}, {"u": 2}]
+
+    def plus(x: str, cost: str, letter: str) -> str:
+        return f"lpad(CAST(CAST(substr({x}, 1, 9) AS INTEGER) + {cost} AS VARCHAR), 9, '0') || '{letter}' || substr({x}, 10)"
+
+    def step(q: int) -> str:
+        keep = " ".join(f"WHEN ini = '{i}' THEN {plus(f'a{to}', 'extra', 'K')}" for i, to in keeps[q].items())
+        return (f"least({plus(f'a{q}', str(DELETE), 'D')}, CASE WHEN must THEN NULL {keep} END, "
+                f"CASE WHEN NOT must THEN {plus(f'a{new[q]}', f'{REROLE} + extra', 'R')} END) AS s{q}")
+
+    def inserted(q: int) -> str:
+        once = plus(f"s{new[q]}", str(INSERT), "I")
+        twice = plus("(" + plus(f"s{new[new[q]]}", str(INSERT), "I") + ")", str(INSERT), "I")
+        return f"least(s{q}, {once}, {twice}) AS a{q}"
+    inserts = ", ".join(inserted(q) for q in range(4))
+    steps = ", ".join(step(q) for q in range(4))
+    space = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+    return f"""WITH RECURSIVE given AS (
+  SELECT row_number() OVER () AS id, dense_rank() OVER (ORDER BY conv_id) AS cid, conv_id, turn,
+    coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS s FROM conversations),
+hashed AS (SELECT id, s FROM given),
+{CRC},
+harmed AS (
+  SELECT cid, turn, CASE WHEN h % 20 = 4 THEN 'user' ELSE role END AS role,
+    CASE h % 20 WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(range(CASE h % 20 WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM given JOIN crc USING (id)),
+placed AS (
+  SELECT cid, turn, role, text, substr(role, 1, 1) AS ini, right(rtrim(text, {space}), 1) AS last,
+    row_number() OVER (PARTITION BY cid ORDER BY turn NULLS FIRST, role, md5(text)) AS p FROM harmed),
+typed AS MATERIALIZED (
+  SELECT *, CASE WHEN last = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY cid, role, text ORDER BY p) > 1 THEN 'duplicate'
+      WHEN last NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(ini) OVER (PARTITION BY cid ORDER BY p) AS before FROM placed),
+turns AS (SELECT cid, p, ini, fault IN ('blank', 'duplicate') AS must,
+            CASE WHEN fault = 'truncated' THEN {TRUNCATED} ELSE 0 END AS extra FROM typed),
+back(cid, p, a0, a1, a2, a3) AS (
+  SELECT cid, p, {inserts} FROM (
+    SELECT cid, max(p) + 1 AS p, '000000000' AS s0, '900000000' AS s1, '900000000' AS s2, '000000000' AS s3
+    FROM turns GROUP BY cid)
+  UNION ALL
+  SELECT cid, p, {inserts} FROM (
+    SELECT b.cid, t.p, {steps} FROM back b JOIN turns t ON t.cid = b.cid AND t.p = b.p - 1)),
+solved AS (SELECT cid, CAST(substr(a0, 1, 9) AS BIGINT) AS cost, substr(a0, 10) AS audit FROM back WHERE p = 1),
+edits AS (SELECT cid, k, substr(audit, k, 1) AS e
+          FROM (SELECT cid, audit, unnest(range(1, length(audit) + 1)) AS k FROM solved)),
+counted AS (
+  SELECT *, count(*) FILTER (WHERE e <> 'I') OVER (PARTITION BY cid ORDER BY k) AS p,
+    count(*) FILTER (WHERE e <> 'D') OVER (PARTITION BY cid ORDER BY k) AS m FROM edits),
+pieces AS (
+  SELECT c.cid, k, m, e, role, text, max(CASE WHEN m = 1 AND e = 'K' AND ini = 's' THEN 1 ELSE 0 END)
+    OVER (PARTITION BY c.cid) AS led
+  FROM counted c LEFT JOIN typed t ON t.cid = c.cid AND t.p = c.p AND e <> 'I' WHERE e <> 'D'),
+texts AS (
+  SELECT cid, string_agg(CASE WHEN e = 'K' THEN role WHEN (m - led) % 2 = 1 THEN 'user' ELSE 'assistant' END
+    || ':' || CASE WHEN e = 'I' THEN '' ELSE text END, chr(10) ORDER BY k) AS whole FROM pieces GROUP BY cid),
+faults AS (
+  SELECT cid, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (WHERE fault = 'blank') AS blank, count(*) FILTER (WHERE fault = 'duplicate') AS duplicate,
+    count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+    count(*) FILTER (WHERE before || ini NOT IN ('su', 'ua', 'au')) AS illegal FROM typed GROUP BY cid)
+SELECT c.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank,
+  coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+  coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(whole, '')) AS repaired_sha256
+FROM (SELECT DISTINCT cid, conv_id FROM given) c LEFT JOIN faults f ON f.cid = c.cid
+  LEFT JOIN solved s ON s.cid = c.cid LEFT JOIN texts t ON t.cid = c.cid"""
+
+
 OP3_SQL = _op3()
+OP13_SQL = _op13()
