@@ -128,16 +128,20 @@ def _forests(distance: int):
 def near_links(fps: DataFrame, distance: int = DISTANCE, blocks: int = BLOCKS, group: int = GROUP) -> DataFrame:
     """(a, b): links between the distinct fingerprints ``fp`` whose components
     are those of all pairs within ``distance`` bits."""
-    level = fps.select("fp", F.lit("").alias("table"), F.lit(0).cast("long").alias("key"),
-                       F.lit(-1).cast("long").alias("free"))
     spark, found, frees = fps.sparkSession, None, [(1 << 64) - 1]
     for depth in range(3):
         # how each set of free bits is split: 20, 400 or 8000 fixed rows
-        masks = spark.createDataFrame(
-            [(_signed(f), _signed(kept), _signed(other)) for f in frees
-             for kept, other in block_masks(f, blocks, distance)], "free bigint, kept bigint, other bigint")
+        masks = [(_signed(f), _signed(kept), _signed(other)) for f in frees
+                 for kept, other in block_masks(f, blocks, distance)]
         frees = sorted({other for f in frees for _, other in block_masks(f, blocks, distance)})
-        rows = level.join(F.broadcast(masks), "free").select(
+        if depth == 0:  # all bits are free: the same 20 masks for every fingerprint
+            choices = F.array(*[F.struct(F.lit(kept).cast("long").alias("kept"), F.lit(other).cast("long").alias("other"))
+                                for _, kept, other in masks])
+            masked = fps.select("fp", F.lit("").alias("table"), F.lit(0).cast("long").alias("key"),
+                                F.inline(choices))
+        else:
+            masked = level.join(F.broadcast(spark.createDataFrame(masks, "free bigint, kept bigint, other bigint")), "free")
+        rows = masked.select(
             "fp", F.concat_ws("/", "table", F.hex("kept")).alias("table"),
             F.xxhash64("key", F.col("fp").bitwiseAND(F.col("kept"))).alias("key"), F.col("other").alias("free"))
         rows = stage(rows, "blocks")
