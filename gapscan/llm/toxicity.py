@@ -62,34 +62,80 @@ def terms_of(word: str) -> list[str]:
     return [word] + [word[:n] + "-" for n in PREFIXES if len(word) > n]
 
 
-def features(text: str | None, terms: dict[str, float]) -> list[float]:
+# What a word can be, as bits: it begins with a capital, is all capitals, is
+# obfuscated, a second person, an insult, in either lexicon, and stretched too.
+MARKS = CAPITAL, SHOUT, ODD, SECOND, INSULT, HIT, STRETCHED = [1 << i for i in range(7)]
+_MARKED = np.array([[bool(code & m) for m in MARKS] for code in range(1 << len(MARKS))], dtype=np.int64)
+
+
+class Marks(dict):
+    """Words and their marks, each worked out once while it is remembered.
+
+    At most ``LIMIT`` words of at most ``LONGEST`` letters are kept; then the
+    memory starts anew, which changes no mark."""
+    LIMIT, LONGEST = 300_000, 40
+
+    def __init__(self, terms: dict[str, float]):
+        super().__init__()
+        self.terms = terms
+        self.stems = [(n, {t[:n]: w for t, w in terms.items() if len(t) == n + 1 and t[n] == "-"}) for n in PREFIXES]
+
+    def weight(self, word: str) -> float:
+        """The largest weight of ``terms_of(word)``, 0 for none."""
+        best = self.terms.get(word, 0.0)
+        for n, stems in self.stems:
+            if len(word) > n and word[:n] in stems:
+                best = max(best, stems[word[:n]])
+        return best
+
+    def __missing__(self, raw: str) -> int:
+        word = raw.lower().strip(_EDGE)
+        code = 0
+        if not raw.islower():
+            code = CAPITAL * raw[0].isupper() + SHOUT * raw.isupper()
+        if not raw.isalpha() and _OBFUSCATED.search(raw):
+            code += ODD
+        if word in SECOND_PERSON:
+            code += SECOND
+        if word in INSULTS:
+            code += INSULT
+        if word and (code & INSULT or self.weight(word)):
+            code += HIT + STRETCHED * bool(_STRETCHED.search(word))
+        if len(raw) <= self.LONGEST:
+            if len(self) >= self.LIMIT:
+                self.clear()
+            self[raw] = code
+        return code
+
+
+def features(text: str | None, terms: dict[str, float] | Marks) -> list[float]:
     """The dense features of one text, in the order of ``FEATURES``."""
     raw = (text or "").split()
     if not raw:
         return [0.0] * len(FEATURES)
+    marks = terms if isinstance(terms, Marks) else Marks(terms)
     n, chars = len(raw), len(text)
-    words = [w.strip(_EDGE) for w in text.lower().split()]
-    weight = {}
-    for w in set(words):
-        if w:
-            found = max((terms.get(t, 0.0) for t in terms_of(w)), default=0.0)
-            if w in INSULTS or found:
-                weight[w] = found
-    hits = [i for i, w in enumerate(words) if w in weight]
-    seconds = [i for i, w in enumerate(words) if w in SECOND_PERSON]
-    near = 0
-    if hits and seconds:
-        place = np.searchsorted(seconds, hits)
-        left = np.array([-10 ** 9, *seconds])[place]
-        right = np.array([*seconds, 10 ** 9])[place]
-        near = int((np.minimum(np.array(hits) - left, right - np.array(hits)) <= NEAR).sum())
-    values = [weight[words[i]] for i in hits]
-    odd = sum(1 for w in set(raw) if not w.isalpha() and _OBFUSCATED.search(w))
-    stretched = sum(1 for w in weight if _STRETCHED.search(w))
-    upper = sum(map(str.isupper, raw))
-    punctuation = sum(text.count(c) for c in ".,;:!?*#@$%&")
-    return [sum(w in INSULTS for w in words) / n, len(hits) / n, min(sum(values), 50.0), max(values, default=0.0),
-            len(seconds) / n, near / n, sum(1 for c in raw if c[0].isupper()) / n, upper / n,
+    codes = np.frombuffer(bytes(map(marks.__getitem__, raw)), np.uint8)
+    capital, upper, odd, second, insult, hit, stretched = (
+        np.bincount(codes, minlength=len(_MARKED)) @ _MARKED).tolist()
+    values, near = [], 0
+    if hit:
+        hits = np.flatnonzero(codes & HIT)
+        words = [raw[i].lower().strip(_EDGE) for i in hits.tolist()]
+        values = [marks.weight(w) for w in words]
+        if stretched:
+            stretched = sum(1 for w in set(words) if _STRETCHED.search(w))
+        if second:
+            seconds = np.flatnonzero(codes & SECOND)
+            place = np.searchsorted(seconds, hits)
+            left = np.concatenate([[-10 ** 9], seconds])[place]
+            right = np.concatenate([seconds, [10 ** 9]])[place]
+            near = int((np.minimum(hits - left, right - hits) <= NEAR).sum())
+    if odd:
+        odd = len({raw[i] for i in np.flatnonzero(codes & ODD).tolist()})
+    punctuation = sum(map(text.count, ".,;:!?*#@$%&"))
+    return [insult / n, hit / n, min(sum(values), 50.0), max(values, default=0.0),
+            second / n, near / n, capital / n, upper / n,
             text.count("!") / chars, punctuation / chars, odd / n, stretched / n,
             float(np.log1p(n)), chars / n]
 
@@ -101,9 +147,9 @@ def text_features(docs: DataFrame, terms: dict[str, float], keep: list[str]) ->
     schema = T.StructType(kept.schema.fields[:-1] + [T.StructField(f, T.DoubleType()) for f in FEATURES])
 
     def run(batches):
-        lexicon = shared.value
+        marks = Marks(shared.value)
         for b in batches:
-            rows = [features(t, lexicon) for t in b.column(b.num_columns - 1).to_pylist()]
+            rows = [features(t, marks) for t in b.column(b.num_columns - 1).to_pylist()]
             cols = np.array(rows, dtype=float).reshape(len(rows), len(FEATURES)).T
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], *map(pa.array, cols)],
                                              [*b.schema.names[:-1], *FEATURES])
@@ -131,12 +177,21 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def learn_terms(rows: DataFrame) -> dict[str, float]:
     """Weights of the terms that are likelier in toxic texts, from (toxic, text)."""
     def run(batches):
+        def batch(flags, terms):
+            return pa.RecordBatch.from_arrays([pa.array(flags, pa.int32()), pa.array(terms, pa.string())],
+                                              ["toxic", "term"])
         for b in batches:
+            flags, terms = [], []
             for toxic, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                found = sorted({t for w in {w.strip(_EDGE) for w in (text or "").lower().split()} if len(w) > 2
-                                for t in terms_of(w)})
-                yield pa.RecordBatch.from_arrays([pa.array([toxic] * len(found), pa.int32()),
-                                                  pa.array(found, pa.string())], ["toxic", "term"])
+                found = {t for w in {w.strip(_EDGE) for w in (text or "").lower().split()} if len(w) > 2
+                         for t in terms_of(w)}
+                flags += [toxic] * len(found)
+                terms += found
+                if len(terms) > 100_000:
+                    yield batch(flags, terms)
+                    flags, terms = [], []
+            if terms:
+                yield batch(flags, terms)
     totals = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     n_toxic, n_clean = totals.get(1, 0), totals.get(0, 0)
     if not n_toxic or not n_clean:
